@@ -29,6 +29,12 @@ def _resolved(spark: SparkSession) -> Column:
     return _RESOLVED[app]
 
 
+def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
+    """Pairs with their catalog; ``known`` is false where no database has that id."""
+    joined = lookup_join(pairs, catalogs, ["db_id"], "left", salt_on=["id"])
+    return joined.withColumn("known", F.col("tables").isNotNull())
+
+
 def keyed_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with the shape of their statement and its key, tokenised once."""
     shaped = pairs.withColumn("shape", statement_shape(raw_tokens(F.col("query"))))

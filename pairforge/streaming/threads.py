@@ -85,7 +85,9 @@ def run_thread_state(
 
     Each micro-batch replaces its own folder, so a repeated batch adds nothing.
     """
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, ROCKSDB)
     stream = spark.readStream.schema(ATTEMPT).option("maxFilesPerTrigger", files_per_trigger).json(source)
 
     def append(batch: DataFrame, batch_id: int) -> None:
@@ -100,6 +102,10 @@ def run_thread_state(
         .start()
     )
     query.awaitTermination()
+    if before is None:
+        spark.conf.unset(provider)
+    else:
+        spark.conf.set(provider, before)
     return latest_state(spark.read.schema(f"{UPDATE}, batch int").parquet(target))
 
 

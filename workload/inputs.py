@@ -145,6 +145,90 @@ SELECT * FROM (VALUES
 ) AS v(k, method, table_name, columns)
 """
 
+# One database per supplier, a copy of one of the base catalogs.
+INPUTS["dbs"] = """
+SELECT s_suppkey, concat(base, '_', cast(s_suppkey AS VARCHAR(20))) AS db_id, base
+FROM (SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'sales' WHEN 1 THEN 'geo' ELSE 'web' END AS base FROM supplier) s
+"""
+
+INPUTS["db_columns"] = """
+SELECT d.db_id AS db_id, c.table_ord AS table_ord, c.table_name AS table_name,
+ row_number() OVER (PARTITION BY d.db_id ORDER BY c.table_ord, c.col_ord) AS col_idx,
+ c.column_name AS column_name, c.column_type AS column_type, c.is_primary_key AS is_primary_key
+FROM dbs d JOIN catalog_columns c ON d.base = c.db_id
+"""
+
+INPUTS["db_fks"] = """
+SELECT d.db_id AS db_id, f.fk_ord AS fk_ord, f.table_name AS table_name, f.column_name AS column_name,
+ f.ref_table AS ref_table, f.ref_column AS ref_column
+FROM dbs d JOIN catalog_fks f ON d.base = f.db_id
+"""
+
+INPUTS["clean_pairs"] = """
+SELECT row_ord, split, source, source_ord, k, db_id, question, query,
+ substr(sha256(concat(db_id, chr(0), question, chr(0), query)), 1, 16) AS id
+FROM (SELECT row_ord, split, source, CASE source WHEN 'b.json' THEN 1 ELSE 0 END AS source_ord, k, db_id,
+  trim(question) AS question, trim(query) AS query FROM pairs) p
+WHERE question <> '' AND query <> ''
+"""
+
+INPUTS["unique_pairs"] = """
+SELECT row_ord, split, source, source_ord, k, db_id, question, query, id
+FROM (SELECT *, row_number() OVER (PARTITION BY split, id ORDER BY source_ord, row_ord) AS rn FROM clean_pairs) p
+WHERE rn = 1
+"""
+
+INPUTS["expected_columns"] = """
+SELECT k, method, table_name, unnest(string_split(columns, ',')) AS column_name FROM expected_used
+"""
+
+INPUTS["template_dbs"] = """
+SELECT DISTINCT t.k AS k, t.db_id AS db_id FROM templates t JOIN expected_used e ON t.k = e.k
+"""
+
+# Used columns with both ends of every foreign key between used tables.
+INPUTS["closed"] = """
+SELECT k, table_name, column_name FROM expected_columns
+UNION
+SELECT d.k, f.table_name, f.column_name FROM template_dbs d JOIN catalog_fks f ON d.db_id = f.db_id
+ WHERE EXISTS (SELECT 1 FROM expected_used e WHERE e.k = d.k AND e.table_name = f.table_name)
+ AND EXISTS (SELECT 1 FROM expected_used e WHERE e.k = d.k AND e.table_name = f.ref_table)
+UNION
+SELECT d.k, f.ref_table, f.ref_column FROM template_dbs d JOIN catalog_fks f ON d.db_id = f.db_id
+ WHERE EXISTS (SELECT 1 FROM expected_used e WHERE e.k = d.k AND e.table_name = f.table_name)
+ AND EXISTS (SELECT 1 FROM expected_used e WHERE e.k = d.k AND e.table_name = f.ref_table)
+"""
+
+INPUTS["kept"] = """
+SELECT d.k AS k, c.table_ord, c.table_name, c.col_ord, c.column_name, c.column_type, c.is_primary_key
+FROM template_dbs d JOIN catalog_columns c ON d.db_id = c.db_id
+WHERE EXISTS (SELECT 1 FROM closed u WHERE u.k = d.k AND u.table_name = c.table_name AND u.column_name = c.column_name)
+ OR (c.is_primary_key AND EXISTS (SELECT 1 FROM expected_used e WHERE e.k = d.k AND e.table_name = c.table_name))
+"""
+
+INPUTS["kept_fks"] = """
+SELECT d.k AS k, f.fk_ord, f.table_name, f.column_name, f.ref_table, f.ref_column
+FROM template_dbs d JOIN catalog_fks f ON d.db_id = f.db_id
+JOIN kept a ON a.k = d.k AND a.table_name = f.table_name AND a.column_name = f.column_name
+JOIN kept b ON b.k = d.k AND b.table_name = f.ref_table AND b.column_name = f.ref_column
+"""
+
+INPUTS["kept_lines"] = """
+SELECT k, table_ord, table_name, string_agg(column_name, ', ' ORDER BY col_ord) AS names,
+ string_agg(concat(column_name, ' ', column_type, CASE WHEN is_primary_key THEN ' primary key' ELSE '' END), ', ' ORDER BY col_ord) AS typed
+FROM kept GROUP BY k, table_ord, table_name
+"""
+
+INPUTS["targets"] = """
+SELECT k, string_agg(concat(table_name, '(', names, ')'), chr(10) ORDER BY table_ord) AS target,
+ string_agg(table_name, ',' ORDER BY table_ord) AS tables
+FROM kept_lines GROUP BY k
+"""
+
+INPUTS["labeled"] = """
+SELECT p.*, m.method AS method FROM unique_pairs p JOIN (SELECT DISTINCT k, method FROM expected_used) m ON p.k = m.k
+"""
+
 
 def _needs(sql: str) -> list[str]:
     words = set(re.findall(r"[a-z_]+", sql))
