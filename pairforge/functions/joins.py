@@ -78,8 +78,8 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def _segments(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn("_seg", F.floor(F.col(order) / F.lit(width)).cast("long"))
+def _segments(df: DataFrame, order: str, width: int, name: str = "_seg") -> DataFrame:
+    return df.withColumn(name, F.floor(F.col(order) / F.lit(width)).cast("long"))
 
 
 def with_position(
@@ -113,18 +113,18 @@ def previous_value(
     Each segment is read by its own task; what the earlier segments of the same
     key end with is carried in from a table of one row per segment.
     """
-    seg = _segments(df.withColumn("_value", value), order, width)
-    ends = seg.groupBy(*keys, "_seg").agg(
-        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end")
+    seg = _segments(df.withColumn("_prev_value", value), order, width, "_prev_seg")
+    ends = seg.groupBy(*keys, "_prev_seg").agg(
+        F.max_by("_prev_value", F.when(F.col("_prev_value").isNotNull(), F.col(order))).alias("_prev_end")
     )
-    earlier = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*keys, "_seg", F.last("_end", ignorenulls=True).over(earlier).alias("_carry"))
+    earlier = Window.partitionBy(*keys).orderBy("_prev_seg").rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*keys, "_prev_seg", F.last("_prev_end", ignorenulls=True).over(earlier).alias("_prev_carry"))
     inside = (
-        Window.partitionBy(*keys, "_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_prev_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
     return (
-        seg.withColumn("_last", F.last("_value", ignorenulls=True).over(inside))
-        .join(ends, [*keys, "_seg"])
-        .withColumn(name, F.coalesce("_last", "_carry"))
-        .drop("_seg", "_value", "_last", "_carry")
+        seg.withColumn("_prev_last", F.last("_prev_value", ignorenulls=True).over(inside))
+        .join(ends, [*keys, "_prev_seg"])
+        .withColumn(name, F.coalesce("_prev_last", "_prev_carry"))
+        .drop("_prev_seg", "_prev_value", "_prev_last", "_prev_carry")
     )

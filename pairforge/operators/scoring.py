@@ -86,7 +86,7 @@ def set_scores(rows: DataFrame, gold: Column, pred: Column, parsed: Column) -> D
         *rows.columns,
         *[F.col(f"_{m[0]}.{m}") for m in METRICS],
         same.alias("exact_match"),
-        F.col("_ok").alias("parsed"),
+        F.col("_ok").alias("parsed_ok"),
     )
 
 
@@ -100,7 +100,7 @@ def score_summary(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
         F.count("*").alias("n_examples"),
         *[F.sum(F.coalesce(F.col(m), F.lit(0.0))).alias(m) for m in METRICS],
         F.count_if(F.coalesce(F.col("exact_match"), F.lit(False))).alias("exact_match"),
-        F.count_if(~F.col("parsed")).alias("unparseable_rate"),
+        F.count_if(~F.col("parsed_ok")).alias("unparseable_rate"),
     )
     n = F.when(F.col("n_examples") > 0, F.col("n_examples")).otherwise(
         F.raise_error(F.lit("no examples to aggregate")).cast("bigint")

@@ -68,7 +68,7 @@ def main() -> None:
             else:
                 problem = "" if entry.queries()[name](spark, sf_dir).count() else "no rows"
         except Exception as error:  # noqa: BLE001
-            problem = f"{type(error).__name__}: {str(error)[:600]}"
+            problem = f"{type(error).__name__}: {str(error)[:500]}"
         print(f"{name:26} {time.time() - start:6.1f}s {'ok' if not problem else 'DIFFERS ' + problem}", flush=True)
 
 

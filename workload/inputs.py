@@ -80,21 +80,38 @@ INPUTS["completions"] = """
 SELECT p.row_ord AS row_ord, p.split AS split, p.k AS k, cast(floor(p.row_ord / 20) AS BIGINT) % 7 AS variant, g.gold AS gold,
  CASE cast(floor(p.row_ord / 20) AS BIGINT) % 7
   WHEN 0 THEN g.gold
-  WHEN 1 THEN concat('
+  WHEN 1 THEN concat('```', chr(10), g.gold, chr(10), '```')
+  WHEN 2 THEN concat(replace(g.gold, chr(10), concat(',', chr(10))), ',')
+  WHEN 3 THEN concat(g.gold, chr(10), 'extra_table(extra_col)')
+  WHEN 4 THEN concat('I think: ', g.gold)
+  WHEN 5 THEN upper(g.gold)
+  ELSE concat('customer(c_name)', chr(10), g.gold, chr(10), 'customer(c_nationkey, c_name)') END AS reply
+FROM pairs p JOIN gold_targets g ON p.k = g.k
 """
 
 INPUTS["sql_replies"] = """
 SELECT row_ord, k, cast(floor(row_ord / 20) AS BIGINT) % 5 AS variant, query,
  CASE cast(floor(row_ord / 20) AS BIGINT) % 5
   WHEN 0 THEN query
-  WHEN 1 THEN concat('
+  WHEN 1 THEN concat('```sql', chr(10), query, ';', chr(10), '```')
+  WHEN 2 THEN concat('The answer is: ', query, '; hope it helps')
+  WHEN 3 THEN concat('With pleasure: ', query)
+  ELSE 'no idea' END AS reply
+FROM pairs WHERE k IN (0, 1, 4, 6, 7, 12)
 """
 
 INPUTS["presentations"] = """
 SELECT p_partkey AS id, p_partkey % 8 AS variant, 'p_brand,total' AS cols,
  CASE p_partkey % 8
   WHEN 0 THEN concat('{"chart": {"type": "bar", "x": "p_brand", "y": ["total"], "series": null}, "answer": "part ', p_name, '"}')
-  WHEN 1 THEN concat('
+  WHEN 1 THEN concat('```json', chr(10), '{"chart": null, "answer": "', p_type, '"}', chr(10), '```')
+  WHEN 2 THEN '{"chart": {"type": "radar", "x": "p_brand", "y": ["total"]}, "answer": "a"}'
+  WHEN 3 THEN '{"chart": {"type": "line", "x": "p_brand", "y": []}, "answer": "a"}'
+  WHEN 4 THEN '{"chart": {"type": "line", "x": "p_brand", "y": ["nope"]}, "answer": "a"}'
+  WHEN 5 THEN '{"chart": null, "answer": "  "}'
+  WHEN 6 THEN '{"chart": null, "answer": }'
+  ELSE 'sorry' END AS reply
+FROM part
 """
 
 INPUTS["attempts"] = """
