@@ -9,10 +9,10 @@ SALTS = 32
 HEAVY_KEYS = 1000
 
 
-def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Measure a lookup table before it is broadcast (one aggregate, one row back)."""
     size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).agg(F.sum("n")).first()[0]
-    return (size or 0) <= max_bytes
+    return (size or 0) <= BROADCAST_BYTES
 
 
 def lookup_join(
@@ -78,8 +78,16 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def _segments(df: DataFrame, order: str, width: int, name: str = "_seg") -> DataFrame:
-    return df.withColumn(name, F.floor(F.col(order) / F.lit(width)).cast("long"))
+def _segments(df: DataFrame, order: str, width: int) -> DataFrame:
+    return df.withColumn("_seg", F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(-1)).cast("long"))
+
+
+def _attach(df: DataFrame, per_segment: DataFrame, keys: list[str]) -> DataFrame:
+    """Add per-segment columns to the rows of each segment; null keys match null keys."""
+    marks = {key: f"_key_{key}" for key in [*keys, "_seg"]}
+    renamed = per_segment.withColumnsRenamed(marks)
+    same = [df[key].eqNullSafe(renamed[mark]) for key, mark in marks.items()]
+    return df.join(renamed, same).drop(*marks.values())
 
 
 def with_position(
@@ -91,15 +99,15 @@ def with_position(
     counts, one small row each, give the offsets.
     """
     seg = _segments(df, order, width)
-    offsets = seg.groupBy(*keys, "_seg").agg(F.count("*").alias("_n"))
+    counts = seg.groupBy(*keys, "_seg").agg(F.count("*").alias("_n"))
     before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = offsets.select(
+    offsets = counts.select(
         *keys, "_seg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
     )
     inside = Window.partitionBy(*keys, "_seg").orderBy(order)
+    numbered = seg.withColumn("_row", F.row_number().over(inside) - 1)
     return (
-        seg.withColumn("_row", F.row_number().over(inside) - 1)
-        .join(offsets, [*keys, "_seg"])
+        _attach(numbered, offsets, keys)
         .withColumn(name, (F.col("_offset") + F.col("_row")).cast("long"))
         .drop("_seg", "_row", "_offset")
     )
@@ -113,18 +121,20 @@ def previous_value(
     Each segment is read by its own task; what the earlier segments of the same
     key end with is carried in from a table of one row per segment.
     """
-    seg = _segments(df.withColumn("_prev_value", value), order, width, "_prev_seg")
-    ends = seg.groupBy(*keys, "_prev_seg").agg(
+    seg = _segments(df.withColumn("_prev_value", value), order, width)
+    ends = seg.groupBy(*keys, "_seg").agg(
         F.max_by("_prev_value", F.when(F.col("_prev_value").isNotNull(), F.col(order))).alias("_prev_end")
     )
-    earlier = Window.partitionBy(*keys).orderBy("_prev_seg").rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*keys, "_prev_seg", F.last("_prev_end", ignorenulls=True).over(earlier).alias("_prev_carry"))
+    earlier = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
+        *keys, "_seg", F.last("_prev_end", ignorenulls=True).over(earlier).alias("_prev_carry")
+    )
     inside = (
-        Window.partitionBy(*keys, "_prev_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(*keys, "_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     )
+    last = seg.withColumn("_prev_last", F.last("_prev_value", ignorenulls=True).over(inside))
     return (
-        seg.withColumn("_prev_last", F.last("_prev_value", ignorenulls=True).over(inside))
-        .join(ends, [*keys, "_prev_seg"])
+        _attach(last, carried, keys)
         .withColumn(name, F.coalesce("_prev_last", "_prev_carry"))
-        .drop("_prev_seg", "_prev_value", "_prev_last", "_prev_carry")
+        .drop("_seg", "_prev_value", "_prev_last", "_prev_carry")
     )

@@ -66,9 +66,13 @@ def with_outcome(attempts: DataFrame) -> DataFrame:
 def attempt_state(outcomes: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
     """Counter and status after each attempt; attempts after a final one are dropped.
 
-    A fatal error ends the request without being counted.
+    A fatal error ends the request without being counted. Every attempt ends
+    the request or adds one to the counter, so only the first ``max_retries``
+    can matter, and only those are shuffled.
     """
     ordered = Window.partitionBy(*REQUEST).orderBy("attempt_ord")
+    ranked = outcomes.withColumn("_rank", F.row_number().over(ordered))
+    outcomes = ranked.where(F.col("_rank") <= max(max_retries, 1)).drop("_rank")
     so_far = ordered.rowsBetween(Window.unboundedPreceding, 0)
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
     attempts = F.sum(F.when(F.col("result") == "retryable", 1).otherwise(0)).over(so_far)

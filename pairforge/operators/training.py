@@ -148,18 +148,9 @@ def overlength_drop(
     return kept, report
 
 
-def prompt_fingerprint(
-    prompts: DataFrame, keys: list[str], order: str, text: str, version: Column
-) -> DataFrame:
-    """Hash of a version and the ordered texts of each prompt set."""
-    parts = F.transform(
-        F.array_sort(F.collect_list(F.struct(F.col(order), F.col(text)))), lambda p: p[text]
-    )
-    return prompts.groupBy(*keys).agg(
-        short_sha256(
-            F.concat_ws("\n", F.concat(F.array(F.any_value(version)), parts))
-        ).alias("prompt_hash")
-    )
+def prompt_fingerprint(version: Column, *texts: Column) -> Column:
+    """Hash of a prompt version and its texts in order."""
+    return short_sha256(F.concat_ws("\n", version, *texts))
 
 
 def dataset_fingerprint(rows: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:

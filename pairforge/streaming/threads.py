@@ -67,9 +67,12 @@ class RequestState(StatefulProcessor):
 
 
 def request_updates(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """State updates of a stream of attempts. A busy thread is spread over its requests."""
+    """State updates of a stream of attempts. A busy thread is spread over its requests.
+
+    No request lives past attempt ``max_retries``, so later ones are not kept.
+    """
     return (
-        with_outcome(attempts)
+        with_outcome(attempts.where(F.col("attempt_ord") <= max(max_retries, 1)))
         .select("thread_id", "request_ord", "attempt_ord", "result", "sql_text", "error")
         .groupBy("thread_id", "request_ord")
         .transformWithStateInPandas(

@@ -30,10 +30,14 @@ def unique_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return P.pairs_dedup(clean_pairs(spark, sf))
 
 
+def base_entries(spark: SparkSession) -> DataFrame:
+    bodies = [(json.dumps({"db_id": name, **entry}),) for name, entry in ENTRIES.items()]
+    rows = spark.createDataFrame(bodies, "body string")
+    return rows.select(F.from_json("body", C.RAW_ENTRY, {"mode": "FAILFAST"}).alias("e")).select("e.*")
+
+
 def label_catalogs(spark: SparkSession, sf: str) -> DataFrame:
-    return C.nest_catalog(
-        table(spark, sf, "catalog_columns"), table(spark, sf, "catalog_fks"), "col_ord"
-    )
+    return C.catalogs_from_entries(base_entries(spark))
 
 
 # ---- sources and sinks
@@ -44,15 +48,18 @@ TURN = "conv_id BIGINT, turn BIGINT, role STRING, text STRING"
 @query(
     "json_doc_scan",
     """SELECT conv_id, turn, role, text,
-    row_number() OVER (PARTITION BY conv_id // 1000 ORDER BY conv_id, turn) - 1 AS row_ord
+    row_number() OVER (PARTITION BY conv_id // 100, turn // 100 ORDER BY conv_id, turn) - 1 AS row_ord
     FROM conversations""",
 )
 def json_doc_scan(spark, sf):
     path = scratch_path(spark, "documents")
     turn = F.struct("conv_id", "turn", "role", "text")
-    docs = table(spark, sf, "conversations").groupBy(F.floor(F.col("conv_id") / 1000).alias("part"))
-    docs = docs.agg(F.to_json(F.array_sort(F.collect_list(turn))).alias("value"))
-    docs.write.partitionBy("part").text(path)
+    # A document holds at most 100 turns of each of 100 conversations.
+    ranges = [F.floor(F.col(c) / 100).alias(f"{c}_range") for c in ("conv_id", "turn")]
+    docs = table(spark, sf, "conversations").groupBy(*ranges).agg(
+        F.to_json(F.array_sort(F.collect_list(turn))).alias("value")
+    )
+    docs.write.partitionBy("conv_id_range", "turn_range").text(path)
     return J.json_doc_scan(spark, path, TURN).drop("source")
 
 
@@ -173,14 +180,9 @@ ENTRIES = {
 
 def raw_entries(spark: SparkSession, sf: str) -> DataFrame:
     """Index-coded catalog entries, one per database."""
-    base = spark.createDataFrame(
-        [(name, json.dumps({"db_id": name, **entry})) for name, entry in ENTRIES.items()],
-        "base string, body string",
-    ).select("base", F.from_json("body", C.RAW_ENTRY, {"mode": "FAILFAST"}).alias("e"))
-    dbs = table(spark, sf, "dbs")
-    return dbs.join(F.broadcast(base), "base").select("e.*", dbs.db_id.alias("_id")).withColumn(
-        "db_id", F.col("_id")
-    ).drop("_id")
+    base = base_entries(spark).withColumnRenamed("db_id", "base")
+    named = table(spark, sf, "dbs").join(F.broadcast(base), "base")
+    return named.select("db_id", *[c for c in base.columns if c != "base"])
 
 
 @query(

@@ -465,12 +465,13 @@ def overlength_report(spark, sf):
 
 @query(
     "prompt_fingerprint",
-    """SELECT conv_id, substr(sha256(concat('v1', chr(10), string_agg(text, chr(10) ORDER BY turn))), 1, 16) AS prompt_hash
-    FROM conversations GROUP BY conv_id""",
+    """SELECT conv_id, turn, substr(sha256(concat('v1', chr(10), role, chr(10), text)), 1, 16) AS prompt_hash
+    FROM conversations""",
 )
 def prompt_fingerprint(spark, sf):
-    return T.prompt_fingerprint(
-        table(spark, sf, "conversations"), ["conv_id"], "turn", "text", F.lit("v1")
+    prompt_hash = T.prompt_fingerprint(F.lit("v1"), F.col("role"), F.col("text"))
+    return table(spark, sf, "conversations").select(
+        "conv_id", "turn", prompt_hash.alias("prompt_hash")
     )
 
 
