@@ -3,14 +3,34 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
 
 from pairforge.fixed_values import WHITESPACE
 
 LINE_BREAK = r"\R|[\x1c-\x1e]"
 
 
+def built_once(build: Callable[..., Column]) -> Callable[..., Column]:
+    """Keep a large expression for the life of the application instead of building it per query.
+
+    For functions of plain values only; a column belongs to one running application.
+    """
+    kept: dict[tuple, Column] = {}
+
+    @wraps(build)
+    def get(*args: object) -> Column:
+        app = SparkSession.active().sparkContext.applicationId
+        if (app, *args) not in kept:
+            for old in [key for key in kept if key[0] != app]:
+                del kept[old]
+            kept[(app, *args)] = build(*args)
+        return kept[(app, *args)]
+
+    return get
+
+
 def strip(text: Column) -> Column:
     """Trim every Unicode whitespace character, not just spaces, in linear time."""
     return F.btrim(text, F.lit(WHITESPACE))

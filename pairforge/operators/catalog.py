@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairforge.fixed_values import DEFAULT_SQL_TYPE, SQL_TYPES
+from pairforge.functions.text import bind
 
 RAW_ENTRY = """db_id STRING, table_names_original ARRAY<STRING>,
     column_names_original ARRAY<ARRAY<STRING>>, column_types ARRAY<STRING>,
@@ -139,36 +140,38 @@ def nest_catalog(columns: DataFrame, foreign_keys: DataFrame, order: str = "col_
 
 def catalogs_from_entries(entries: DataFrame) -> DataFrame:
     """One nested row per entry, built inside the row."""
-    coded = F.filter(
-        F.transform(
+    def coded(keys: Column) -> Column:
+        every = F.transform(
             F.arrays_zip("column_names_original", "column_types"),
             lambda c, i: F.struct(
                 F.get(c["column_names_original"], F.lit(0)).cast("int").alias("table_idx"),
                 F.get(c["column_names_original"], F.lit(1)).alias("name"),
                 c["column_types"].alias("type"),
-                F.array_contains("_keys", i).alias("is_primary_key"),
+                F.array_contains(keys, i).alias("is_primary_key"),
             ),
-        ),
-        lambda c: c["table_idx"] >= 0,
-    )
-
-    def columns_of(table_idx: Column) -> Column:
-        return F.transform(
-            F.filter("_coded", lambda c: c["table_idx"] == table_idx),
-            lambda c: F.struct(c["name"], c["type"], c["is_primary_key"]),
         )
+        return F.filter(every, lambda c: c["table_idx"] >= 0)
+
+    def tables(columns: Column) -> Column:
+        def columns_of(table_idx: Column) -> Column:
+            return F.transform(
+                F.filter(columns, lambda c: c["table_idx"] == table_idx),
+                lambda c: F.struct(c["name"], c["type"], c["is_primary_key"]),
+            )
+
+        return F.transform("table_names_original", lambda t, i: F.struct(t, columns_of(i)))
 
     def end(key: Column, position: int) -> tuple[Column, Column]:
         column = F.get("column_names_original", F.get(key, F.lit(position)))
         return F.get("table_names_original", F.get(column, F.lit(0)).cast("int")), F.get(column, F.lit(1))
 
-    rows = entries.withColumn("_keys", _primary_key_indexes()).withColumn("_coded", coded)
-    return rows.select(
+    keys = F.transform("foreign_keys", lambda k: F.struct(*end(k, 0), *end(k, 1)))
+    return entries.select(
         "db_id",
-        F.transform("table_names_original", lambda t, i: F.struct(t, columns_of(i)))
+        bind(_primary_key_indexes(), lambda pk: bind(coded(pk), tables))
         .cast(f"array<{TABLE}>").alias("tables"),
-        F.transform("foreign_keys", lambda k: F.struct(*end(k, 0), *end(k, 1)))
-        .cast(f"array<{FOREIGN_KEY}>").alias("foreign_keys"),
+        F.coalesce(keys.cast(f"array<{FOREIGN_KEY}>"), F.array().cast(f"array<{FOREIGN_KEY}>"))
+        .alias("foreign_keys"),
     )
 
 

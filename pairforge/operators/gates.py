@@ -14,32 +14,32 @@ from pairforge.fixed_values import (
     MIN_TABLE_RECALL,
 )
 from pairforge.functions.joins import lookup_join
-from pairforge.functions.text import strip
+from pairforge.functions.text import bind, strip
 from pairforge.operators.usage import lower_tables
 
 
 def _label_error(names: Column) -> Column:
     """First structural error of a label, or null, in table then column order."""
     def table_error(t: Column) -> Column:
-        known = F.try_element_at(F.filter(names, lambda n: n["name"] == F.lower(t)), F.lit(-1))
         listed = F.coalesce(F.try_element_at("columns", t), F.array().cast("array<string>"))
-        bad = F.get(
-            F.filter(listed, lambda c: ~F.array_contains(known["columns"], F.lower(c))), F.lit(0)
-        )
-        return F.when(known.isNull(), F.concat(F.lit("table "), t, F.lit(" not in schema"))).when(
-            bad.isNotNull(),
-            F.concat(F.lit("column "), t, F.lit("."), bad, F.lit(" not in schema")),
-        )
+
+        def column_error(known: Column) -> Column:
+            bad = F.filter(listed, lambda c: ~F.array_contains(known["columns"], F.lower(c)))
+            return bind(
+                F.get(bad, F.lit(0)),
+                lambda c: F.concat(F.lit("column "), t, F.lit("."), c, F.lit(" not in schema")),
+            )
+
+        known = F.try_element_at(F.filter(names, lambda n: n["name"] == F.lower(t)), F.lit(-1))
+        missing = F.concat(F.lit("table "), t, F.lit(" not in schema"))
+        return bind(known, lambda k: F.when(k.isNull(), missing).otherwise(column_error(k)))
 
     errors = F.filter(F.transform("tables", table_error), lambda e: e.isNotNull())
+    empty = (strip(F.col("question")) == "") | (strip(F.col("query")) == "")
     return (
         F.when(names.isNull(), F.concat(F.lit("unknown db_id "), F.col("db_id")))
         .when(F.coalesce(F.size("tables"), F.lit(0)) <= 0, "no tables in label")
-        .when(F.size(errors) > 0, F.get(errors, F.lit(0)))
-        .when(
-            (strip(F.col("question")) == "") | (strip(F.col("query")) == ""),
-            "empty question or query",
-        )
+        .otherwise(F.coalesce(F.get(errors, F.lit(0)), F.when(empty, "empty question or query")))
     )
 
 

@@ -38,10 +38,13 @@ def parse_table_lines(reply: Column) -> Column:
             ),
         )
         error = F.when(
-            bad.isNotNull(), F.concat(F.lit("unparseable line: '"), bad, F.lit("'"))
-        ).when(F.size(kept) == 0, "no table selections found in output")
-        return F.struct(
-            F.when(error.isNull(), entries).alias("entries"), error.alias("error")
+            F.size(kept) == 0, "no table selections found in output"
+        ).otherwise(
+            bind(bad, lambda x: F.concat(F.lit("unparseable line: '"), x, F.lit("'")))
+        )
+        return bind(
+            error,
+            lambda e: F.struct(F.when(e.isNull(), entries).alias("entries"), e.alias("error")),
         )
 
     wanted = F.filter(lines(strip(reply)), lambda x: ~strip(x).startswith("```"))
@@ -50,19 +53,27 @@ def parse_table_lines(reply: Column) -> Column:
 
 def merge_duplicate_tables(entries: Column) -> Column:
     """One entry per table at its first position; later lines add only new columns."""
-    def merge(name: Column) -> Column:
+    def merge(entries: Column, name: Column) -> Column:
         def join(same: Column) -> Column:
             first = F.get(same, F.lit(0))["columns"]
             rest = F.flatten(F.transform(F.slice(same, F.lit(2), F.size(same)), lambda e: e["columns"]))
             return F.struct(
                 name.alias("table_name"),
-                F.concat(first, F.array_except(rest, first)).alias("columns"),
+                F.when(F.size(same) == 1, first)
+                .otherwise(F.concat(first, F.array_except(rest, first)))
+                .alias("columns"),
             )
 
         return bind(F.filter(entries, lambda e: e["table_name"] == name), join)
 
-    names = F.array_distinct(F.transform(entries, lambda e: e["table_name"]))
-    return F.transform(names, merge).cast(ENTRY)
+    def merge_all(entries: Column) -> Column:
+        every = F.transform(entries, lambda e: e["table_name"])
+        names = F.array_distinct(every)
+        merged = F.transform(names, lambda name: merge(entries, name))
+        # Most replies name each table once and need no merging.
+        return F.when(F.size(every) == F.size(names), entries).otherwise(merged.cast(ENTRY))
+
+    return bind(entries, merge_all)
 
 
 def _fenced(text: Column, language: str) -> Column:
@@ -117,34 +128,41 @@ def chart_validation(
     body: Column, columns: Column, allowed_types: list[str] = CHART_TYPES
 ) -> Column:
     """``answer``, ``chart`` and the first ``error`` of a presentation object, checked in order."""
-    kind = F.schema_of_variant
-    value = F.try_parse_json(body)
-
-    def check(v: Column) -> Column:
-        def part(path: str) -> Column:
-            return F.try_variant_get(v, path, "variant")
+    def part(v: Column, path: str) -> Column:
+        return F.try_variant_get(v, path, "variant")
 
-        def is_text(path: str) -> Column:
-            return F.coalesce(kind(part(path)) == "STRING", F.lit(False))
+    def facts(v: Column, columns: Column) -> Column:
+        """Kinds and values of the parts a presentation may have."""
+        def kind(path: str) -> Column:
+            return F.coalesce(F.schema_of_variant(part(v, path)), F.lit(""))
 
         def text(path: str) -> Column:
             return F.try_variant_get(v, path, "string")
 
-        no_chart = F.coalesce(kind(part("$.chart")) == "VOID", F.lit(False))
-        is_object = F.coalesce(kind(part("$.chart")).startswith("OBJECT"), F.lit(False))
-        y_type = F.coalesce(kind(part("$.chart.y")), F.lit(""))
-        series_ok = F.coalesce(kind(part("$.chart.series")).isin("STRING", "VOID"), F.lit(True))
-        chart_ok = (
-            is_object & is_text("$.chart.type") & is_text("$.chart.x")
-            & y_type.isin("ARRAY<STRING>", "ARRAY<VOID>") & series_ok
+        return F.struct(
+            kind("$.answer").alias("answer_kind"), text("$.answer").alias("answer"),
+            kind("$.chart").alias("chart_kind"),
+            kind("$.chart.type").alias("type_kind"), kind("$.chart.x").alias("x_kind"),
+            kind("$.chart.y").alias("y_kind"), kind("$.chart.series").alias("series_kind"),
+            F.struct(
+                text("$.chart.type").alias("type"), text("$.chart.x").alias("x"),
+                F.try_variant_get(v, "$.chart.y", "array<string>").alias("y"),
+                text("$.chart.series").alias("series"),
+            ).alias("chart"),
+            columns.alias("columns"),
         )
-        y_values = F.try_variant_get(v, "$.chart.y", "array<string>")
-        # An array of nulls has the same type as an empty one but is not a list of names.
-        y_clean = F.coalesce(~F.exists(y_values, lambda c: c.isNull()), F.lit(False))
-        shape_ok = is_text("$.answer") & (no_chart | (chart_ok & y_clean))
-        chart = F.struct(
-            text("$.chart.type").alias("type"), text("$.chart.x").alias("x"),
-            y_values.alias("y"), text("$.chart.series").alias("series"),
+
+    def check(f: Column) -> Column:
+        chart = f["chart"]
+        no_chart = f["chart_kind"] == "VOID"
+        chart_ok = (
+            f["chart_kind"].startswith("OBJECT")
+            & (f["type_kind"] == "STRING")
+            & (f["x_kind"] == "STRING")
+            & f["y_kind"].isin("ARRAY<STRING>", "ARRAY<VOID>")
+            # An array of nulls has the same kind as an empty one but names nothing.
+            & F.coalesce(~F.exists(chart["y"], lambda c: c.isNull()), F.lit(False))
+            & f["series_kind"].isin("STRING", "VOID", "")
         )
         used = F.concat(
             F.array(chart["x"]), chart["y"],
@@ -152,10 +170,10 @@ def chart_validation(
                 F.array().cast("array<string>")
             ),
         )
-        unknown = F.filter(used, lambda c: ~F.array_contains(columns, c))
+        unknown = F.filter(used, lambda c: ~F.array_contains(f["columns"], c))
         error = (
-            F.when(~shape_ok, "output does not match schema")
-            .when(strip(text("$.answer")) == "", "answer is empty")
+            F.when(~((f["answer_kind"] == "STRING") & (no_chart | chart_ok)), "output does not match schema")
+            .when(strip(f["answer"]) == "", "answer is empty")
             .when(no_chart, F.lit(None).cast("string"))
             .when(
                 ~chart["type"].isin(*allowed_types),
@@ -174,13 +192,16 @@ def chart_validation(
                 ),
             )
         )
-        return F.struct(
-            F.when(error.isNull(), text("$.answer")).alias("answer"),
-            F.when(error.isNull() & ~no_chart, chart).alias("chart"),
-            error.alias("error"),
+        return bind(
+            error,
+            lambda e: F.struct(
+                F.when(e.isNull(), f["answer"]).alias("answer"),
+                F.when(e.isNull() & ~no_chart, chart).alias("chart"),
+                e.alias("error"),
+            ),
         )
 
-    return bind(value, check)
+    return bind(F.try_parse_json(body), lambda v: bind(facts(v, columns), check))
 
 
 def parse_presentation(

@@ -15,10 +15,12 @@ from pyspark.sql import Column, functions as F
 from pairforge.functions.text import bind
 
 # Comments, quoted text, names, numbers, two-character operators, anything else.
+# No name holds SEPARATOR, so a joined shape splits back into the same tokens.
+SEPARATOR = "\1"
 TOKEN = (
-    r"--[^\n]*|/\*[\s\S]*?\*/|'[^']*'|\"[^\"]*\"|`[^`]*`|\[[^\]]*\]"
+    r"--[^\n]*|/\*[\s\S]*?\*/|'[^']*'|\"[^\"\x01]*\"|`[^`\x01]*`|\[[^\]\x01]*\]"
     r"|[\p{L}_][\p{L}\p{N}_$]*|[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
-    r"|<=|>=|<>|!=|==|\|\||\S"
+    r"|<=|>=|<>|!=|==|\|\||[^\s\x01]"
 )
 
 # Words that are never a table, alias or column name.
@@ -70,6 +72,15 @@ def statement_shape(tokens: Column) -> Column:
     )
 
 
+def shape_text(sql: Column) -> Column:
+    """The shape of a statement as one string."""
+    return F.array_join(statement_shape(raw_tokens(sql)), SEPARATOR)
+
+
+def shape_tokens(text: Column) -> Column:
+    return F.split(text, SEPARATOR)
+
+
 def _name(token: Column, before: Column) -> Column:
     """The identifier a token spells, or null."""
     kind = token_kind(token)

@@ -131,25 +131,23 @@ def prune_catalog(
     include_primary_keys: bool = True,
     include_foreign_keys: bool = True,
 ) -> Column:
-    closed = fk_closure(used, foreign_keys) if include_foreign_keys else used
+    def close(used: Column) -> Column:
+        return fk_closure(used, foreign_keys) if include_foreign_keys else used
 
     def keep(closed: Column) -> Column:
         return pk_retention(closed, tables) if include_primary_keys else closed
 
-    return bind(
-        closed,
-        lambda c: bind(
-            keep(c),
-            lambda kept: bind(
-                prune_tables(kept, tables),
-                lambda pruned: F.struct(
-                    db_id.alias("db_id"),
-                    pruned.alias("tables"),
-                    prune_foreign_keys(pruned, foreign_keys).alias("foreign_keys"),
-                ),
+    def prune(kept: Column) -> Column:
+        return bind(
+            prune_tables(kept, tables),
+            lambda pruned: F.struct(
+                db_id.alias("db_id"),
+                pruned.alias("tables"),
+                prune_foreign_keys(pruned, foreign_keys).alias("foreign_keys"),
             ),
-        ),
-    ).cast(CATALOG)
+        )
+
+    return bind(used, lambda u: bind(close(u), lambda c: bind(keep(c), prune))).cast(CATALOG)
 
 
 def pruned_names(pruned: Column) -> Column:

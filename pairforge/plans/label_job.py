@@ -9,24 +9,33 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairforge.fixed_values import FAILURE_SAMPLE_SIZE
 from pairforge.functions.joins import fits_broadcast, lookup_join, weighted_join
 from pairforge.functions.scratch import stage
-from pairforge.operators.statements import raw_tokens, resolve_statement, statement_shape
+from pairforge.functions.text import built_once
+from pairforge.operators.statements import resolve_statement, shape_text, shape_tokens
 from pairforge.operators.usage import lower_tables, prune_catalog, pruned_names, token_fallback
 
-_RESOLVED: dict[str, Column] = {}
 
+@built_once
+def _resolved() -> Column:
+    """The resolver over ``shape`` and ``names``."""
+    return resolve_statement(F.col("shape"), F.col("names"))
 
-def _resolved(spark: SparkSession) -> Column:
-    """The resolver expression over ``shape`` and ``names``, built once per application."""
-    app = spark.sparkContext.applicationId
-    if app not in _RESOLVED:
-        _RESOLVED.clear()
-        _RESOLVED[app] = resolve_statement(F.col("shape"), F.col("names"))
-    return _RESOLVED[app]
+
+@built_once
+def _pruned(used: str, include_primary_keys: bool, include_foreign_keys: bool) -> Column:
+    return prune_catalog(
+        F.col("db_id"), F.col(used), F.col("tables"), F.col("foreign_keys"),
+        include_primary_keys=include_primary_keys, include_foreign_keys=include_foreign_keys,
+    )
+
+
+@built_once
+def _words() -> Column:
+    return token_fallback(F.col("query"), F.col("names"))
 
 
 def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
@@ -37,8 +46,8 @@ def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
 
 def keyed_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with the shape of their statement and its key, tokenised once."""
-    shaped = pairs.withColumn("shape", statement_shape(raw_tokens(F.col("query"))))
-    return shaped.withColumn("shape_key", F.sha2(F.concat_ws("\1", "db_id", "shape"), 256))
+    shaped = pairs.withColumn("shape_text", shape_text(F.col("query")))
+    return shaped.withColumn("shape_key", F.sha2(F.concat_ws("\1", "db_id", "shape_text"), 256))
 
 
 def distinct_shapes(keyed: DataFrame) -> DataFrame:
@@ -51,16 +60,17 @@ def distinct_shapes(keyed: DataFrame) -> DataFrame:
     tasks = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
-    counted = keyed.groupBy("shape_key", "db_id", "shape").agg(F.count("*").alias("n"))
+    counted = keyed.groupBy("shape_key", "db_id", "shape_text").agg(F.count("*").alias("n"))
     return counted.repartition(tasks, "shape_key")
 
 
 def resolve_shapes(shapes: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Attach each shape's catalog and resolve its names; ``found`` is null without one."""
     lookup = catalogs.withColumn("names", lower_tables(F.col("tables")))
-    attached = lookup_join(shapes, lookup, ["db_id"], "left", salt_on=["shape_key"])
+    split = shapes.withColumn("shape", shape_tokens(F.col("shape_text"))).drop("shape_text")
+    attached = lookup_join(split, lookup, ["db_id"], "left", salt_on=["shape_key"])
     return attached.withColumn(
-        "found", F.when(F.col("tables").isNotNull(), _resolved(shapes.sparkSession))
+        "found", F.when(F.col("tables").isNotNull(), _resolved())
     )
 
 
@@ -75,7 +85,7 @@ def statement_details(pairs: DataFrame, catalogs: DataFrame, parts: list[str]) -
         "shape_key", "n", *[F.col(f"found.{part}").alias(part) for part in parts]
     )
     joined = weighted_join(
-        keyed.drop("shape"), stage(found, "found"), "shape_key", weight="n", salt_on="id"
+        keyed.drop("shape_text"), stage(found, "found"), "shape_key", weight="n", salt_on="id"
     )
     return joined.drop("n", "shape_key")
 
@@ -91,13 +101,8 @@ def label_pairs(
     pairs: DataFrame, catalogs: DataFrame, options: LabelOptions = LabelOptions()
 ) -> DataFrame:
     """Every pair with ``method`` (null when it failed), ``reason``, ``used`` and its label."""
-    def label(used: Column) -> Column:
-        pruned = prune_catalog(
-            F.col("db_id"), used, F.col("tables"), F.col("foreign_keys"),
-            include_primary_keys=options.include_primary_keys,
-            include_foreign_keys=options.include_foreign_keys,
-        )
-        return pruned
+    def label(used: str) -> Column:
+        return _pruned(used, options.include_primary_keys, options.include_foreign_keys)
 
     keyed = stage(keyed_pairs(pairs), "pairs")
     shapes = resolve_shapes(distinct_shapes(keyed), catalogs).select(
@@ -112,19 +117,18 @@ def label_pairs(
         shapes.select(
             "shape_key", "n", "known", "problem",
             F.when(clean, F.col("used")).alias("shape_used"),
-            F.when(clean, label(F.col("used"))).alias("shape_pruned"),
+            F.when(clean, label("used")).alias("shape_pruned"),
             *[F.when(~clean, F.col(c)).alias(c) for c in ("tables", "foreign_keys", "names")],
         ),
         "shapes",
     )
     joined = weighted_join(
-        keyed.drop("shape"), resolved, "shape_key", weight="n", salt_on="id"
+        keyed.drop("shape_text"), resolved, "shape_key", weight="n", salt_on="id"
     ).drop("n", "shape_key")
 
     if options.enable_fallback:
         words = F.when(
-            F.col("known") & F.col("problem").isNotNull(),
-            token_fallback(F.col("query"), F.col("names")),
+            F.col("known") & F.col("problem").isNotNull(), _words()
         )
     else:
         words = F.lit(None).cast("array<struct<table_name:string,column_name:string>>")
@@ -146,7 +150,7 @@ def label_pairs(
                 "reason": reason,
                 "used": F.coalesce("shape_used", "word_used"),
                 "pruned_schema": F.coalesce(
-                    "shape_pruned", F.when(F.col("word_used").isNotNull(), label(F.col("word_used")))
+                    "shape_pruned", F.when(F.col("word_used").isNotNull(), label("word_used"))
                 ),
             }
         )

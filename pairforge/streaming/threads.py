@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairforge.fixed_values import FAILURE_ANSWER, MAX_RETRIES
 from pairforge.operators.attempts import with_outcome
@@ -16,68 +14,63 @@ ATTEMPT = """thread_id bigint, request_ord bigint, attempt_ord bigint, sql_text
     http_status int, body string"""
 
 
-class RequestState(StatefulProcessor):
-    """Attempts of one request seen so far, and what they amount to in order.
-
-    Attempts may arrive in any order: all are kept, by their number, and the
-    state is worked out again over the run without gaps from the first.
-    """
-
-    def __init__(self, max_retries: int = MAX_RETRIES) -> None:
-        self.max_retries = max_retries
+def _summary(log: Column, max_retries: int) -> Column:
+    """What attempts, sorted by number, amount to: read from the first up to a gap or an end."""
+    start = F.struct(
+        F.lit(1).cast("bigint").alias("awaited"),
+        F.lit(0).cast("bigint").alias("attempts"),
+        F.lit("running").alias("status"),
+        F.lit(None).cast("string").alias("sql_text"),
+        F.lit(None).cast("string").alias("error"),
+        F.array().cast("array<string>").alias("error_history"),
+    )
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.attempts = handle.getMapState(
-            "attempts", "attempt_ord bigint", "result string, sql_text string, error string"
+    def step(acc: Column, a: Column) -> Column:
+        retryable = a["result"] == "retryable"
+        count = acc["attempts"] + F.when(retryable, 1).otherwise(0)
+        line = F.concat(
+            F.lit("attempt "), count.cast("string"), F.lit(": "),
+            F.coalesce(F.concat(F.lit("'"), a["sql_text"], F.lit("'")), F.lit("None")),
+            F.lit(" -> "), a["error"],
         )
+        read = F.struct(
+            (acc["awaited"] + 1).alias("awaited"),
+            count.alias("attempts"),
+            F.when(a["result"] == "ok", "success")
+            .when(retryable & (count < max_retries), "retry")
+            .otherwise("failed")
+            .alias("status"),
+            a["sql_text"].alias("sql_text"),
+            a["error"].alias("error"),
+            F.when(retryable, F.concat(acc["error_history"], F.array(line)))
+            .otherwise(acc["error_history"])
+            .alias("error_history"),
+        )
+        open_ = acc["status"].isin("running", "retry") & (a["attempt_ord"] == acc["awaited"])
+        return F.when(open_, read).otherwise(acc)
 
-    def handleInputRows(self, key, rows, timerValues):
-        for batch in rows:
-            for row in batch.itertuples(index=False):
-                texts = [None if pd.isna(v) else v for v in (row.result, row.sql_text, row.error)]
-                self.attempts.updateValue((int(row.attempt_ord),), tuple(texts))
-        yield pd.DataFrame([self._summary(key)])
-
-    def _summary(self, key) -> dict:
-        stored = {k[0]: v for k, v in self.attempts.iterator()}
-        count, history, status, sql, error = 0, [], "running", None, None
-        for number in range(1, len(stored) + 1):
-            if number not in stored:
-                break
-            result, sql, error = stored[number]
-            if result == "ok":
-                status = "success"
-            elif result == "fatal":
-                status = "failed"
-            else:
-                count += 1
-                shown = "None" if sql is None else f"'{sql}'"
-                history.append(f"attempt {count}: {shown} -> {error}")
-                status = "failed" if count >= self.max_retries else "retry"
-            if status != "retry":
-                break
-        return {
-            "thread_id": key[0], "request_ord": key[1], "seen": len(stored), "attempts": count,
-            "status": status, "sql_text": sql, "error": error, "error_history": history,
-            "answer": FAILURE_ANSWER if status == "failed" else None,
-        }
-
-    def close(self) -> None:
-        pass
+    return F.aggregate(log, start, step)
 
 
 def request_updates(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
-    """State updates of a stream of attempts. A busy thread is spread over its requests.
+    """State of each request after each micro-batch, whatever order attempts arrive in.
 
-    No request lives past attempt ``max_retries``, so later ones are not kept.
+    The kept state is the set of attempts of a request. No request lives past
+    attempt ``max_retries``, so later ones are not kept and the set is bounded;
+    a busy thread is spread over its requests.
     """
-    return (
+    attempt = F.struct("attempt_ord", "result", "sql_text", "error")
+    logs = (
         with_outcome(attempts.where(F.col("attempt_ord") <= max(max_retries, 1)))
-        .select("thread_id", "request_ord", "attempt_ord", "result", "sql_text", "error")
         .groupBy("thread_id", "request_ord")
-        .transformWithStateInPandas(
-            RequestState(max_retries), outputStructType=UPDATE, outputMode="Update", timeMode="None"
-        )
+        .agg(F.array_sort(F.collect_set(attempt)).alias("log"))
+    )
+    return logs.select(
+        "thread_id", "request_ord", F.size("log").cast("bigint").alias("seen"),
+        _summary(F.col("log"), max_retries).alias("s"),
+    ).select(
+        "thread_id", "request_ord", "seen", "s.attempts", "s.status", "s.sql_text", "s.error",
+        "s.error_history", F.when(F.col("s.status") == "failed", FAILURE_ANSWER).alias("answer"),
     )
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -276,6 +277,24 @@ def with_inputs(body: str, extra: dict[str, str] | None = None) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + body.strip()
 
 
+# Key each table is spread by when its files give fewer splits than there are cores.
+KEYS = {
+    "customer": "c_custkey", "supplier": "s_suppkey", "part": "p_partkey", "orders": "o_orderkey",
+    "events": "event_id", "documents": "doc_id", "conversations": "conv_id",
+}
+
+
+def _given(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A view of a given table; one small file is spread over the cores."""
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if name in KEYS and rows.rdd.getNumPartitions() < cores:
+        rows = rows.repartition(cores, KEYS[name])
+    view = f"given_{name}_{zlib.crc32(sf_dir.encode())}"
+    rows.createOrReplaceTempView(view)
+    return view
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table, or one derived from the given tables."""
     if name not in INPUTS:
@@ -283,6 +302,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     pieces = re.split(r"('(?:[^']|'')*')", with_inputs(f"SELECT * FROM {name}"))
     given = rf"\b(FROM|JOIN) ({'|'.join(TABLES)})\b"
     pieces[::2] = [
-        re.sub(given, rf"\1 parquet.`{sf_dir}/\2.parquet`", text) for text in pieces[::2]
+        re.sub(given, lambda m: f"{m[1]} {_given(spark, sf_dir, m[2])}", text) for text in pieces[::2]
     ]
     return spark.sql("".join(pieces))

@@ -287,9 +287,8 @@ def failure_sample(spark, sf):
 
 # ---- gates
 
-def spoiled_rows(spark: SparkSession, sf: str) -> DataFrame:
+def spoiled_rows(found: DataFrame) -> DataFrame:
     """Labelled rows, some made invalid by template."""
-    found = labels(spark, sf)
     kept = found.where("method IS NOT NULL").withColumn("_n", U.pruned_names(F.col("pruned_schema")))
     tables, k = F.col("_n.tables"), F.col("k")
     return kept.select(
@@ -321,13 +320,14 @@ BROKEN = """SELECT split, 0 AS rule_ord, 'examples' AS rule, format('{}: only {}
 
 
 def rates(spark: SparkSession, sf: str) -> DataFrame:
-    validated = G.validate_rows(spoiled_rows(spark, sf), label_catalogs(spark, sf))
-    return G.split_rates(L.label_report(labels(spark, sf)), validated)
+    found = labels(spark, sf)
+    validated = G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf))
+    return G.split_rates(L.label_report(found), validated)
 
 
 @query("validate_rows", "SELECT id, split, error FROM spoiled", spoiled=SPOILED)
 def validate_rows(spark, sf):
-    return G.validate_rows(spoiled_rows(spark, sf), label_catalogs(spark, sf)).select(
+    return G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf)).select(
         "id", "split", "error"
     )
 
@@ -366,7 +366,7 @@ def gate_verdict(spark, sf):
     spoiled=SPOILED,
 )
 def invalid_sample(spark, sf):
-    validated = G.validate_rows(spoiled_rows(spark, sf), label_catalogs(spark, sf))
+    validated = G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf))
     return G.invalid_sample(validated, ORDER)
 
 
