@@ -28,7 +28,7 @@ def test_every_query_has_sql():
 @pytest.mark.parametrize("name", sorted(set(entry.queries()) - STREAMED))
 def test_no_cartesian_product_and_no_python(spark, name):
     text = plan(entry.queries()[name](spark, SF))
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "PythonRDD", "InPandas"):
         assert bad not in text
 
 

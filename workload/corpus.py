@@ -31,8 +31,8 @@ def unique_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def base_entries(spark: SparkSession) -> DataFrame:
-    bodies = [(json.dumps({"db_id": name, **entry}),) for name, entry in ENTRIES.items()]
-    rows = spark.createDataFrame(bodies, "body string")
+    bodies = [F.lit(json.dumps({"db_id": name, **entry})) for name, entry in ENTRIES.items()]
+    rows = spark.range(1).select(F.explode(F.array(*bodies)).alias("body"))
     return rows.select(F.from_json("body", C.RAW_ENTRY, {"mode": "FAILFAST"}).alias("e")).select("e.*")
 
 
