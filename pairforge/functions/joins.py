@@ -78,16 +78,22 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return picked.select(*keys, "_row.*").select(*df.columns)
 
 
-def _segments(df: DataFrame, order: str, width: int) -> DataFrame:
-    return df.withColumn("_seg", F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(-1)).cast("long"))
+def join_same(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on keys where null matches null (structs compare that way)."""
+    rest = [c for c in other.columns if c not in keys]
+    left = df.withColumn("_same", F.struct(*keys))
+    return left.join(other.select(F.struct(*keys).alias("_same"), *rest), "_same").drop("_same")
 
 
-def _attach(df: DataFrame, per_segment: DataFrame, keys: list[str]) -> DataFrame:
-    """Add per-segment columns to the rows of each segment; null keys match null keys."""
-    marks = {key: f"_key_{key}" for key in [*keys, "_seg"]}
-    renamed = per_segment.withColumnsRenamed(marks)
-    same = [df[key].eqNullSafe(renamed[mark]) for key, mark in marks.items()]
-    return df.join(renamed, same).drop(*marks.values())
+def _segments(df: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
+    """Rows with ``_key``: their keys and the fixed-width segment of the ordinal they lie in."""
+    segment = F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(-1)).cast("long")
+    return df.withColumn("_key", F.struct(*keys, segment.alias("_seg")))
+
+
+def _earlier_segments(keys: list[str]):
+    window = Window.partitionBy(*[F.col("_key")[key] for key in keys]).orderBy("_key._seg")
+    return window.rowsBetween(Window.unboundedPreceding, -1)
 
 
 def with_position(
@@ -96,20 +102,19 @@ def with_position(
     """Number rows 0, 1, 2 .. per key by an ordinal column, without one task per key.
 
     Rows are numbered inside fixed-width segments of the ordinal; per-segment
-    counts, one small row each, give the offsets.
+    counts, one small row each, give the offsets. Numbering and join share one
+    shuffle.
     """
-    seg = _segments(df, order, width)
-    counts = seg.groupBy(*keys, "_seg").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *keys, "_seg", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
-    )
-    inside = Window.partitionBy(*keys, "_seg").orderBy(order)
-    numbered = seg.withColumn("_row", F.row_number().over(inside) - 1)
+    seg = _segments(df, keys, order, width)
+    counts = seg.groupBy("_key").agg(F.count("*").alias("_n"))
+    offset = F.coalesce(F.sum("_n").over(_earlier_segments(keys)), F.lit(0))
+    offsets = counts.select("_key", offset.alias("_offset"))
+    row = F.row_number().over(Window.partitionBy("_key").orderBy(order)) - 1
     return (
-        _attach(numbered, offsets, keys)
+        seg.withColumn("_row", row)
+        .join(offsets, "_key")
         .withColumn(name, (F.col("_offset") + F.col("_row")).cast("long"))
-        .drop("_seg", "_row", "_offset")
+        .drop("_key", "_row", "_offset")
     )
 
 
@@ -121,20 +126,15 @@ def previous_value(
     Each segment is read by its own task; what the earlier segments of the same
     key end with is carried in from a table of one row per segment.
     """
-    seg = _segments(df.withColumn("_prev_value", value), order, width)
-    ends = seg.groupBy(*keys, "_seg").agg(
-        F.max_by("_prev_value", F.when(F.col("_prev_value").isNotNull(), F.col(order))).alias("_prev_end")
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_seg").rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
-        *keys, "_seg", F.last("_prev_end", ignorenulls=True).over(earlier).alias("_prev_carry")
-    )
-    inside = (
-        Window.partitionBy(*keys, "_seg").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    seg = _segments(df.withColumn("_value", value), keys, order, width)
+    ends = seg.groupBy("_key").agg(
+        F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end")
     )
-    last = seg.withColumn("_prev_last", F.last("_prev_value", ignorenulls=True).over(inside))
+    carry = F.last("_end", ignorenulls=True).over(_earlier_segments(keys))
+    inside = Window.partitionBy("_key").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
     return (
-        _attach(last, carried, keys)
-        .withColumn(name, F.coalesce("_prev_last", "_prev_carry"))
-        .drop("_seg", "_prev_value", "_prev_last", "_prev_carry")
+        seg.withColumn("_before", F.last("_value", ignorenulls=True).over(inside))
+        .join(ends.select("_key", carry.alias("_carry")), "_key")
+        .withColumn(name, F.coalesce("_before", "_carry"))
+        .drop("_key", "_value", "_before", "_carry")
     )

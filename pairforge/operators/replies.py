@@ -10,6 +10,7 @@ from pairforge.fixed_values import (
     MAX_PREVIEW_ROWS,
     PREVIEW_CELL_CHARS,
 )
+from pairforge.functions.joins import join_same
 from pairforge.functions.text import bind, lines, strip
 
 ENTRY = "array<struct<table_name:string,columns:array<string>>>"
@@ -271,4 +272,4 @@ def result_preview(
         F.format_string("... (%d more row(s) omitted)", F.col("n_rows") - max_rows),
     )
     text = F.concat_ws("\n", F.array(*head), F.col("_lines"), *notes, more)
-    return body.join(sizes, keys).select(*keys, "n_rows", text.alias("preview"))
+    return join_same(body, sizes, keys).select(*keys, "n_rows", text.alias("preview"))

@@ -151,12 +151,14 @@ def prune_catalog(
 
 
 def pruned_names(pruned: Column) -> Column:
-    """``tables`` and ``columns`` of a label from its pruned catalog."""
+    """``tables`` and ``columns`` of a label from its pruned catalog; the last of equal names wins."""
+    names = F.transform(pruned["tables"], lambda t: t["name"])
+    last = F.transform(
+        F.array_distinct(names),
+        lambda name: F.element_at(F.filter(pruned["tables"], lambda t: t["name"] == name), -1)["columns"]["name"],
+    )
     return F.struct(
-        F.transform(pruned["tables"], lambda t: t["name"]).alias("tables"),
-        F.map_from_entries(
-            F.transform(pruned["tables"], lambda t: F.struct(t["name"], t["columns"]["name"]))
-        ).alias("columns"),
+        names.alias("tables"), F.map_from_arrays(F.array_distinct(names), last).alias("columns")
     )
 
 

@@ -47,7 +47,8 @@ def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
 def keyed_pairs(pairs: DataFrame) -> DataFrame:
     """Pairs with the shape of their statement and its key, tokenised once."""
     shaped = pairs.withColumn("shape_text", shape_text(F.col("query")))
-    return shaped.withColumn("shape_key", F.sha2(F.concat_ws("\1", "db_id", "shape_text"), 256))
+    key = F.concat_ws("\1", F.length("db_id").cast("string"), "db_id", "shape_text")
+    return shaped.withColumn("shape_key", F.sha2(key, 256))
 
 
 def distinct_shapes(keyed: DataFrame) -> DataFrame:

@@ -33,6 +33,9 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
+TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
     """Empty when both results are equal, else what differs."""
     df = entry.queries()[name](spark, sf_dir)
@@ -42,6 +45,9 @@ def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
     expected = rows_of(columns, result.fetchall())
     if sorted(df.columns) != sorted(columns):
         return f"columns {sorted(df.columns)} != {sorted(columns)}"
+    types = {d[0]: TYPES.get(str(d[1]), str(d[1])) for d in result.description}
+    if dict(df.dtypes) != types:
+        return f"types {sorted(set(df.dtypes) ^ set(types.items()))}"
     if len(got) != len(expected):
         return f"rows {len(got)} != {len(expected)}: {got[:2]} / {expected[:2]}"
     for a, b in zip(got, expected):

@@ -111,7 +111,10 @@ def test_manifest_and_limit(spark, tmp_path):
     listing = spark.createDataFrame(
         [("a/tables.json",), ("b/tables.json",), ("__MACOSX/dev.json",), ("x/other.json",)], "path string"
     )
-    got = {r.name: (r.path, r.missing) for r in J.landing_manifest(listing, ["tables.json", "dev.json"]).collect()}
+    manifest = J.landing_manifest(listing, ["tables.json", "dev.json"])
+    got = {r.name: (r.path, r.missing) for r in manifest.collect()}
+    with pytest.raises(FileNotFoundError, match="dev.json"):
+        J.require_complete(manifest)
     assert got == {"tables.json": ("b/tables.json", False), "dev.json": (None, True)}
     (tmp_path / "f.bin").write_bytes(b"x")
     assert J.file_listing(spark, str(tmp_path)).first()["path"].endswith("f.bin")

@@ -116,7 +116,7 @@ FROM part
 """
 
 INPUTS["attempts"] = """
-SELECT event_id, user_id AS thread_id, cast(floor(seq / 3) AS BIGINT) AS request_ord, seq % 3 + 1 AS attempt_ord, ts,
+SELECT event_id, user_id AS thread_id, cast(floor(seq / 3) AS BIGINT) AS request_ord, cast(seq % 3 + 1 AS BIGINT) AS attempt_ord, ts,
  CASE WHEN event_id % 11 = 0 THEN NULL ELSE concat('SELECT ', cast(event_id AS VARCHAR(20))) END AS sql_text,
  CASE event_type WHEN 'view' THEN 200 WHEN 'purchase' THEN 200 WHEN 'error' THEN 503 ELSE 422 END AS http_status,
  CASE event_type WHEN 'view' THEN '' WHEN 'purchase' THEN '' WHEN 'error' THEN 'oops' ELSE concat('{"detail": "no such column: x', cast(event_id AS VARCHAR(20)), '"}') END AS body
