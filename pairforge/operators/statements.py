@@ -82,12 +82,14 @@ def shape_tokens(text: Column) -> Column:
 
 
 def _name(token: Column, before: Column) -> Column:
-    """The identifier a token spells, or null."""
-    kind = token_kind(token)
-    return F.when(
-        kind == "quoted", F.substring(token, F.lit(2), F.length(token) - 2)
-    ).when(
-        (kind == "word") & (~token.isin(*KEYWORDS) | before.eqNullSafe(F.lit("."))), token
+    """The identifier a token spells, or null; the common cases are decided first."""
+    first = F.substring(token, 1, 1)
+    quoted = F.when(F.length(token) > 1, F.substring(token, F.lit(2), F.length(token) - 2))
+    return (
+        F.when(token.isin(LITERAL, "(", ")", ",", ".", "=", "*", "<", ">"), None)
+        .when(token.isin(*KEYWORDS) & ~before.eqNullSafe(F.lit(".")), None)
+        .when(first.isin('"', "`", "["), quoted)
+        .when(token.rlike(r"^[\p{L}_]"), token)
     )
 
 
@@ -234,16 +236,15 @@ def _clause_marks(toks: Column, pairs: Column, shape: Column) -> Column:
         commas = F.filter(toks, lambda k: k["t"] == ",")
         return F.concat(words, F.filter(commas, separates))
 
-    return bind(words, with_commas)
+    return F.array_sort(bind(words, with_commas))
 
 
 def _with_clause(toks: Column, marks: Column) -> Column:
+    """Tokens with the clause they stand in, for those that can name or select something."""
     def clause(k: Column) -> Column:
         before = F.filter(marks, lambda m: (m["start"] == k["start"]) & (m["i"] < k["i"]))
-        last = F.array_max(
-            F.transform(before, lambda m: F.struct(m["i"].alias("i"), m["t"].alias("t")))
-        )
-        return k.withField("c", last["t"])
+        asks = k["n"].isNotNull() | (k["t"] == "*") | ((k["t"] == "(") & _starts_query(k["x"]))
+        return k.withField("c", F.when(asks, _last(before)["t"]))
 
     return F.transform(toks, clause)
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
 import decimal
+import io
 import sys
 import time
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import __spark_entry__ as entry
 from workload.inputs import TABLES
@@ -33,12 +35,18 @@ def rows_of(names: list[str], rows) -> list[tuple]:
     return sorted((tuple(plain(row[i]) for i in order) for row in rows), key=repr)
 
 
+def plan(df: DataFrame) -> str:
+    out = io.StringIO()
+    with contextlib.redirect_stdout(out):
+        df.explain("formatted")
+    return out.getvalue()
+
+
 TYPES = {"INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean"}
 
 
-def compare(spark: SparkSession, con, sf_dir: str, name: str) -> str:
+def compare(df: DataFrame, con, name: str) -> str:
     """Empty when both results are equal, else what differs."""
-    df = entry.queries()[name](spark, sf_dir)
     got = rows_of(df.columns, df.collect())
     result = con.execute(entry.oracle_sql()[name])
     columns = [d[0] for d in result.description]
@@ -69,10 +77,11 @@ def main() -> None:
     for name in names:
         start = time.time()
         try:
+            df = entry.queries()[name](spark, sf_dir)
             if name in entry.oracle_sql():
-                problem = compare(spark, con, sf_dir, name)
+                problem = compare(df, con, name)
             else:
-                problem = "" if entry.queries()[name](spark, sf_dir).count() else "no rows"
+                problem = "" if df.count() else "no rows"
         except Exception as error:  # noqa: BLE001
             problem = f"{type(error).__name__}: {str(error)[:500]}"
         print(f"{name:26} {time.time() - start:6.1f}s {'ok' if not problem else 'DIFFERS ' + problem}", flush=True)

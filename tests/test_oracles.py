@@ -3,9 +3,10 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from tests.check_oracles import compare, connect
+from tests.check_oracles import compare, connect, plan
 
 SF = "/root/testdata/sf0.001"
+UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "PythonRDD", "InPandas"]
 
 
 @pytest.fixture(scope="module")
@@ -13,10 +14,13 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
-def test_query_equals_sql(spark, con, name):
-    problem = compare(spark, con, SF, name)
-    assert problem in ("", "no rows")
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query(spark, con, name):
+    """Equal to its SQL, and planned without pairs of all rows or Python."""
+    df = entry.queries()[name](spark, SF)
+    text = plan(df)
+    assert not [word for word in UNWANTED if word in text]
+    assert compare(df, con, name) in ("", "no rows")
 
 
 def test_entry(spark):
