@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairforge.fixed_values import (
     ARTIFACT_BUCKET,
@@ -14,6 +14,17 @@ from pairforge.functions.joins import lookup_join, previous_value, with_position
 from pairforge.operators.gates import model_gates
 
 
+def _promotions(log: DataFrame, width: int) -> DataFrame:
+    """Promotions of an alias log with the version each made champion, null where none was pending."""
+    moves = log.where(F.col("action").isin("register", "promote"))
+    pending = F.struct("action", "version")
+    last = previous_value(moves, ["model"], "seq", pending, "_last", width=width)
+    return last.where("action = 'promote'").select(
+        "model", "seq",
+        F.when(F.col("_last.action") == "register", F.col("_last.version")).alias("champion"),
+    )
+
+
 def promote_candidate(log: DataFrame, *, width: int = 100_000) -> DataFrame:
     """Every promotion of an alias log with its effect.
 
@@ -21,13 +32,7 @@ def promote_candidate(log: DataFrame, *, width: int = 100_000) -> DataFrame:
     ``promote``. A promotion takes the last registered version if none was
     promoted since; otherwise it is an error and changes nothing.
     """
-    moves = log.where(F.col("action").isin("register", "promote"))
-    pending = F.struct("action", "version")
-    last = previous_value(moves, ["model"], "seq", pending, "_last", width=width)
-    promotions = last.where("action = 'promote'").select(
-        "model", "seq",
-        F.when(F.col("_last.action") == "register", F.col("_last.version")).alias("champion"),
-    )
+    promotions = _promotions(log, width)
     old = previous_value(promotions, ["model"], "seq", F.col("champion"), "_old", width=width)
     changed = F.when(
         F.col("_old").isNotNull() & (F.col("_old") != F.col("champion")), F.col("_old")
@@ -45,23 +50,26 @@ def promote_candidate(log: DataFrame, *, width: int = 100_000) -> DataFrame:
 
 
 def alias_state(log: DataFrame, *, width: int = 100_000) -> DataFrame:
-    """Current version per model and alias; null where the alias is not set."""
-    done = promote_candidate(log, width=width).where(F.col("champion").isNotNull())
-    champions = done.groupBy("model").agg(
-        F.max_by(F.struct("champion", "prev_champion"), "seq").alias("_c")
+    """Current version per model and alias; null where the alias is not set.
+
+    The champion is the version promoted last, the previous champion the other
+    version promoted last; versions are merged before they are ranked.
+    """
+    latest = _promotions(log, width).where("champion IS NOT NULL").groupBy("model", "champion").agg(
+        F.max("seq").alias("seq")
     )
-    moves = log.where(F.col("action").isin("register", "promote"))
-    latest = moves.groupBy("model").agg(F.max_by(F.struct("action", "version"), "seq").alias("_m"))
-    models = log.select("model").distinct()
-    return (
-        models.join(latest, "model", "left")
-        .join(champions, "model", "left")
-        .select(
-            "model",
-            F.when(F.col("_m.action") == "register", F.col("_m.version")).alias("candidate"),
-            F.col("_c.champion").alias("champion"),
-            F.col("_c.prev_champion").alias("prev_champion"),
-        )
+    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("seq")))
+    top = latest.withColumn("_rank", rank).where("_rank <= 2")
+    champions = top.groupBy("model").agg(
+        F.max(F.when(F.col("_rank") == 1, F.col("champion"))).alias("champion"),
+        F.max(F.when(F.col("_rank") == 2, F.col("champion"))).alias("prev_champion"),
+    )
+    move = F.when(F.col("action").isin("register", "promote"), F.col("seq"))
+    models = log.groupBy("model").agg(F.max_by(F.struct("action", "version"), move).alias("_m"))
+    return models.join(champions, "model", "left").select(
+        "model",
+        F.when(F.col("_m.action") == "register", F.col("_m.version")).alias("candidate"),
+        "champion", "prev_champion",
     )
 
 

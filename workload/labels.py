@@ -109,13 +109,13 @@ def sql_sources(spark, sf):
     return rows.where("table_name IS NOT NULL").select("id", "split", "alias", "table_name").distinct()
 
 
-REFERENCE_SQL = """SELECT id, split, table_name, unnest(string_split(columns, ',')) AS column_name
+COLUMNS_SQL = """SELECT id, split, table_name, unnest(string_split(columns, ',')) AS column_name
  FROM unique_pairs p JOIN by_template t ON p.k = t.k"""
 
 
 @query(
     "sql_qualified_columns",
-    REFERENCE_SQL,
+    COLUMNS_SQL,
     by_template="""SELECT * FROM (VALUES
     (1,'customer','c_name,c_custkey'),(1,'orders','o_totalprice,o_custkey,o_orderkey'),
     (5,'customer','c_name,c_custkey'),(5,'orders','o_custkey,o_orderkey'),(7,'nation','n_name,n_nationkey'),
@@ -128,7 +128,7 @@ def sql_qualified_columns(spark, sf):
 
 @query(
     "sql_star",
-    REFERENCE_SQL,
+    COLUMNS_SQL,
     by_template="""SELECT * FROM (VALUES
     (3,'customer','c_custkey,c_name,c_nationkey,c_mktsegment,c_acctbal'),
     (10,'supplier','s_suppkey,s_name,s_nationkey,s_acctbal')) AS v(k, table_name, columns)""",
@@ -139,7 +139,7 @@ def sql_star(spark, sf):
 
 @query(
     "sql_unqualified_columns",
-    REFERENCE_SQL,
+    COLUMNS_SQL,
     by_template="""SELECT * FROM (VALUES
     (0,'customer','c_name,c_custkey'),(2,'orders','o_orderkey'),(3,'customer','c_custkey'),
     (4,'customer','c_name,c_custkey'),(4,'orders','o_custkey,o_orderkey'),(6,'nation','n_name,n_nationkey'),(6,'region','r_name'),
