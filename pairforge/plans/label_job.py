@@ -12,12 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairforge.fixed_values import FAILURE_SAMPLE_SIZE
-from pairforge.functions.joins import fits_broadcast, lookup_join, weighted_join
+from pairforge.functions.joins import lookup_join, weighted_join
 from pairforge.functions.scratch import stage
 from pairforge.functions.text import built_once
 from pairforge.operators.statements import resolve_statement, shape_text, shape_tokens
 from pairforge.operators.usage import lower_tables, prune_catalog, pruned_names, token_fallback
 
+PAIRS_PER_TASK = 500
+
 
 @built_once
 def _resolved() -> Column:
@@ -55,12 +57,14 @@ def distinct_shapes(keyed: DataFrame) -> DataFrame:
     """Distinct shapes with the number of pairs that have them, counted before the shuffle.
 
     Resolving costs far more time per byte than anything else here, so the
-    shapes are spread over all tasks instead of being coalesced by size.
+    shapes are spread by number instead of being coalesced by size. ``keyed``
+    is a stage table, whose row count is read from its file footers.
     """
     spark = keyed.sparkSession
-    tasks = max(
+    most = max(
         int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism
     )
+    tasks = max(1, min(most, keyed.count() // PAIRS_PER_TASK))
     counted = keyed.groupBy("shape_key", "db_id", "shape_text").agg(F.count("*").alias("n"))
     return counted.repartition(tasks, "shape_key")
 
