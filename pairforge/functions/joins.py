@@ -5,16 +5,42 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
-HEAVY_KEYS = 1000
+#: Rows of one key that a task joins at most; a key with more is spread over several.
+ROWS_PER_TASK = 1_000_000
+#: In memory a row takes a few times the bytes it has in a Parquet file.
+FILE_TO_MEMORY = 4
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Measure a lookup table before it is broadcast (one aggregate, one row back)."""
+    """Measure a lookup table before it is broadcast.
+
+    The files of a stage table tell its size; any other table is measured by one
+    aggregate that brings one row back.
+    """
+    written = getattr(df, "stage_bytes", None)
+    if written is not None:
+        return written * FILE_TO_MEMORY <= BROADCAST_BYTES
     size = df.select(F.octet_length(F.to_json(F.struct("*"))).alias("n")).agg(F.sum("n")).first()[0]
     return (size or 0) <= BROADCAST_BYTES
 
 
+def _spread_join(
+    facts: DataFrame, lookup: DataFrame, keys: list[str], how: str, heavy: DataFrame, salt_on: list[str]
+) -> DataFrame:
+    """Join by key and salt; ``heavy`` has the keys that need ``_salts`` tasks, all others have salt 0."""
+    if fits_broadcast(heavy):
+        heavy = F.broadcast(heavy)
+    salt = F.pmod(F.xxhash64(*salt_on), F.coalesce("_salts", F.lit(1))).cast("int")
+    last = F.coalesce("_salts", F.lit(1)).cast("int") - 1
+    spread = facts.join(heavy, keys, "left").withColumn("_salt", salt).drop("_salts")
+    copies = (
+        lookup.join(heavy, keys, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), last)))
+        .drop("_salts")
+    )
+    return spread.join(copies, [*keys, "_salt"], how).drop("_salt")
+
+
 def lookup_join(
     facts: DataFrame,
     lookup: DataFrame,
@@ -23,50 +49,43 @@ def lookup_join(
     *,
     salt_on: list[str],
     small: bool | None = None,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Join facts to a lookup table that has one row per key.
 
     A lookup table measured as small is broadcast, so facts are not shuffled.
-    Otherwise the lookup side is copied once per salt and facts are spread over
-    the salts by a hash of ``salt_on``, so a key that holds a third of the
-    facts is still split over ``SALTS`` tasks.
+    Otherwise facts are counted per key, map-side first, and a key with more than
+    ``rows_per_task`` of them is spread by a hash of ``salt_on`` over as many
+    tasks as its count asks for. Only the lookup rows of such keys are copied.
     """
     if small if small is not None else fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), keys, how)
-    salted = facts.withColumn("_salt", F.pmod(F.xxhash64(*salt_on), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+    rows_per_task = rows_per_task or ROWS_PER_TASK
+    counts = facts.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > rows_per_task)
+    heavy = counts.select(*keys, F.ceil(F.col("_n") / rows_per_task).alias("_salts"))
+    return _spread_join(facts, lookup, keys, how, heavy, salt_on)
 
 
 def weighted_join(
-    facts: DataFrame, lookup: DataFrame, key: str, *, weight: str, salt_on: str
+    facts: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    *,
+    weight: str,
+    salt_on: str,
+    rows_per_task: int | None = None,
 ) -> DataFrame:
     """Join facts to a lookup table that knows how many facts each key has.
 
-    A small lookup table is broadcast. Otherwise the heaviest keys, a fixed
-    number of them, are copied per salt and their facts spread over the copies;
-    any other key then holds less than one part in ``HEAVY_KEYS`` of the facts.
+    As ``lookup_join``, without a pass over the facts to count them.
     """
     if fits_broadcast(lookup):
         return facts.join(F.broadcast(lookup), key)
-    heavy = (
-        lookup.orderBy(F.desc(weight), key).limit(HEAVY_KEYS).select(key, F.lit(True).alias("_heavy"))
-    )
-    salt = F.pmod(F.xxhash64(salt_on), F.lit(SALTS)).cast("int")
-    spread = (
-        facts.join(F.broadcast(heavy), key, "left")
-        .withColumn("_salt", F.when(F.col("_heavy"), salt).otherwise(0))
-        .drop("_heavy")
-    )
-    copies = (
-        lookup.join(F.broadcast(heavy), key, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0), F.when(F.col("_heavy"), SALTS - 1).otherwise(0))),
-        )
-        .drop("_heavy")
+    rows_per_task = rows_per_task or ROWS_PER_TASK
+    heavy = lookup.where(F.col(weight) > rows_per_task).select(
+        key, F.ceil(F.col(weight) / rows_per_task).alias("_salts")
     )
-    return spread.join(copies, [key, "_salt"]).drop("_salt")
+    return _spread_join(facts, lookup, [key], "inner", heavy, [salt_on])
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

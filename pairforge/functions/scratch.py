@@ -2,21 +2,77 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from contextlib import suppress
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the cluster's warehouse."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder of the cluster (a temp folder only where none is named)."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    base = shared or tempfile.mkdtemp(prefix="pairforge-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; it is removed at the end of the driver program."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    atexit.register(_discard_quietly, spark, path)
+    return path
+
+
+def file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path in its form."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a stage table; nothing may read it any more."""
+    fs, place = file_system(spark, path)
+    fs.delete(place, True)
+
+
+def _discard_quietly(spark: SparkSession, path: str) -> None:
+    with suppress(Exception):  # the session may have ended
+        discard(spark, path)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a stage table and read it back: its lineage ends at files that survive lost executors."""
-    path = scratch_path(df.sparkSession, name)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    fs, place = file_system(spark, path)
+    table.stage_path, table.stage_bytes = path, fs.getContentSummary(place).getLength()
+    return table
+
+
+class Stages:
+    """Stage tables of one job, deleted at its end; a result that is read later is written by ``stage``.
+
+    >>> with Stages() as stages:
+    ...     step = stages.write(df, "step")
+    ...     result = stage(step.groupBy("k").count(), "result")
+    """
+
+    def __init__(self) -> None:
+        self.own: list[DataFrame] = []
+
+    def __enter__(self) -> Stages:
+        return self
+
+    def __exit__(self, *_) -> None:
+        for table in self.own:
+            discard(table.sparkSession, table.stage_path)
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """A stage table that is deleted when the job ends."""
+        self.own.append(stage(df, name))
+        return self.own[-1]
+
+    def drop(self, table: DataFrame) -> None:
+        """Delete a stage table before the job ends."""
+        self.own = [other for other in self.own if other is not table]
+        discard(table.sparkSession, table.stage_path)

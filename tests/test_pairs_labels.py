@@ -97,7 +97,26 @@ def test_options(spark, unique):
 def test_same_result_without_broadcast(spark, unique, monkeypatch):
     small = sorted(L.label_pairs(unique, label_catalogs(spark, "")).collect(), key=str)
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
-    monkeypatch.setattr(joins, "HEAVY_KEYS", 2)
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 2)
     shuffled = unique.orderBy(F.rand(3)).repartition(5)
     large = sorted(L.label_pairs(shuffled, label_catalogs(spark, "")).collect(), key=str)
     assert [str(r) for r in small] == [str(r) for r in large]
+
+
+def test_hot_key_is_spread_by_its_count(spark, monkeypatch):
+    """One key with 90% of the facts: no task joins more than a bounded share, for growing input."""
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 500)
+    lookup = spark.range(50).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
+    for n in (2_000, 20_000):
+        facts = spark.range(n).select("id", F.when(F.col("id") % 10 > 0, 3).otherwise(F.col("id") % 50).alias("k"))
+        joined = joins.lookup_join(facts, lookup, ["k"], "left", salt_on=["id"])
+        assert joined.where("v is null or v <> k * 7").count() == 0 and joined.count() == n
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        try:
+            spark.conf.set("spark.sql.shuffle.partitions", "200")
+            most = joined.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+        finally:
+            spark.conf.unset("spark.sql.adaptive.enabled")
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert most <= 5 * 500
