@@ -14,7 +14,7 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
 def test_query(spark, con, name):
     """Equal to its SQL, and planned without pairs of all rows or Python."""
     df = entry.queries()[name](spark, SF)
