@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pairforge.functions.scratch import stage
-from pairforge.llm import quality_rules
+from pairforge.llm import best_fit_packing, co_training, jaccard_join, poisson_mixing, quality_rules
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -18,11 +18,35 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_by_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the co-trained classifier keeps."""
+    return co_training.keep_by_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies."""
+    return jaccard_join.keep_one_of_each(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated to the target weights of their sources, in a random order."""
+    return poisson_mixing.mix_sources(docs).select(*docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of the permitted lengths."""
+    return best_fit_packing.pack_documents(docs)
+
+
 STAGES = [
     ("quality rules", rules),
+    ("quality classifier", classifier),
+    ("n-gram Jaccard join", near_copies),
+    ("mixing sources", mixing),
+    ("best-fit packing", packing),
 ]
 
-#: Two stages fit models, which SQL cannot express; tests hold the run against brute force.
+#: Two stages fit models, which SQL cannot express; tests hold each stage against brute force.
 ORACLE_SQL: str | None = None
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairforge.llm import quality_rules
+from pairforge.llm import best_fit_packing, co_training, hilbert_shards, jaccard_join, poisson_mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,6 +21,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of several permitted lengths."""
+    return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents that share four fifths of their 5-word shingles."""
+    return jaccard_join.similar_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of every document by two co-trained views."""
+    return co_training.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and boosted trees over every document."""
@@ -28,3 +46,19 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
     )
+
+
+@query
+def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents repeated to flattened source weights, in a random order."""
+    return poisson_mixing.mix_sources(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_poisson_mixing"] = poisson_mixing.MIX_SQL
+
+
+@query
+def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in 40 shards along a curve over language, source and length."""
+    axes = [hilbert_shards.category_axis("lang"), hilbert_shards.category_axis("source"), hilbert_shards.magnitude_axis("n_chars")]
+    return hilbert_shards.shard_by_curve(table(spark, sf_dir, "documents"), axes)
