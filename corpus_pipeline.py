@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pairforge.functions.scratch import stage
+from pairforge.functions.shipping import ship_package
 from pairforge.llm import best_fit_packing, co_training, jaccard_join, poisson_mixing, quality_rules
 
 
@@ -52,6 +53,7 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
+    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))

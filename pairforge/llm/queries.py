@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pairforge.functions.shipping import ship_package
 from pairforge.llm import best_fit_packing, co_training, hilbert_shards, jaccard_join, poisson_mixing, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -13,8 +15,15 @@ ORACLES: dict[str, str] = {}
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+    """Register a query; executors get the package before it runs."""
+
+    @wraps(function)
+    def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = shipped
+    return shipped
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
