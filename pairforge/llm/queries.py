@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.shipping import ship_package
-from pairforge.llm import best_fit_packing, co_training, hilbert_shards, jaccard_join, poisson_mixing, quality_rules
+from pairforge.llm import best_fit_packing, co_training, hamming_search, hilbert_shards, html_text, jaccard_join, poisson_mixing, quality_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,12 +30,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every hundredth vector."""
+    return hamming_search.top_k(table(spark, sf_dir, "embeddings"))
+
+
 @query
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of several permitted lengths."""
     return best_fit_packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 @query
 def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents that share four fifths of their 5-word shingles."""
@@ -66,6 +78,20 @@ def op8_poisson_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 ORACLES["op8_poisson_mixing"] = poisson_mixing.MIX_SQL
 
 
+@query
+def op9_warc_index_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as a WARC record, read back from the archives in the order of their merged index.
+
+    Pages have no time of capture; it is derived from ``page_id``.
+    """
+    captured = F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") % 10_000_000)
+    histories = warc.capture_histories(table(spark, sf_dir, "pages").withColumn("captured", captured))
+    return histories.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured",
+        "record_offset", "record_length", "history_order",
+    )
+
+
 @query
 def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a curve over language, source and length."""
