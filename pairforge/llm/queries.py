@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.shipping import ship_package
-from pairforge.llm import best_fit_packing, co_training, hamming_search, hilbert_shards, html_text, jaccard_join, poisson_mixing, quality_rules, warc
+from pairforge.llm import best_fit_packing, co_training, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -60,6 +60,12 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return co_training.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the word model and by the attention model."""
+    return lm_scoring.score_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and boosted trees over every document."""
