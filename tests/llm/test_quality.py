@@ -85,7 +85,7 @@ def test_views_exchange_labels():
     truth = rng.integers(0, 2, n).astype(float)
     strong = np.stack([truth * 4 + rng.normal(0, 0.5, n), rng.normal(size=n)], axis=1)
     weak = np.stack([truth + rng.normal(0, 1, n), rng.normal(size=n)], axis=1)
-    few = 20
+    few = 60
     alone = co_training.Logistic.fit(weak[:few], truth[:few])
     pair = co_training.co_train((strong[:few], weak[:few]), truth[:few], (strong[few:], weak[few:]))
     accuracy = lambda m, x: ((m.margin(x) > 0) == truth).mean()
