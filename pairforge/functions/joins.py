@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from pairforge.functions.scratch import stage
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 #: Rows of one key that a task joins at most; a key with more is spread over several.
 ROWS_PER_TASK = 1_000_000
@@ -104,10 +106,17 @@ def join_same(df: DataFrame, other: DataFrame, keys: list[str]) -> DataFrame:
     return left.join(other.select(F.struct(*keys).alias("_same"), *rest), "_same").drop("_same")
 
 
-def _segments(df: DataFrame, keys: list[str], order: str, width: int) -> DataFrame:
-    """Rows with ``_key``: their keys and the fixed-width segment of the ordinal they lie in."""
-    segment = F.coalesce(F.floor(F.col(order) / F.lit(width)), F.lit(-1)).cast("long")
-    return df.withColumn("_key", F.struct(*keys, segment.alias("_seg")))
+def _segments(df: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Rows with ``_key``: their keys and the segment of the order they lie in.
+
+    Segments are range partitions of keys and ordinal, so they hold about equally many
+    rows whatever the ordinals are. Rows of equal ordinal are told apart by a hash. The
+    ranges are written once, as each reading would else sample ranges of its own.
+    """
+    hashed = [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+    dealt = df.repartitionByRange(*keys, order, F.xxhash64(*hashed)).withColumn("_seg", F.spark_partition_id())
+    table = stage(dealt, "segments")
+    return table.withColumn("_key", F.struct(*keys, "_seg")).drop("_seg")
 
 
 def _earlier_segments(keys: list[str]):
@@ -116,15 +125,14 @@ def _earlier_segments(keys: list[str]):
 
 
 def with_position(
-    df: DataFrame, keys: list[str], order: str, *, width: int = 100_000, name: str = "position"
+    df: DataFrame, keys: list[str], order: str, *, name: str = "position"
 ) -> DataFrame:
     """Number rows 0, 1, 2 .. per key by an ordinal column, without one task per key.
 
-    Rows are numbered inside fixed-width segments of the ordinal; per-segment
-    counts, one small row each, give the offsets. Numbering and join share one
-    shuffle.
+    Rows are numbered inside segments of the order; per-segment counts, one small
+    row each, give the offsets. Numbering and join share one shuffle.
     """
-    seg = _segments(df, keys, order, width)
+    seg = _segments(df, keys, order)
     counts = seg.groupBy("_key").agg(F.count("*").alias("_n"))
     offset = F.coalesce(F.sum("_n").over(_earlier_segments(keys)), F.lit(0))
     offsets = counts.select("_key", offset.alias("_offset"))
@@ -138,14 +146,14 @@ def with_position(
 
 
 def previous_value(
-    df: DataFrame, keys: list[str], order: str, value: Column, name: str, *, width: int = 100_000
+    df: DataFrame, keys: list[str], order: str, value: Column, name: str
 ) -> DataFrame:
     """Last non-null ``value`` strictly before each row per key, by segments.
 
     Each segment is read by its own task; what the earlier segments of the same
     key end with is carried in from a table of one row per segment.
     """
-    seg = _segments(df.withColumn("_value", value), keys, order, width)
+    seg = _segments(df.withColumn("_value", value), keys, order)
     ends = seg.groupBy("_key").agg(
         F.max_by("_value", F.when(F.col("_value").isNotNull(), F.col(order))).alias("_end")
     )

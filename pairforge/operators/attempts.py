@@ -55,9 +55,11 @@ def attempt_outcome(sql: Column, response: Column, prior_error: Column | None =
     )
 
 
-def with_outcome(attempts: DataFrame) -> DataFrame:
+def with_outcome(attempts: DataFrame, generator_error: str | None = None) -> DataFrame:
+    """Attempts with ``result`` and ``error``; ``generator_error`` names the column with what the generator said."""
     response = response_class(F.col("http_status"), F.col("body"))
-    outcome = attempt_outcome(F.col("sql_text"), response)
+    prior = None if generator_error is None else F.col(generator_error)
+    outcome = attempt_outcome(F.col("sql_text"), response, prior)
     return attempts.withColumn("_o", outcome).withColumns(
         {"result": F.col("_o.result"), "error": F.col("_o.error")}
     ).drop("_o")
@@ -115,9 +117,9 @@ def schema_context(
     return F.when(has_history | is_retry, full_text).otherwise(F.coalesce(pruned_text, full_text))
 
 
-def history_append(turns: DataFrame, keys: list[str], order: str, *, width: int = 100_000) -> DataFrame:
+def history_append(turns: DataFrame, keys: list[str], order: str) -> DataFrame:
     """The append-only log of a thread: every turn with its position, oldest first."""
-    return with_position(turns, keys, order, width=width)
+    return with_position(turns, keys, order)
 
 
 def history_window(
@@ -131,10 +133,11 @@ def history_window(
 ) -> DataFrame:
     """Every turn with the ``history`` of up to ``last_n`` turns before it.
 
-    A long thread is cut into segments by position; the last turns of a segment
-    are also handed to the next one, so no thread has to fit one task.
+    A long thread is cut into segments by position, none shorter than the window; the
+    last turns of a segment are also handed to the next one, so no thread has to fit one task.
     """
-    log = history_append(turns.withColumn("_value", value), keys, order, width=width)
+    width = max(width, last_n)
+    log = history_append(turns.withColumn("_value", value), keys, order)
     segment = F.floor(F.col("position") / width).cast("long")
     if last_n <= 0:
         return log.withColumn("history", F.filter(F.array("_value"), lambda v: F.lit(False))).drop("_value")

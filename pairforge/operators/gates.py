@@ -15,6 +15,7 @@ from pairforge.fixed_values import (
 )
 from pairforge.functions.joins import lookup_join
 from pairforge.functions.text import bind, strip
+from pairforge.operators.catalog import require_unique_databases
 from pairforge.operators.usage import lower_tables
 
 
@@ -45,7 +46,7 @@ def _label_error(names: Column) -> Column:
 
 def validate_rows(rows: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Labelled rows with their first error (null when valid)."""
-    lookup = catalogs.select("db_id", lower_tables(F.col("tables")).alias("_names"))
+    lookup = require_unique_databases(catalogs).select("db_id", lower_tables(F.col("tables")).alias("_names"))
     attached = lookup_join(rows, lookup, ["db_id"], "left", salt_on=["id"])
     return attached.withColumn("error", _label_error(F.col("_names"))).drop("_names")
 
@@ -145,20 +146,20 @@ def invalid_sample(
     )
 
 
-def model_gates(
-    runs: DataFrame,
+def broken_limits(
     *,
     min_table_recall: float = MIN_TABLE_RECALL,
     min_column_recall: float = MIN_COLUMN_RECALL,
     max_unparseable_rate: float = MAX_UNPARSEABLE_RATE,
-) -> DataFrame:
-    """One row per run and broken limit."""
+) -> Column:
+    """The limits that the metrics of a run break; a missing metric breaks its limit."""
     def limit(order: int, metric: str, sign: str, bound: float) -> Column:
         value = F.col(metric)
         return F.struct(
             F.lit(order).alias("gate_ord"), F.lit(metric).alias("metric"),
-            ((value < bound) if sign == "<" else (value > bound)).alias("broken"),
-            F.format_string(f"{metric} %.4f {sign} {bound}", value).alias("message"),
+            F.coalesce((value < bound) if sign == "<" else (value > bound), F.lit(True)).alias("broken"),
+            F.when(value.isNull(), f"{metric} is missing")
+            .otherwise(F.format_string(f"{metric} %.4f {sign} {bound}", value)).alias("message"),
         )
 
     limits = F.array(
@@ -166,4 +167,9 @@ def model_gates(
         limit(1, "column_recall", "<", min_column_recall),
         limit(2, "unparseable_rate", ">", max_unparseable_rate),
     )
-    return runs.select("run_id", F.inline(limits)).where("broken").drop("broken")
+    return F.filter(limits, lambda x: x["broken"])
+
+
+def model_gates(runs: DataFrame, **limits: float) -> DataFrame:
+    """One row per run and broken limit."""
+    return runs.select("run_id", F.inline(broken_limits(**limits))).drop("broken")

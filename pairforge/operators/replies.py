@@ -245,9 +245,13 @@ def result_preview(
     *,
     max_rows: int = MAX_PREVIEW_ROWS,
     max_cols: int = MAX_PREVIEW_COLS,
+    results: DataFrame | None = None,
 ) -> DataFrame:
     """A clipped text table per result: ``preview`` and ``n_rows``.
 
+    ``results`` has the keys of all results; one without rows shows its header only.
+    Without it, only results that have rows are known.
+
     Only the first ``max_rows`` rows of a result meet in one task; its size is
     counted apart, before the shuffle.
     """
@@ -272,4 +276,11 @@ def result_preview(
         F.format_string("... (%d more row(s) omitted)", F.col("n_rows") - max_rows),
     )
     text = F.concat_ws("\n", F.array(*head), F.col("_lines"), *notes, more)
-    return join_same(body, sizes, keys).select(*keys, "n_rows", text.alias("preview"))
+    found = join_same(body, sizes, keys)
+    if results is not None:
+        every = results.select(F.struct(*keys).alias("_same"))
+        found = every.join(found.withColumn("_same", F.struct(*keys)).drop(*keys), "_same", "left").select(
+            "_same.*", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+            F.coalesce("_lines", F.array().cast("array<string>")).alias("_lines"),
+        )
+    return found.select(*keys, "n_rows", text.alias("preview"))

@@ -117,9 +117,7 @@ def eval_samples(rows: DataFrame, order: list[str], size: int = EVAL_SAMPLE_SIZE
     return rows.orderBy(*order).limit(size)
 
 
-def eval_batches(
-    rows: DataFrame, keys: list[str], order: str, batch_size: int, *, width: int = 100_000
-) -> DataFrame:
+def eval_batches(rows: DataFrame, keys: list[str], order: str, batch_size: int) -> DataFrame:
     """Rows with the number of the fixed-size batch they fall in, in order."""
-    numbered = with_position(rows, keys, order, width=width)
+    numbered = with_position(rows, keys, order)
     return numbered.withColumn("batch", F.floor(F.col("position") / batch_size).cast("long"))

@@ -154,9 +154,12 @@ def prompt_fingerprint(version: Column, *texts: Column) -> Column:
 
 
 def dataset_fingerprint(rows: DataFrame, columns: list[str], keys: list[str]) -> DataFrame:
-    """Order-free count and hash sum per output dataset."""
-    digest = F.substring(F.md5(F.concat_ws("\1", *columns)), 1, 8)
+    """Order-free count and hash sum per output dataset.
+
+    60 bits of each row's hash are summed as decimals, which hold the sum of 10^19 rows.
+    """
+    digest = F.substring(F.md5(F.concat_ws("\1", *columns)), 1, 15)
     return rows.groupBy(*keys).agg(
         F.count("*").alias("n_rows"),
-        F.sum(F.conv(digest, 16, 10).cast("bigint")).alias("hash_sum"),
+        F.sum(F.conv(digest, 16, 10).cast("decimal(38,0)")).alias("hash_sum"),
     )

@@ -163,5 +163,9 @@ def pruned_names(pruned: Column) -> Column:
 
 
 def used_rows(df: DataFrame, used: str, keys: list[str]) -> DataFrame:
-    """Long form: one row per used column (a table used without columns gives none)."""
-    return df.select(*keys, F.inline(used)).where("column_name IS NOT NULL")
+    """Long form: one row per used column, and one without column per table used without any."""
+    def alone(u: Column) -> Column:
+        return ~F.exists(used, lambda v: (v["table_name"] == u["table_name"]) & v["column_name"].isNotNull())
+
+    kept = F.filter(F.array_distinct(used), lambda u: u["column_name"].isNotNull() | alone(u))
+    return df.select(*keys, F.inline(kept))

@@ -11,35 +11,35 @@ from pairforge.fixed_values import (
     TRACKED_SCHEME,
 )
 from pairforge.functions.joins import lookup_join, previous_value, with_position
-from pairforge.operators.gates import model_gates
+from pairforge.operators.gates import broken_limits
 
 
-def _promotions(log: DataFrame, width: int) -> DataFrame:
+def _promotions(log: DataFrame) -> DataFrame:
     """Promotions of an alias log with the version each made champion, null where none was pending."""
     moves = log.where(F.col("action").isin("register", "promote"))
     pending = F.struct("action", "version")
-    last = previous_value(moves, ["model"], "seq", pending, "_last", width=width)
+    last = previous_value(moves, ["model"], "seq", pending, "_last")
     return last.where("action = 'promote'").select(
         "model", "seq",
         F.when(F.col("_last.action") == "register", F.col("_last.version")).alias("champion"),
     )
 
 
-def promote_candidate(log: DataFrame, *, width: int = 100_000) -> DataFrame:
+def promote_candidate(log: DataFrame) -> DataFrame:
     """Every promotion of an alias log with its effect.
 
     ``log`` holds (model, seq, action, version) with actions ``register`` and
     ``promote``. A promotion takes the last registered version if none was
     promoted since; otherwise it is an error and changes nothing.
     """
-    promotions = _promotions(log, width)
-    old = previous_value(promotions, ["model"], "seq", F.col("champion"), "_old", width=width)
+    promotions = _promotions(log)
+    old = previous_value(promotions, ["model"], "seq", F.col("champion"), "_old")
     changed = F.when(
         F.col("_old").isNotNull() & (F.col("_old") != F.col("champion")), F.col("_old")
     )
     # The champion replaced at the last real change, at or before this promotion.
     prior = previous_value(
-        old.withColumn("_changed", changed), ["model"], "seq", F.col("_changed"), "_prior", width=width
+        old.withColumn("_changed", changed), ["model"], "seq", F.col("_changed"), "_prior"
     )
     done = F.col("champion").isNotNull()
     return prior.select(
@@ -49,13 +49,13 @@ def promote_candidate(log: DataFrame, *, width: int = 100_000) -> DataFrame:
     )
 
 
-def alias_state(log: DataFrame, *, width: int = 100_000) -> DataFrame:
+def alias_state(log: DataFrame) -> DataFrame:
     """Current version per model and alias; null where the alias is not set.
 
     The champion is the version promoted last, the previous champion the other
     version promoted last; versions are merged before they are ranked.
     """
-    latest = _promotions(log, width).where("champion IS NOT NULL").groupBy("model", "champion").agg(
+    latest = _promotions(log).where("champion IS NOT NULL").groupBy("model", "champion").agg(
         F.max("seq").alias("seq")
     )
     rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("seq")))
@@ -74,12 +74,11 @@ def alias_state(log: DataFrame, *, width: int = 100_000) -> DataFrame:
 
 
 def registration_row(
-    runs: DataFrame, keys: list[str], order: str, *, width: int = 100_000, **limits: float
+    runs: DataFrame, keys: list[str], order: str, **limits: float
 ) -> DataFrame:
     """Runs that break no limit, as numbered versions with the candidate alias."""
-    failed = model_gates(runs, **limits).select("run_id").distinct()
-    passing = runs.join(failed, "run_id", "left_anti")
-    numbered = with_position(passing, keys, order, width=width)
+    passing = runs.where(F.size(broken_limits(**limits)) == 0)
+    numbered = with_position(passing, keys, order)
     return numbered.withColumn("version", F.col("position") + 1).withColumn(
         "alias", F.lit(CANDIDATE)
     ).drop("position")
@@ -127,22 +126,30 @@ def stale_artifacts(stamps: DataFrame, champions: DataFrame) -> DataFrame:
 def serving_manifest(roles: DataFrame, champions: DataFrame, serving_dir: str) -> DataFrame:
     """Per role its base path, with adapter and champion only where an adapter is configured.
 
-    ``roles`` holds (role, adapter); ``champions`` holds (model, champion, run_id, source).
+    ``roles`` holds (role, adapter) and may hold ``stamp``, the record of a copy that is
+    kept locally (registered_model, version, run_id, source); ``champions`` holds
+    (model, champion, run_id, source). An adapter without champion is served from its
+    stamp; with neither, the role has an ``error`` and no server.
     """
-    lookup = champions.select(
+    lookup = champions.where("champion is not null").select(
         F.col("model").alias("adapter"),
         F.struct(
             F.col("model").alias("registered_model"), F.col("champion").alias("version"),
             "run_id", "source",
         ).alias("champion"),
     )
+    if "stamp" not in roles.columns:
+        roles = roles.withColumn("stamp", F.lit(None).cast(lookup.schema["champion"].dataType))
     joined = lookup_join(roles, lookup, ["adapter"], "left", salt_on=["role"])
     base = F.concat(F.lit(serving_dir + "/"), F.col("role"))
+    served = F.coalesce("champion", "stamp")
+    missing = F.col("adapter").isNotNull() & served.isNull()
     return joined.select(
         "role",
-        F.struct(
+        F.when(~missing, F.struct(
             F.concat(base, F.lit("/base")).alias("base"),
             F.when(F.col("adapter").isNotNull(), F.concat(base, F.lit("/adapter"))).alias("adapter"),
-            F.when(F.col("adapter").isNotNull(), F.col("champion")).alias("champion"),
-        ).alias("server"),
+            F.when(F.col("adapter").isNotNull(), served).alias("champion"),
+        )).alias("server"),
+        F.when(missing, F.concat(F.lit("no local adapter and no champion for "), "adapter")).alias("error"),
     )

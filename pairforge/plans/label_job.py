@@ -15,6 +15,7 @@ from pairforge.fixed_values import FAILURE_SAMPLE_SIZE
 from pairforge.functions.joins import lookup_join, weighted_join
 from pairforge.functions.scratch import stage
 from pairforge.functions.text import built_once
+from pairforge.operators.catalog import require_unique_databases
 from pairforge.operators.statements import resolve_statement, shape_text, shape_tokens
 from pairforge.operators.usage import lower_tables, prune_catalog, pruned_names, token_fallback
 
@@ -41,8 +42,11 @@ def _words() -> Column:
 
 
 def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
-    """Pairs with their catalog; ``known`` is false where no database has that id."""
-    joined = lookup_join(pairs, catalogs, ["db_id"], "left", salt_on=["id"])
+    """Pairs with their catalog; ``known`` is false where no database has that id.
+
+    A database that is described twice fails the job.
+    """
+    joined = lookup_join(pairs, require_unique_databases(catalogs), ["db_id"], "left", salt_on=["id"])
     return joined.withColumn("known", F.col("tables").isNotNull())
 
 
@@ -71,7 +75,7 @@ def distinct_shapes(keyed: DataFrame) -> DataFrame:
 
 def resolve_shapes(shapes: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Attach each shape's catalog and resolve its names; ``found`` is null without one."""
-    lookup = catalogs.withColumn("names", lower_tables(F.col("tables")))
+    lookup = require_unique_databases(catalogs).withColumn("names", lower_tables(F.col("tables")))
     split = shapes.withColumn("shape", shape_tokens(F.col("shape_text"))).drop("shape_text")
     attached = lookup_join(split, lookup, ["db_id"], "left", salt_on=["shape_key"])
     return attached.withColumn(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pairforge.fixed_values import FAILURE_ANSWER, MAX_RETRIES
@@ -11,13 +14,17 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 UPDATE = """thread_id bigint, request_ord bigint, seen bigint, attempts bigint, status string,
     sql_text string, error string, error_history array<string>, answer string"""
 ATTEMPT = """thread_id bigint, request_ord bigint, attempt_ord bigint, sql_text string,
-    http_status int, body string"""
+    generator_error string, http_status int, body string, ts timestamp"""
+FIELDS = ("result", "sql_text", "error")
 
 
 def _summary(log: Column, max_retries: int) -> Column:
-    """What attempts, sorted by number, amount to: read from the first up to a gap or an end."""
+    """What attempts, sorted by number, amount to: read in their order up to the one that ends the request.
+
+    As in the batch replay an attempt counts by its rank, so numbers may have gaps or
+    begin anywhere; until an attempt that was lost on the way arrives, those after it stand for it.
+    """
     start = F.struct(
-        F.lit(1).cast("bigint").alias("awaited"),
         F.lit(0).cast("bigint").alias("attempts"),
         F.lit("running").alias("status"),
         F.lit(None).cast("string").alias("sql_text"),
@@ -34,7 +41,6 @@ def _summary(log: Column, max_retries: int) -> Column:
             F.lit(" -> "), a["error"],
         )
         read = F.struct(
-            (acc["awaited"] + 1).alias("awaited"),
             count.alias("attempts"),
             F.when(a["result"] == "ok", "success")
             .when(retryable & (count < max_retries), "retry")
@@ -46,28 +52,61 @@ def _summary(log: Column, max_retries: int) -> Column:
             .otherwise(acc["error_history"])
             .alias("error_history"),
         )
-        open_ = acc["status"].isin("running", "retry") & (a["attempt_ord"] == acc["awaited"])
-        return F.when(open_, read).otherwise(acc)
+        return F.when(acc["status"].isin("running", "retry"), read).otherwise(acc)
 
     return F.aggregate(log, start, step)
 
 
-def request_updates(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> DataFrame:
+def merged_log(kept: list[tuple], new: list[tuple], most: int) -> list[tuple]:
+    """The first ``most`` attempts by number; of one that was sent twice the smaller record stays."""
+    best: dict[int, tuple] = {}
+    for row in [*kept, *new]:
+        own = best.get(row[0])
+        # A null sorts before every text.
+        if own is None or [(x is not None, x) for x in row] < [(x is not None, x) for x in own]:
+            best[row[0]] = row
+    return [best[k] for k in sorted(best)[:most]]
+
+
+def request_updates(
+    attempts: DataFrame, max_retries: int = MAX_RETRIES, *, delay: str = "1 day", keep_ms: int = 86_400_000
+) -> DataFrame:
     """State of each request after each micro-batch, whatever order attempts arrive in.
 
-    The kept state is the set of attempts of a request. No request lives past
-    attempt ``max_retries``, so later ones are not kept and the set is bounded;
-    a busy thread is spread over its requests.
+    The kept state is the first ``max_retries`` attempts of a request, as no later one can
+    matter, so it is bounded; it leaves when the watermark is ``keep_ms`` past the last
+    attempt. A busy thread is spread over its requests.
     """
-    attempt = F.struct("attempt_ord", "result", "sql_text", "error")
-    logs = (
-        with_outcome(attempts.where(F.col("attempt_ord") <= max(max_retries, 1)))
-        .groupBy("thread_id", "request_ord")
-        .agg(F.array_sort(F.collect_set(attempt)).alias("log"))
+    most = max(max_retries, 1)
+    timed = with_outcome(attempts.withWatermark("ts", delay), "generator_error")
+    rows = timed.select("thread_id", "request_ord", "attempt_ord", "result", "sql_text", "error", "ts")
+
+    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        kept, last = ([], 0)
+        if state.exists:
+            *columns, last = state.get
+            kept = list(zip(*columns, strict=True))
+        for frame in frames:
+            plain = frame.astype(object).where(frame.notna(), None)
+            new = [(int(a), *rest) for a, *rest in plain[["attempt_ord", *FIELDS]].itertuples(index=False)]
+            kept = merged_log(kept, new, most)
+            last = max(last, int(frame["ts"].max().timestamp() * 1000))
+        columns = [list(c) for c in zip(*kept, strict=True)]
+        state.update((*columns, last))
+        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
+        yield pd.DataFrame({"thread_id": [key[0]], "request_ord": [key[1]], **{c: [v] for c, v in zip(("attempt_ord", *FIELDS), columns, strict=True)}})
+
+    arrays = "attempt_ord array<bigint>, result array<string>, sql_text array<string>, error array<string>"
+    logs = rows.groupBy("thread_id", "request_ord").applyInPandasWithState(
+        update, f"thread_id bigint, request_ord bigint, {arrays}", f"{arrays}, last bigint", "update", "EventTimeTimeout"
     )
+    log = F.arrays_zip("attempt_ord", "result", "sql_text", "error")
     return logs.select(
-        "thread_id", "request_ord", F.size("log").cast("bigint").alias("seen"),
-        _summary(F.col("log"), max_retries).alias("s"),
+        "thread_id", "request_ord", F.size("attempt_ord").cast("bigint").alias("seen"),
+        _summary(log, max_retries).alias("s"),
     ).select(
         "thread_id", "request_ord", "seen", "s.attempts", "s.status", "s.sql_text", "s.error",
         "s.error_history", F.when(F.col("s.status") == "failed", FAILURE_ANSWER).alias("answer"),
@@ -75,7 +114,14 @@ def request_updates(attempts: DataFrame, max_retries: int = MAX_RETRIES) -> Data
 
 
 def run_thread_state(
-    spark: SparkSession, source: str, target: str, checkpoint: str, *, files_per_trigger: int = 1000
+    spark: SparkSession,
+    source: str,
+    target: str,
+    checkpoint: str,
+    *,
+    files_per_trigger: int = 1000,
+    delay: str = "1 day",
+    keep_ms: int = 86_400_000,
 ) -> DataFrame:
     """Read attempts that arrived as JSON files, keep request state, append updates.
 
@@ -89,19 +135,21 @@ def run_thread_state(
     def append(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
 
-    query = (
-        request_updates(stream)
-        .writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .foreachBatch(append)
-        .start()
-    )
-    query.awaitTermination()
-    if before is None:
-        spark.conf.unset(provider)
-    else:
-        spark.conf.set(provider, before)
+    try:
+        query = (
+            request_updates(stream, delay=delay, keep_ms=keep_ms)
+            .writeStream.outputMode("update")
+            .option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True)
+            .foreachBatch(append)
+            .start()
+        )
+        query.awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
     return latest_state(spark.read.schema(f"{UPDATE}, batch int").parquet(target))
 
 

@@ -90,6 +90,29 @@ def test_json_round_trip(spark, tmp_path):
     assert got == {"train": "é\n", "val": "new"}
 
 
+def test_report_of_several_rows_is_refused(spark, tmp_path):
+    with pytest.raises(ValueError):
+        J.json_report_sink(spark.range(5), f"{tmp_path}/r")
+    assert not (tmp_path / "r").exists()
+    J.json_report_sink(spark.range(1), f"{tmp_path}/r")
+    assert J.jsonl_scan(spark, f"{tmp_path}/r", "id bigint").count() == 1
+
+
+def test_all_missing_files_are_named(spark):
+    wanted = [f"f{i:02}.json" for i in range(30)]
+    listing = spark.createDataFrame([("a/f00.json",)], "path string")
+    with pytest.raises(FileNotFoundError) as error:
+        J.require_complete(J.landing_manifest(listing, wanted))
+    assert all(name in str(error.value) for name in wanted[1:]) and "f00" not in str(error.value)
+
+
+def test_fingerprint_of_many_rows(spark):
+    """Sums stay exact beyond 64 bits."""
+    rows = spark.range(64).select(F.lit("s").alias("split"), F.lit("x").alias("v"))
+    one = int(T.dataset_fingerprint(rows.limit(1), ["v"], ["split"]).first().hash_sum)
+    assert 64 * one > 2**62 and int(T.dataset_fingerprint(rows, ["v"], ["split"]).first().hash_sum) == 64 * one
+
+
 def test_json_documents_keep_order(spark, tmp_path):
     (tmp_path / "d.json").write_text('[{"x": 3},\n {"x": 1}, {"x": 2, "y": 1}]')
     rows = J.json_doc_scan(spark, str(tmp_path / "d.json"), "x INT").orderBy("row_ord").collect()

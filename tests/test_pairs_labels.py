@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairforge.functions import joins
@@ -103,6 +104,13 @@ def test_same_result_without_broadcast(spark, unique, monkeypatch):
     assert [str(r) for r in small] == [str(r) for r in large]
 
 
+def test_duplicate_database_fails(spark, unique):
+    twice = label_catalogs(spark, "")
+    twice = twice.union(twice.where("db_id = 'geo'"))
+    with pytest.raises(PySparkException, match="duplicate db_id geo"):
+        L.label_pairs(unique, twice).collect()
+
+
 def test_hot_key_is_spread_by_its_count(spark, monkeypatch):
     """One key with 90% of the facts: no task joins more than a bounded share, for growing input."""
     monkeypatch.setattr(joins, "BROADCAST_BYTES", -1)

@@ -190,9 +190,16 @@ def test_batches(spark):
     rows = spark.range(0, 1000).select(
         F.when(F.col("id") < 900, "hot").alias("k"), (F.col("id") * 7).alias("ord")
     )
-    got = S.eval_batches(rows, ["k"], "ord", 64, width=500).collect()
+    got = S.eval_batches(rows, ["k"], "ord", 64).collect()
     for key in ("hot", None):
         ordered = sorted((r for r in got if r.k == key), key=lambda r: r.ord)
         assert [r.position for r in ordered] == list(range(len(ordered)))
         assert all(r.batch == r.position // 64 for r in ordered)
     assert len(got) == 1000
+
+
+def test_preview_of_an_empty_result(spark):
+    rows = spark.createDataFrame([("a", 1, "x")], "k string, o int, v string")
+    results = spark.createDataFrame([("a",), ("none",), (None,)], "k string")
+    got = {r.k: (r.n_rows, r.preview) for r in R.result_preview(rows, ["k"], ["o"], ["o", "v"], results=results).collect()}
+    assert got == {"a": (1, "o | v\n--- | ---\n1 | x"), "none": (0, "o | v\n--- | ---"), None: (0, "o | v\n--- | ---")}

@@ -4,10 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairforge.fixed_values import FAILURE_ANSWER
-from pairforge.functions.joins import previous_value
+from pairforge.functions.joins import previous_value, with_position
 from pairforge.operators import attempts as A, versions as V
+from pairforge.operators.gates import model_gates
 from pairforge.sources import json_files as J
-from pairforge.streaming.threads import run_thread_state
+from pairforge.streaming.threads import merged_log, run_thread_state
 
 
 @pytest.mark.parametrize("status,body,outcome,error", [
@@ -33,6 +34,11 @@ ATTEMPTS = [
     (3, 0, 1, "h", 422, "e3"),
 ]
 
+# The first attempt was lost, and another request counts from 0.
+LOST_FIRST = [
+    (4, 0, 2, "p", 422, "e4"), (4, 0, 3, "q", 200, ""), (5, 0, 0, "r", 422, "e5"), (5, 0, 1, "s", 422, "e6"), (5, 0, 2, "t", 200, ""),
+]
+
 
 @pytest.fixture
 def log(spark):
@@ -62,11 +68,14 @@ def test_more_retries(log):
 @pytest.mark.parametrize("parts", [1, 4])
 def test_stream_equals_batch(spark, log, tmp_path, parts):
     """Arrival in reverse order, in one or several micro-batches, gives the batch result."""
-    for i, rows in enumerate([ATTEMPTS[::-1][j::parts] for j in range(parts)]):
-        J.jsonl_sink(spark.createDataFrame(rows, LOG).coalesce(1), f"{tmp_path}/in/{i}")
+    late = [*ATTEMPTS, *LOST_FIRST]
+    for i, rows in enumerate([late[::-1][j::parts] for j in range(parts)]):
+        arrived = spark.createDataFrame(rows, LOG).withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000)))
+        J.jsonl_sink(arrived.coalesce(1), f"{tmp_path}/in/{i}")
     live = run_thread_state(
         spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/check", files_per_trigger=1
     )
+    log = log.union(spark.createDataFrame(LOST_FIRST, LOG))
     states = A.error_history(A.attempt_state(A.with_outcome(log)))
     last = states.groupBy("thread_id", "request_ord").agg(
         F.max_by(F.struct("attempts", "status", "error_history", "error"), "attempt_ord").alias("s")
@@ -87,10 +96,46 @@ def test_history_window_over_segments(spark):
         assert all(r.history == list(range(max(0, r.id - n), r.id)) for r in rows)
 
 
+def test_history_longer_than_a_segment(spark):
+    turns = spark.range(0, 60).select(F.lit("t").alias("t"), "id")
+    rows = A.history_window(turns, ["t"], "id", F.col("id"), 12, width=10).collect()
+    assert all(r.history == list(range(max(0, r.id - 12), r.id)) for r in rows) and len(rows) == 60
+
+
+@pytest.mark.parametrize("ordinal", ["id * 1000003", "id div 50", "CASE WHEN id % 3 > 0 THEN id END"])
+def test_positions_of_sparse_clustered_and_null_ordinals(spark, ordinal):
+    """Positions have no gaps, follow the ordinal, and no task holds a whole long key."""
+    rows = spark.range(0, 4000).select("id", F.expr("CASE WHEN id % 10 = 0 THEN id % 7 ELSE 99 END").alias("k"), F.expr(ordinal).alias("o"))
+    numbered = with_position(rows, ["k"], "o")
+    found = numbered.withColumn("task", F.spark_partition_id()).collect()
+    assert len(found) == 4000
+    for key in {r.k for r in found}:
+        own = sorted((r for r in found if r.k == key), key=lambda r: r.position)
+        assert [r.position for r in own] == list(range(len(own)))
+        places = [-1 if r.o is None else r.o for r in own]
+        assert places == sorted(places)
+
+
+def test_state_of_old_requests_leaves(spark, tmp_path):
+    """A request that is over for longer than it is kept starts anew."""
+    times = [1_700_000_000, 1_700_000_000 + 40 * 86_400, 1_700_000_000 + 80 * 86_400, 1_700_000_000 + 120 * 86_400]
+    for i, (when, thread) in enumerate(zip(times, (1, 2, 3, 1), strict=True)):
+        rows = spark.createDataFrame([(thread, 0, i + 1, "a", 422, "e")], LOG).withColumn("ts", F.timestamp_seconds(F.lit(when)))
+        J.jsonl_sink(rows.coalesce(1), f"{tmp_path}/in/{i}")
+    live = run_thread_state(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/check", files_per_trigger=1)
+    assert {r.thread_id: r.seen for r in live.collect()} == {1: 1, 2: 1, 3: 1}
+
+
+def test_repeated_attempts_are_bounded():
+    sent = [(n, "retryable", None if n % 2 else f"s{i}", "e") for i in range(50) for n in (3, 1, 2, 7)]
+    assert [a for a, *_ in merged_log([], sent, 2)] == [1, 2]
+    assert merged_log(merged_log([], sent[::-1], 2), sent, 2) == merged_log([], sent, 2)
+
+
 def test_previous_value_over_segments(spark):
     rows = spark.range(0, 200).select(F.lit(1).alias("k"), "id")
     value = F.when(F.col("id") % 37 == 0, F.col("id"))
-    got = previous_value(rows, ["k"], "id", value, "last", width=10).collect()
+    got = previous_value(rows, ["k"], "id", value, "last").collect()
     assert all(r["last"] == ((r.id - 1) // 37 * 37 if r.id else None) for r in got) and len(got) == 200
 
 
@@ -111,10 +156,10 @@ def test_promotions(spark):
         action, _, version = event.partition(":")
         rows.append(("m", i, action, int(version) if version else None))
     log = spark.createDataFrame(rows, "model string, seq bigint, action string, version bigint")
-    got = V.promote_candidate(log, width=2).orderBy("seq").collect()
+    got = V.promote_candidate(log).orderBy("seq").collect()
     assert [(r.champion, r.prev_champion) for r in got] == [(1, None), (2, 1), (None, None), (4, 2), (4, 2)]
     assert got[2].error == "no candidate to promote for m"
-    assert tuple(V.alias_state(log, width=2).first()) == ("m", 5, 4, 2)
+    assert tuple(V.alias_state(log).first()) == ("m", 5, 4, 2)
 
 
 @pytest.mark.parametrize("uri,location", [
@@ -137,6 +182,41 @@ def test_stale_artifacts(spark):
     assert got == {1: "keep", 2: "load", 3: "load", 4: "keep", 5: "error", 6: "keep"}
 
 
+def test_runs_without_metrics_are_not_registered(spark):
+    runs = spark.createDataFrame(
+        [(1, 0.95, 0.9, 0.0), (2, None, 0.9, 0.0), (3, 0.95, None, 0.0), (4, 0.95, 0.9, None), (5, 0.5, 0.9, 0.0)],
+        "run_id bigint, table_recall double, column_recall double, unparseable_rate double",
+    ).withColumn("model", F.lit("m"))
+    broken = {(r.run_id, r.message) for r in model_gates(runs).collect()}
+    assert broken == {
+        (2, "table_recall is missing"), (3, "column_recall is missing"), (4, "unparseable_rate is missing"),
+        (5, "table_recall 0.5000 < 0.9"),
+    }
+    assert [(r.run_id, r.version) for r in V.registration_row(runs, ["model"], "run_id").collect()] == [(1, 1)]
+
+
+def test_generator_error_is_kept(log):
+    said = log.withColumn("said", F.when(F.col("sql_text").isNull(), "no SQL in reply"))
+    errors = {r.error for r in A.with_outcome(said, "said").where("sql_text is null").collect()}
+    assert errors == {"no SQL in reply"}
+
+
+def test_manifest_without_champion(spark):
+    stamp = "struct<registered_model: string, version: bigint, run_id: string, source: string>"
+    roles = spark.createDataFrame(
+        [("new", "z", None), ("kept", "z", ("z", 4, "r", "s3://y")), ("both", "a", ("a", 1, "r", "s3://y")), ("null", "b", None)],
+        f"role string, adapter string, stamp {stamp}",
+    )
+    champions = spark.createDataFrame(
+        [("a", 3, "r", "s3://x"), ("b", None, "r", "s3://x")], "model string, champion bigint, run_id string, source string"
+    )
+    got = {r.role: (r.server and r.server.champion.version, r.error) for r in V.serving_manifest(roles, champions, "d").collect()}
+    assert got == {
+        "new": (None, "no local adapter and no champion for z"), "kept": (4, None), "both": (3, None),
+        "null": (None, "no local adapter and no champion for b"),
+    }
+
+
 def test_serving_manifest(spark):
     roles = spark.createDataFrame([("pruner", "a"), ("plain", None)], "role string, adapter string")
     champions = spark.createDataFrame(

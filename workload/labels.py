@@ -141,7 +141,7 @@ def sql_star(spark, sf):
     "sql_unqualified_columns",
     COLUMNS_SQL,
     by_template="""SELECT * FROM (VALUES
-    (0,'customer','c_name,c_custkey'),(2,'orders','o_orderkey'),(3,'customer','c_custkey'),
+    (0,'customer','c_name,c_custkey'),(3,'customer','c_custkey'),
     (4,'customer','c_name,c_custkey'),(4,'orders','o_custkey,o_orderkey'),(6,'nation','n_name,n_nationkey'),(6,'region','r_name'),
     (7,'supplier','s_nationkey,s_acctbal,s_suppkey'),(8,'nation','n_name,n_regionkey,n_nationkey'),(9,'supplier','s_name'),
     (11,'events','event_id'),(12,'events','event_type,event_id'),
@@ -165,7 +165,10 @@ def used_columns(spark, sf):
     "token_fallback",
     """SELECT p.row_ord AS row_ord, c.table_name AS table_name, c.column_name AS column_name FROM words p
     JOIN catalog_columns c ON p.db_id = c.db_id
-    WHERE list_contains(words, lower(c.table_name)) AND list_contains(words, lower(c.column_name))""",
+    WHERE list_contains(words, lower(c.table_name)) AND list_contains(words, lower(c.column_name))
+    UNION ALL SELECT p.row_ord, t.table_name, NULL FROM words p
+    JOIN (SELECT db_id, table_name, list(lower(column_name)) AS cols FROM catalog_columns GROUP BY db_id, table_name) t ON p.db_id = t.db_id
+    WHERE list_contains(words, lower(t.table_name)) AND NOT list_has_any(words, cols)""",
     words="""SELECT row_ord, db_id, list_transform(string_split_regex(translate(query, '.=', '  '), '\\s+'),
       lambda w: lower(trim(w, '`"''(),;'))) AS words FROM clean_pairs""",
 )
@@ -191,7 +194,8 @@ def extraction_route(spark, sf):
 @query(
     "fk_closure",
     """SELECT p.id AS id, p.split AS split, c.table_name AS table_name, c.column_name AS column_name
-    FROM labeled p JOIN closed c ON p.k = c.k""",
+    FROM labeled p JOIN closed c ON p.k = c.k
+    WHERE c.column_name IS NOT NULL OR NOT EXISTS (SELECT 1 FROM closed d WHERE d.k = c.k AND d.table_name = c.table_name AND d.column_name IS NOT NULL)""",
 )
 def fk_closure(spark, sf):
     rows = with_catalog(spark, sf, labels(spark, sf).where("method IS NOT NULL"))
@@ -202,7 +206,7 @@ def fk_closure(spark, sf):
 @query(
     "pk_retention",
     """SELECT id, split, table_name, column_name FROM labeled p JOIN (
-     SELECT k, table_name, column_name FROM expected_columns
+     SELECT k, table_name, column_name FROM expected_columns WHERE column_name IS NOT NULL
      UNION SELECT k, table_name, column_name FROM kept WHERE is_primary_key) u ON p.k = u.k""",
 )
 def pk_retention(spark, sf):
@@ -370,10 +374,13 @@ def invalid_sample(spark, sf):
     return G.invalid_sample(validated, ORDER)
 
 
-MODEL_GATES = """SELECT run_id, 0 AS gate_ord, 'table_recall' AS metric, format('table_recall {:.4f} < 0.9', table_recall) AS message
- FROM runs WHERE table_recall < 0.9
- UNION ALL SELECT run_id, 1, 'column_recall', format('column_recall {:.4f} < 0.8', column_recall) FROM runs WHERE column_recall < 0.8
- UNION ALL SELECT run_id, 2, 'unparseable_rate', format('unparseable_rate {:.4f} > 0.01', unparseable_rate) FROM runs WHERE unparseable_rate > 0.01"""
+MODEL_GATES = " UNION ALL ".join(
+    f"""SELECT run_id, {i} AS gate_ord, '{m}' AS metric, coalesce(format('{m} {{:.4f}} {sign} {bound}', {m}), '{m} is missing') AS message
+ FROM runs WHERE {m} {sign} {bound} OR {m} IS NULL"""
+    for i, (m, sign, bound) in enumerate(
+        [("table_recall", "<", 0.9), ("column_recall", "<", 0.8), ("unparseable_rate", ">", 0.01)]
+    )
+)
 
 
 @query("model_gates", MODEL_GATES)
@@ -477,10 +484,11 @@ def prompt_fingerprint(spark, sf):
 
 @query(
     "dataset_fingerprint",
-    """SELECT split, count(*) AS n_rows, cast(sum(cast(concat('0x', substr(md5(concat_ws(chr(1), id, db_id, question, query)), 1, 8)) AS BIGINT)) AS BIGINT) AS hash_sum
+    """SELECT split, count(*) AS n_rows, cast(sum(cast(concat('0x', substr(md5(concat_ws(chr(1), id, db_id, question, query)), 1, 15)) AS BIGINT)) AS VARCHAR) AS hash_sum
     FROM unique_pairs GROUP BY split""",
 )
 def dataset_fingerprint(spark, sf):
-    return T.dataset_fingerprint(
+    found = T.dataset_fingerprint(
         unique_pairs(spark, sf), ["id", "db_id", "question", "query"], ["split"]
     )
+    return found.withColumn("hash_sum", F.col("hash_sum").cast("string"))

@@ -18,6 +18,18 @@ def entries_text(entries: Column) -> Column:
     return F.array_join(lines, "\n")
 
 
+# Entries of readable replies, read line by line; equal tables are merged, first places win.
+REPLY_LINES = """SELECT row_ord, line_ord, trim(split_part(line, '(', 1)) AS table_name, trim(c) AS column_name, column_ord FROM (
+  SELECT row_ord, line_ord, line, unnest(cols) AS c, generate_subscripts(cols, 1) AS column_ord FROM (
+   SELECT row_ord, line_ord, line, string_split(rtrim(split_part(line, '(', 2), '),'), ',') AS cols FROM (
+    SELECT row_ord, unnest(lines) AS line, generate_subscripts(lines, 1) AS line_ord FROM (
+     SELECT row_ord, string_split(trim(replace(reply, '```', ''), chr(10)), chr(10)) AS lines FROM completions WHERE variant <> 4) a) b) d) e"""
+REPLY_COLUMNS = """SELECT row_ord, table_name, column_name, min(line_ord * 1000 + column_ord) AS place FROM reply_lines GROUP BY row_ord, table_name, column_name"""
+MERGED_TABLES = """SELECT row_ord, table_name, min(place) AS place, string_agg(column_name, ', ' ORDER BY place) AS columns FROM reply_columns GROUP BY row_ord, table_name"""
+MERGED_ENTRIES = """SELECT row_ord, string_agg(concat(table_name, '(', columns, ')'), chr(10) ORDER BY place) AS entries FROM merged_tables GROUP BY row_ord"""
+MERGED = dict(reply_lines=REPLY_LINES, reply_columns=REPLY_COLUMNS, merged_tables=MERGED_TABLES, merged=MERGED_ENTRIES)
+
+
 def parsed_completions(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "completions").withColumn("parsed", R.parse_table_lines(F.col("reply")))
 
@@ -45,12 +57,8 @@ def parse_table_lines(spark, sf):
 
 @query(
     "merge_duplicate_tables",
-    """SELECT row_ord, CASE variant WHEN 3 THEN concat(gold, chr(10), 'extra_table(extra_col)') WHEN 5 THEN upper(gold)
-     WHEN 6 THEN CASE k WHEN 0 THEN 'customer(c_name, c_custkey, c_nationkey)'
-       WHEN 1 THEN concat('customer(c_name, c_custkey, c_nationkey)', chr(10), 'orders(o_orderkey, o_custkey, o_totalprice)')
-       WHEN 4 THEN concat('customer(c_name, c_custkey, c_nationkey)', chr(10), 'orders(o_orderkey, o_custkey)')
-       ELSE concat('customer(c_name, c_nationkey)', chr(10), gold) END
-     ELSE gold END AS entries FROM completions WHERE variant <> 4""",
+    "SELECT row_ord, entries FROM merged",
+    **MERGED,
 )
 def merge_duplicate_tables(spark, sf):
     rows = pruner_schema(spark, sf).where("parsed.error IS NULL")
@@ -59,8 +67,10 @@ def merge_duplicate_tables(spark, sf):
 
 @query(
     "extract_sql",
-    """SELECT row_ord, CASE variant WHEN 4 THEN NULL WHEN 3 THEN concat('With pleasure: ', query) ELSE query END AS sql,
-     CASE variant WHEN 4 THEN 'no SQL statement found in output: ''no idea''' END AS error FROM sql_replies""",
+    """SELECT row_ord, CASE WHEN variant = 4 OR (k = 13 AND variant < 3) THEN NULL WHEN variant = 3 THEN concat('With pleasure: ', trim(query)) ELSE trim(query) END AS sql,
+     CASE WHEN variant = 4 THEN 'no SQL statement found in output: ''no idea'''
+      WHEN k = 13 AND variant < 3 THEN concat('no SQL statement found in output: ''',
+       substr(CASE variant WHEN 0 THEN query WHEN 1 THEN concat(query, ';') ELSE reply END, 1, 80), '''') END AS error FROM sql_replies""",
 )
 def extract_sql(spark, sf):
     return table(spark, sf, "sql_replies").select(
@@ -120,17 +130,20 @@ def nation_previews(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "customer").withColumn(
         "note", F.concat("c_name", F.lit(" of the segment\n"), "c_mktsegment")
     )
+    # Every nation has a result, and as many more have asked for customers that they do not have.
+    nations = table(spark, sf, "nation").select(F.explode(F.array(F.col("n_nationkey"), F.col("n_nationkey") + 100)).alias("c_nationkey"))
     return R.result_preview(
-        rows, ["c_nationkey"], ["c_custkey"], ["c_custkey", "c_mktsegment", "note", "c_name"], max_cols=3
+        rows, ["c_nationkey"], ["c_custkey"], ["c_custkey", "c_mktsegment", "note", "c_name"], max_cols=3, results=nations
     )
 
 
-PREVIEWS = """SELECT c_nationkey, count(*) AS n_rows, concat('c_custkey | c_mktsegment | note', chr(10), '--- | --- | ---', chr(10),
-  string_agg(concat(c_custkey, ' | ', c_mktsegment, ' | ', CASE WHEN length(note) <= 40 THEN note ELSE concat(substr(note, 1, 37), '...') END),
-   chr(10) ORDER BY c_custkey) FILTER (WHERE rn <= 20), chr(10), '... (1 more column(s) omitted)',
-  CASE WHEN count(*) > 20 THEN concat(chr(10), '... (', count(*) - 20, ' more row(s) omitted)') ELSE '' END) AS preview
+PREVIEWS = """SELECT r.c_nationkey AS c_nationkey, coalesce(n, 0) AS n_rows, concat('c_custkey | c_mktsegment | note', chr(10), '--- | --- | ---', chr(10),
+  coalesce(lines, ''), '... (1 more column(s) omitted)', CASE WHEN n > 20 THEN concat(chr(10), '... (', n - 20, ' more row(s) omitted)') ELSE '' END) AS preview
+ FROM (SELECT n_nationkey AS c_nationkey FROM nation UNION ALL SELECT n_nationkey + 100 FROM nation) r LEFT JOIN (SELECT c_nationkey, count(*) AS n,
+  string_agg(concat(c_custkey, ' | ', c_mktsegment, ' | ', CASE WHEN length(note) <= 40 THEN note ELSE concat(substr(note, 1, 37), '...') END, chr(10)),
+   '' ORDER BY c_custkey) FILTER (WHERE rn <= 20) AS lines
  FROM (SELECT *, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) AS rn,
-  concat(c_name, ' of the segment ', c_mktsegment) AS note FROM customer) c GROUP BY c_nationkey"""
+  concat(c_name, ' of the segment ', c_mktsegment) AS note FROM customer) c GROUP BY c_nationkey) s ON r.c_nationkey = s.c_nationkey"""
 
 
 @query("result_preview", "SELECT * FROM previews", previews=PREVIEWS)
@@ -200,15 +213,20 @@ def qualified_columns(spark, sf):
     )
 
 
-# Closed form: table and column counts by template, outcome by reply variant.
-SIZES = """SELECT c.row_ord AS row_ord, c.split AS split, c.k AS k, c.variant AS variant, c.gold AS gold, c.reply AS reply, s.nt AS nt, s.nc AS nc,
- CASE variant WHEN 3 THEN nt + 1 WHEN 6 THEN CASE WHEN c.k IN (6, 11) THEN nt + 1 ELSE nt END ELSE nt END AS pt,
- CASE variant WHEN 3 THEN nc + 1 WHEN 6 THEN CASE WHEN c.k IN (6, 11) THEN nc + 2 ELSE nc + 1 END ELSE nc END AS pc
- FROM completions c JOIN (SELECT * FROM (VALUES (0, 1, 2), (1, 2, 5), (4, 2, 4), (6, 2, 5), (11, 2, 4)) AS v(k, nt, nc)) s ON c.k = s.k"""
-SCORES = """SELECT *, CASE WHEN ok THEN nt / pt END AS table_precision, CASE WHEN ok THEN 1.0 END AS table_recall,
- CASE WHEN ok THEN 2 * (nt / pt) / (nt / pt + 1) END AS table_f1, CASE WHEN ok THEN nc / pc END AS column_precision,
- CASE WHEN ok THEN 1.0 END AS column_recall, CASE WHEN ok THEN 2 * (nc / pc) / (nc / pc + 1) END AS column_f1,
- CASE WHEN ok THEN nt = pt AND nc = pc END AS exact_match FROM (SELECT *, variant <> 4 AS ok FROM sizes) z"""
+# Sets of lower-case names on both sides, counted.
+GOLD_NAMES = """SELECT DISTINCT row_ord, lower(split_part(line, '(', 1)) AS table_name, lower(trim(c)) AS column_name FROM (
+  SELECT row_ord, line, unnest(string_split(rtrim(split_part(line, '(', 2), ')'), ',')) AS c FROM (
+   SELECT row_ord, unnest(string_split(gold, chr(10))) AS line FROM completions) a) b"""
+PRED_NAMES = "SELECT DISTINCT row_ord, lower(table_name) AS table_name, lower(column_name) AS column_name FROM reply_lines"
+SIZES = """SELECT c.row_ord AS row_ord, c.k AS k, c.variant AS variant, nt, nc, pt, pc, ct, cc FROM completions c
+ JOIN (SELECT row_ord, count(DISTINCT table_name) AS nt, count(*) AS nc FROM gold_names GROUP BY row_ord) g ON c.row_ord = g.row_ord
+ LEFT JOIN (SELECT row_ord, count(DISTINCT table_name) AS pt, count(*) AS pc FROM pred_names GROUP BY row_ord) p ON c.row_ord = p.row_ord
+ LEFT JOIN (SELECT row_ord, count(DISTINCT table_name) AS ct, count(*) AS cc FROM pred_names SEMI JOIN gold_names USING (row_ord, table_name, column_name) GROUP BY row_ord) o ON c.row_ord = o.row_ord"""
+COUNTED_NAMES = dict(reply_lines=REPLY_LINES, gold_names=GOLD_NAMES, pred_names=PRED_NAMES, sizes=SIZES)
+SCORES = """SELECT *, CASE WHEN ok THEN ct / pt END AS table_precision, CASE WHEN ok THEN ct / nt END AS table_recall,
+ CASE WHEN ok THEN 2 * ct / (nt + pt) END AS table_f1, CASE WHEN ok THEN cc / pc END AS column_precision,
+ CASE WHEN ok THEN cc / nc END AS column_recall, CASE WHEN ok THEN 2 * cc / (nc + pc) END AS column_f1,
+ CASE WHEN ok THEN nt = pt AND nc = pc AND ct = nt AND cc = nc END AS exact_match FROM (SELECT *, variant <> 4 AS ok FROM sizes) z"""
 ROUNDED = ", ".join(f"round(cast({m} AS DOUBLE), 6) AS {m}" for m in S.METRICS)
 MEANS = ", ".join(
     f"round(sum(coalesce(cast({m} AS DOUBLE), 0)) / count(*), 6) AS {m}" for m in S.METRICS
@@ -228,17 +246,17 @@ def rounded(df: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     return df.select(*keys, *[F.round(m, 6).alias(m) for m in metrics], *rest)
 
 
-@query("set_scores", f"SELECT row_ord, {ROUNDED} FROM scores", sizes=SIZES, scores=SCORES)
+@query("set_scores", f"SELECT row_ord, {ROUNDED} FROM scores", **COUNTED_NAMES, scores=SCORES)
 def set_scores(spark, sf):
     return rounded(scores(spark, sf).select("row_ord", *S.METRICS), ["row_ord"], S.METRICS)
 
 
-@query("exact_match", "SELECT row_ord, exact_match FROM scores", sizes=SIZES, scores=SCORES)
+@query("exact_match", "SELECT row_ord, exact_match FROM scores", **COUNTED_NAMES, scores=SCORES)
 def exact_match(spark, sf):
     return scores(spark, sf).select("row_ord", "exact_match")
 
 
-@query("score_summary", f"SELECT {SUMMARY} FROM scores", sizes=SIZES, scores=SCORES)
+@query("score_summary", f"SELECT {SUMMARY} FROM scores", **COUNTED_NAMES, scores=SCORES)
 def score_summary(spark, sf):
     return rounded(
         S.score_summary(scores(spark, sf)), [], [*S.METRICS, "exact_match", "unparseable_rate"]
@@ -248,7 +266,7 @@ def score_summary(spark, sf):
 @query(
     "score_summary_by_template",
     f"SELECT k, {SUMMARY} FROM scores GROUP BY ROLLUP (k)",
-    sizes=SIZES, scores=SCORES,
+    **COUNTED_NAMES, scores=SCORES,
 )
 def score_summary_by_template(spark, sf):
     summary = S.score_summary(scores(spark, sf), ["k"])
@@ -273,4 +291,4 @@ def eval_samples(spark, sf):
 )
 def eval_batches(spark, sf):
     rows = table(spark, sf, "completions").select("row_ord", "split")
-    return S.eval_batches(rows, ["split"], "row_ord", 16, width=1000).select("row_ord", "split", "batch")
+    return S.eval_batches(rows, ["split"], "row_ord", 16).select("row_ord", "split", "batch")

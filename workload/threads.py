@@ -11,13 +11,14 @@ from pairforge.streaming.feedback import run_feedback
 from pairforge.streaming.threads import run_thread_state
 from workload.corpus import label_catalogs
 from workload.inputs import table
+from workload.replies import MERGED
 from workload.registry import query
 
 CLASSES = """SELECT *, CASE http_status WHEN 200 THEN 'ok' WHEN 422 THEN 'sql_error' ELSE 'fatal' END AS outcome,
  CASE http_status WHEN 200 THEN NULL WHEN 422 THEN json_extract_string(body, '$.detail') ELSE 'query failed (503): oops' END AS response_error
  FROM attempts"""
 OUTCOMES = """SELECT *, CASE WHEN sql_text IS NULL THEN 'retryable' WHEN outcome = 'sql_error' THEN 'retryable' ELSE outcome END AS result,
- CASE WHEN sql_text IS NULL THEN 'no SQL was generated' ELSE response_error END AS error FROM classes"""
+ CASE WHEN sql_text IS NULL THEN coalesce(generator_error, 'no SQL was generated') ELSE response_error END AS error FROM classes"""
 COUNTED = """SELECT *, cast(sum(CASE result WHEN 'retryable' THEN 1 ELSE 0 END) OVER
  (PARTITION BY thread_id, request_ord ORDER BY attempt_ord) AS BIGINT) AS attempts_made FROM outcomes"""
 DECIDED = """SELECT *, CASE WHEN result = 'ok' THEN 'success' WHEN result = 'fatal' OR attempts_made >= 2 THEN 'failed' ELSE 'retry' END AS status FROM counted"""
@@ -38,11 +39,11 @@ def response_class(spark, sf):
     "attempt_outcome", "SELECT event_id, result, error FROM outcomes", classes=CLASSES, outcomes=OUTCOMES
 )
 def attempt_outcome(spark, sf):
-    return A.with_outcome(table(spark, sf, "attempts")).select("event_id", "result", "error")
+    return A.with_outcome(table(spark, sf, "attempts"), "generator_error").select("event_id", "result", "error")
 
 
 def states(spark: SparkSession, sf: str) -> DataFrame:
-    return A.attempt_state(A.with_outcome(table(spark, sf, "attempts")))
+    return A.attempt_state(A.with_outcome(table(spark, sf, "attempts"), "generator_error"))
 
 
 @query(
@@ -79,9 +80,9 @@ def route_next(spark, sf):
 
 @query(
     "schema_context",
-    """SELECT row_ord, CASE WHEN row_ord % 3 = 0 OR row_ord % 5 = 0 OR variant = 4 THEN 'full schema'
-     WHEN variant = 5 THEN upper(gold) WHEN variant = 3 THEN concat(gold, chr(10), 'extra_table(extra_col)') ELSE gold END AS schema_text
-    FROM completions WHERE variant <> 6""",
+    """SELECT row_ord, CASE WHEN row_ord % 3 = 0 OR row_ord % 5 = 0 OR variant = 4 THEN 'full schema' ELSE entries END AS schema_text
+    FROM completions LEFT JOIN merged USING (row_ord)""",
+    **MERGED,
 )
 def schema_context(spark, sf):
     entries = R.merge_duplicate_tables(R.parse_table_lines(F.col("reply"))["entries"])
@@ -89,7 +90,7 @@ def schema_context(spark, sf):
         entries,
         lambda e: F.concat(e["table_name"], F.lit("("), F.array_join(e["columns"], ", "), F.lit(")")),
     )
-    return table(spark, sf, "completions").where("variant <> 6").select(
+    return table(spark, sf, "completions").select(
         "row_ord",
         A.schema_context(
             F.col("row_ord") % 3 == 0, F.col("row_ord") % 5 == 0, F.array_join(lines, "\n"),
@@ -156,12 +157,14 @@ def event_frames(spark, sf):
 )
 def stream_thread_state(spark, sf):
     base = scratch_path(spark, "threads")
-    columns = ["thread_id", "request_ord", "attempt_ord", "sql_text", "http_status", "body"]
+    columns = ["thread_id", "request_ord", "attempt_ord", "sql_text", "generator_error", "http_status", "body"]
     # Arrival order is not attempt order: rows are spread over files by a hash.
-    arriving = table(spark, sf, "attempts").select(*columns).repartition(6, F.xxhash64(*columns[:3]))
+    attempts = table(spark, sf, "attempts").select(*columns, F.col("ts").cast("timestamp").alias("ts"))
+    arriving = attempts.repartition(F.xxhash64(*columns[:3]))
     J.jsonl_sink(arriving, f"{base}/in")
     latest = run_thread_state(
-        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", files_per_trigger=3
+        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", files_per_trigger=3,
+        delay="60 days",
     )
     return latest.select(
         "thread_id", "request_ord", "attempts", "status", "sql_text", "error",
@@ -181,7 +184,7 @@ def stream_feedback_pairs(spark, sf):
         "split", "source", "row_ord", "db_id", "question", "query",
         F.timestamp_seconds(F.lit(1_700_000_000) + F.col("row_ord")).alias("ts"),
     )
-    J.jsonl_sink(arriving.repartition(4, "source"), f"{base}/in")
+    J.jsonl_sink(arriving.repartition(F.col("row_ord")), f"{base}/in")
     rows = run_feedback(
         spark, f"{base}/in", label_catalogs(spark, sf), f"{base}/out", f"{base}/checkpoint",
         delay="30 days",
@@ -212,7 +215,7 @@ def alias_log(spark: SparkSession, sf: str) -> DataFrame:
     moves=MOVES, done=DONE,
 )
 def promote_candidate(spark, sf):
-    return V.promote_candidate(alias_log(spark, sf), width=1000)
+    return V.promote_candidate(alias_log(spark, sf))
 
 
 ALIASES = """SELECT model, cast(CASE WHEN max_by(action, seq) = 'register' THEN max_by(version, seq) END AS BIGINT) AS candidate,
@@ -226,7 +229,7 @@ ALIASES = """SELECT model, cast(CASE WHEN max_by(action, seq) = 'register' THEN
     moves=MOVES, done=DONE, aliases=ALIASES,
 )
 def alias_state(spark, sf):
-    return V.alias_state(alias_log(spark, sf), width=1000)
+    return V.alias_state(alias_log(spark, sf))
 
 
 @query(
@@ -236,7 +239,7 @@ def alias_state(spark, sf):
 )
 def registration_row(spark, sf):
     runs = table(spark, sf, "runs").withColumn("model", F.lit("pruner"))
-    return V.registration_row(runs, ["model"], "run_id", width=50).select("run_id", "version", "alias")
+    return V.registration_row(runs, ["model"], "run_id").select("run_id", "version", "alias")
 
 
 @query(
@@ -266,16 +269,19 @@ def stale_artifacts(spark, sf):
         (F.col("p_size") % 3 != 0).alias("present"), (F.col("p_partkey") % 13 != 0).alias("lookup_ok"),
         F.col("p_size").cast("bigint").alias("stamped_version"),
     )
-    champions = V.alias_state(alias_log(spark, sf), width=1000)
+    champions = V.alias_state(alias_log(spark, sf))
     return V.stale_artifacts(stamps, champions).select("node", "model", "action")
 
 
 @query(
     "serving_manifest",
-    """SELECT role, concat('models/serving/', role, '/base') AS base, CASE WHEN adapter IS NOT NULL THEN concat('models/serving/', role, '/adapter') END AS adapter,
-     CASE WHEN adapter IS NOT NULL THEN a.model END AS registered_model, a.champion AS version
-    FROM (SELECT concat('role', p_partkey) AS role, CASE WHEN p_partkey % 4 <> 0 THEN concat('m', p_partkey % 60) END AS adapter FROM part) r
-    LEFT JOIN aliases a ON r.adapter = a.model""",
+    """SELECT role, CASE WHEN NOT missing THEN concat('models/serving/', role, '/base') END AS base,
+     CASE WHEN NOT missing AND adapter IS NOT NULL THEN concat('models/serving/', role, '/adapter') END AS adapter,
+     CASE WHEN NOT missing THEN adapter END AS registered_model, served AS version,
+     CASE WHEN missing THEN concat('no local adapter and no champion for ', adapter) END AS error
+    FROM (SELECT role, adapter, coalesce(champion, stamped) AS served, adapter IS NOT NULL AND champion IS NULL AND stamped IS NULL AS missing FROM (SELECT concat('role', p_partkey) AS role, CASE WHEN p_partkey % 4 <> 0 THEN concat('m', p_partkey % 60) END AS adapter,
+      CASE WHEN p_partkey % 4 <> 0 AND p_partkey % 7 = 0 THEN p_partkey END AS stamped FROM part) r
+    LEFT JOIN aliases a ON r.adapter = a.model) x""",
     moves=MOVES, done=DONE, aliases=ALIASES,
 )
 def serving_manifest(spark, sf):
@@ -284,13 +290,20 @@ def serving_manifest(spark, sf):
         F.when(
             F.col("p_partkey") % 4 != 0, F.concat(F.lit("m"), (F.col("p_partkey") % 60).cast("string"))
         ).alias("adapter"),
+        F.when(
+            (F.col("p_partkey") % 4 != 0) & (F.col("p_partkey") % 7 == 0),
+            F.struct(
+                F.concat(F.lit("m"), (F.col("p_partkey") % 60).cast("string")).alias("registered_model"),
+                F.col("p_partkey").alias("version"), F.lit("old").alias("run_id"), F.lit("s3://old").alias("source"),
+            ),
+        ).alias("stamp"),
     )
-    champions = V.alias_state(alias_log(spark, sf), width=1000).select(
+    champions = V.alias_state(alias_log(spark, sf)).select(
         "model", "champion", F.concat(F.lit("run-"), "model").alias("run_id"),
         F.concat(F.lit("s3://models/"), "model").alias("source"),
     )
     manifest = V.serving_manifest(roles, champions, "models/serving")
     return manifest.select(
         "role", "server.base", "server.adapter", "server.champion.registered_model",
-        "server.champion.version",
+        "server.champion.version", "error",
     )
