@@ -79,3 +79,10 @@ def message(role: str, content: Column) -> Column:
 def json_text(*columns: str | Column) -> Column:
     """JSON of the given columns, null fields kept."""
     return F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+
+
+def last_key_wins() -> None:
+    """Let the session's JSON parser accept repeated keys, as the usual parsers of replies do."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")

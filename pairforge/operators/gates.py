@@ -51,38 +51,38 @@ def validate_rows(rows: DataFrame, catalogs: DataFrame) -> DataFrame:
     return attached.withColumn("error", _label_error(F.col("_names"))).drop("_names")
 
 
-def split_rates(report: DataFrame, validated: DataFrame) -> DataFrame:
-    """Per split: examples, invalid examples and unrounded failure and fallback rates."""
-    counted = validated.groupBy("split").agg(
-        F.count("*").alias("examples"), F.count("error").alias("invalid_examples")
-    )
-    total = F.greatest(F.col("total"), F.lit(1))
-    return report.join(counted, "split", "left").select(
-        "split",
-        F.coalesce("examples", F.lit(0)).alias("examples"),
-        ((F.col("extraction_failed") + F.col("unknown_db")) / total).alias("failure_rate"),
-        (F.col("fallback") / total).alias("fallback_rate"),
-        F.coalesce("invalid_examples", F.lit(0)).alias("invalid_examples"),
+def split_rates(validated: DataFrame) -> DataFrame:
+    """Per split: examples, invalid examples and unrounded failure and fallback rates, in one pass.
+
+    ``validated`` holds every pair of the label job with ``known``, ``method`` and ``error``;
+    only labelled pairs are examples, and only their errors count.
+    """
+    labelled = F.col("method").isNotNull()
+    total = F.greatest(F.count("*"), F.lit(1))
+    return validated.groupBy("split").agg(
+        F.count_if(labelled).alias("examples"),
+        (F.count_if(~labelled) / total).alias("failure_rate"),
+        (F.count_if(F.col("method") == "fallback") / total).alias("fallback_rate"),
+        F.count_if(labelled & F.col("error").isNotNull()).alias("invalid_examples"),
     )
 
 
-def split_metrics(rates: DataFrame) -> DataFrame:
+def split_metrics(rates: DataFrame, *more: str) -> DataFrame:
     return rates.select(
         "split", "examples",
         F.bround("failure_rate", 4).alias("extraction_failure_rate"),
         F.bround("fallback_rate", 4).alias("fallback_rate"),
-        "invalid_examples",
+        "invalid_examples", *more,
     )
 
 
-def violations(
-    rates: DataFrame,
+def broken_rules(
     *,
     min_examples: int = MIN_EXAMPLES_PER_SPLIT,
     max_failure_rate: float = MAX_FAILURE_RATE,
     max_fallback_rate: float = MAX_FALLBACK_RATE,
-) -> DataFrame:
-    """One row per broken rule; rates are compared before rounding."""
+) -> Column:
+    """The rules that the rates of a split break; rates are compared before rounding."""
     examples, invalid = F.col("examples"), F.col("invalid_examples")
     failure, fallback = F.col("failure_rate"), F.col("fallback_rate")
 
@@ -102,20 +102,20 @@ def violations(
         rule(3, "invalid", invalid > 0,
              F.format_string("%d structurally invalid examples", invalid)),
     )
-    return rates.select("split", F.inline(rules)).where("broken").drop("broken")
+    return F.filter(rules, lambda r: r["broken"])
 
 
-def gate_verdict(rates: DataFrame, broken: DataFrame) -> DataFrame:
+def violations(rates: DataFrame, **limits: float) -> DataFrame:
+    """One row per broken rule."""
+    return rates.select("split", F.inline(broken_rules(**limits))).drop("broken")
+
+
+def gate_verdict(rates: DataFrame, **limits: float) -> DataFrame:
     """One row: per-split metrics, broken rules, and whether the gate passed."""
-    messages = broken.groupBy("split").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("rule_ord", "message"))), lambda v: v["message"]
-        ).alias("messages")
-    )
-    metrics = split_metrics(rates)
-    per_split = metrics.join(messages, "split", "left").select(
-        F.struct(*metrics.columns).alias("metrics"),
-        F.coalesce("messages", F.array().cast("array<string>")).alias("messages"),
+    metrics = split_metrics(rates.withColumn("_broken", broken_rules(**limits)), "_broken")
+    per_split = metrics.select(
+        F.struct(*[c for c in metrics.columns if c != "_broken"]).alias("metrics"),
+        F.transform("_broken", lambda r: r["message"]).alias("messages"),
     )
     report = per_split.agg(F.array_sort(F.collect_list(F.struct("metrics", "messages"))).alias("s"))
     return report.select(

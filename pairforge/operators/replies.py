@@ -11,7 +11,7 @@ from pairforge.fixed_values import (
     PREVIEW_CELL_CHARS,
 )
 from pairforge.functions.joins import join_same
-from pairforge.functions.text import bind, lines, strip
+from pairforge.functions.text import bind, last_key_wins, lines, strip
 
 ENTRY = "array<struct<table_name:string,columns:array<string>>>"
 TABLE_LINE = r"(?U)^(\w+)\s*\(([^()]*)\)$"
@@ -104,7 +104,11 @@ def extract_sql(reply: Column) -> Column:
 
 
 def json_object_extract(reply: Column) -> Column:
-    """The JSON object of a reply as text, and ``error`` when it holds none."""
+    """The JSON object of a reply as text, and ``error`` when it holds none.
+
+    Of a repeated key the last value counts.
+    """
+    last_key_wins()
     widest = r"(?s)(\{.*\})"
 
     def read(text: Column) -> Column:

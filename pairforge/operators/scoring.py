@@ -32,17 +32,6 @@ def qualified_columns(entries: Column) -> Column:
     )
 
 
-def label_entries(tables: Column, columns: Column) -> Column:
-    """A label's table list and column map as (table, columns) entries."""
-    return F.transform(
-        tables,
-        lambda t: F.struct(
-            t.alias("table_name"),
-            F.coalesce(F.try_element_at(columns, t), F.array().cast("array<string>")).alias("columns"),
-        ),
-    )
-
-
 def _prf(gold: Column, pred: Column, prefix: str) -> Column:
     def compute(hits: Column) -> Column:
         precision = F.when((F.size(gold) == 0) & (F.size(pred) == 0), 1.0).when(

@@ -100,10 +100,6 @@ def artifact_location(uri: Column, bucket: str = ARTIFACT_BUCKET) -> Column:
     )
 
 
-def mirror_uri(bucket: Column, prefix: Column, base: Column, revision: Column) -> Column:
-    return F.concat(F.lit(OBJECT_SCHEME), F.concat_ws("/", bucket, prefix, base, revision))
-
-
 def stale_artifacts(stamps: DataFrame, champions: DataFrame) -> DataFrame:
     """What to do with each local copy: keep it, load the champion, or fail.
 

@@ -7,6 +7,7 @@ statements the resolver refused are read again, as plain words.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -107,13 +108,19 @@ class LabelOptions:
 
 
 def label_pairs(
-    pairs: DataFrame, catalogs: DataFrame, options: LabelOptions = LabelOptions()
+    pairs: DataFrame,
+    catalogs: DataFrame,
+    options: LabelOptions = LabelOptions(),
+    write: Callable[[DataFrame, str], DataFrame] = stage,
 ) -> DataFrame:
-    """Every pair with ``method`` (null when it failed), ``reason``, ``used`` and its label."""
+    """Every pair with ``method`` (null when it failed), ``reason``, ``used`` and its label.
+
+    ``write`` writes stage tables; ``Stages().write`` lets the caller delete them.
+    """
     def label(used: str) -> Column:
         return _pruned(used, options.include_primary_keys, options.include_foreign_keys)
 
-    keyed = stage(keyed_pairs(pairs), "pairs")
+    keyed = write(keyed_pairs(pairs), "pairs")
     shapes = resolve_shapes(distinct_shapes(keyed), catalogs).select(
         "shape_key", "n", "db_id", "tables", "foreign_keys", "names",
         F.col("tables").isNotNull().alias("known"),
@@ -122,7 +129,7 @@ def label_pairs(
     )
     # The catalog travels on only with shapes that still need the word match.
     clean = F.col("problem").isNull() & F.col("known")
-    resolved = stage(
+    resolved = write(
         shapes.select(
             "shape_key", "n", "known", "problem",
             F.when(clean, F.col("used")).alias("shape_used"),

@@ -36,10 +36,10 @@ def rates(spark, *rows):
 def test_gates(spark):
     good = rates(spark, ("train", 100, 0.02, 0.05, 0))
     assert G.violations(good).count() == 0
-    assert G.gate_verdict(good, G.violations(good)).first()["passed"]
-    G.require_passed(G.gate_verdict(good, G.violations(good)))
+    assert G.gate_verdict(good).first()["passed"]
+    G.require_passed(G.gate_verdict(good))
     bad = rates(spark, ("val", 99, 0.02004, 0.05004, 2), ("train", 500, 0.0, 0.0, 0))
-    verdict = G.gate_verdict(bad, G.violations(bad))
+    verdict = G.gate_verdict(bad)
     row = verdict.first()
     assert not row.passed and row.violations == [
         "val: only 99 examples (min 100)", "val: extraction failure rate 0.0200 > 0.02",
@@ -50,10 +50,13 @@ def test_gates(spark):
         G.require_passed(verdict)
 
 
-def test_rates_of_a_split_without_rows(spark):
-    report = spark.createDataFrame([("train", 0, 0, 0, 0)], "split string, total bigint, fallback bigint, extraction_failed bigint, unknown_db bigint")
-    none = spark.createDataFrame([], "split string, error string")
-    assert tuple(G.split_rates(report, none).first()) == ("train", 0, 0.0, 0.0, 0)
+def test_rates_in_one_pass(spark):
+    rows = spark.createDataFrame(
+        [("train", True, "parser", None), ("train", True, "fallback", "bad"), ("train", True, None, "no tables in label"), ("train", False, None, None), ("val", False, None, None)],
+        "split string, known boolean, method string, error string",
+    )
+    got = {r.split: tuple(r)[1:] for r in G.split_rates(rows).collect()}
+    assert got == {"train": (2, 0.5, 0.25, 1), "val": (0, 1.0, 0.0, 0)}
 
 
 def test_model_gates(spark):

@@ -203,3 +203,9 @@ def test_preview_of_an_empty_result(spark):
     results = spark.createDataFrame([("a",), ("none",), (None,)], "k string")
     got = {r.k: (r.n_rows, r.preview) for r in R.result_preview(rows, ["k"], ["o"], ["o", "v"], results=results).collect()}
     assert got == {"a": (1, "o | v\n--- | ---\n1 | x"), "none": (0, "o | v\n--- | ---"), None: (0, "o | v\n--- | ---")}
+
+
+def test_last_of_repeated_keys(one):
+    reply = '{"answer": "a", "chart": null, "answer": "b"}'
+    assert one(R.json_object_extract(F.col("r")), r=reply).error is None
+    assert one(R.parse_presentation(F.col("r"), F.array().cast("array<string>")), r=reply).answer == "b"

@@ -226,7 +226,3 @@ def test_serving_manifest(spark):
     assert got["pruner"].adapter == "d/pruner/adapter" and got["pruner"].champion.version == 3
     assert got["plain"].base == "d/plain/base" and got["plain"].adapter is None and got["plain"].champion is None
 
-
-def test_mirror_uri(one):
-    uri = V.mirror_uri(F.lit("models"), F.lit("base"), F.lit("org/m"), F.lit("main"))
-    assert one(uri) == "s3://models/base/org/m/main"

@@ -37,7 +37,15 @@ def base_entries(spark: SparkSession) -> DataFrame:
 
 
 def label_catalogs(spark: SparkSession, sf: str) -> DataFrame:
-    return C.catalogs_from_entries(base_entries(spark))
+    """Catalogs of all databases that pairs ask: the base ones under every block number, or as they are without data."""
+    base = C.catalogs_from_entries(base_entries(spark))
+    if not sf:
+        return base
+    blocks = table(spark, sf, "orders").select(F.floor(F.col("o_orderkey") / 20).cast("string").alias("block")).distinct()
+    every = F.explode(F.array(*[F.lit(name) for name in ENTRIES]))
+    numbered = blocks.select("block", every.alias("base"))
+    named = numbered.join(F.broadcast(base.withColumnRenamed("db_id", "base")), "base")
+    return named.withColumn("db_id", F.concat_ws("_", "base", "block")).select(*base.columns)
 
 
 # ---- sources and sinks
@@ -59,7 +67,10 @@ def json_doc_scan(spark, sf):
     docs = table(spark, sf, "conversations").groupBy(*ranges).agg(
         F.to_json(F.array_sort(F.collect_list(turn))).alias("value")
     )
-    docs.write.partitionBy("conv_id_range", "turn_range").text(path)
+    # Several documents per folder, each in a file of its own.
+    docs.select("value", F.pmod(F.xxhash64("conv_id_range", "turn_range"), F.lit(16)).alias("folder")).write.option(
+        "maxRecordsPerFile", 1
+    ).partitionBy("folder").text(path)
     return J.json_doc_scan(spark, path, TURN).drop("source")
 
 

@@ -57,11 +57,12 @@ SELECT * FROM (VALUES
 ) AS v(k, db_id, question, query)
 """
 
+# A third of the blocks ask the databases numbered 0; each other block has databases of its own.
 INPUTS["pairs"] = """
 SELECT o_orderkey AS row_ord,
  CASE WHEN cast(floor(o_orderkey / 20) AS BIGINT) % 8 = 0 THEN 'val' ELSE 'train' END AS split,
  CASE WHEN cast(floor(o_orderkey / 20) AS BIGINT) % 8 = 0 THEN 'c.json' WHEN cast(floor(o_orderkey / 20) AS BIGINT) % 2 = 0 THEN 'a.json' ELSE 'b.json' END AS source,
- t.k AS k, t.db_id AS db_id,
+ t.k AS k, t.db_id AS base, concat(t.db_id, '_', cast(CASE WHEN cast(floor(o_orderkey / 20) AS BIGINT) % 3 = 0 THEN 0 ELSE cast(floor(o_orderkey / 20) AS BIGINT) END AS VARCHAR(20))) AS db_id,
  replace(t.question, '{n}', cast(cast(floor(o_orderkey / 20) AS BIGINT) AS VARCHAR(20))) AS question,
  replace(t.query, '{n}', cast(cast(floor(o_orderkey / 20) AS BIGINT) AS VARCHAR(20))) AS query
 FROM orders JOIN templates t ON o_orderkey % 20 = t.k
@@ -201,15 +202,15 @@ FROM dbs d JOIN catalog_fks f ON d.base = f.db_id
 """
 
 INPUTS["clean_pairs"] = """
-SELECT row_ord, split, source, source_ord, k, db_id, question, query,
+SELECT row_ord, split, source, source_ord, k, base, db_id, question, query,
  substr(sha256(concat(db_id, chr(0), question, chr(0), query)), 1, 16) AS id
-FROM (SELECT row_ord, split, source, CASE source WHEN 'b.json' THEN 1 ELSE 0 END AS source_ord, k, db_id,
+FROM (SELECT row_ord, split, source, CASE source WHEN 'b.json' THEN 1 ELSE 0 END AS source_ord, k, base, db_id,
   trim(question) AS question, trim(query) AS query FROM pairs) p
 WHERE question <> '' AND query <> ''
 """
 
 INPUTS["unique_pairs"] = """
-SELECT row_ord, split, source, source_ord, k, db_id, question, query, id
+SELECT row_ord, split, source, source_ord, k, base, db_id, question, query, id
 FROM (SELECT *, row_number() OVER (PARTITION BY split, id ORDER BY source_ord, row_ord) AS rn FROM clean_pairs) p
 WHERE rn = 1
 """

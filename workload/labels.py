@@ -34,7 +34,7 @@ def with_catalog(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
 
 @query(
     "pair_schema_lookup",
-    """SELECT id, split, db_id, db_id IN (SELECT db_id FROM catalog_columns) AS known FROM unique_pairs""",
+    """SELECT id, split, db_id, base IN (SELECT db_id FROM catalog_columns) AS known FROM unique_pairs""",
 )
 def pair_schema_lookup(spark, sf):
     found = L.pair_schema_lookup(unique_pairs(spark, sf), label_catalogs(spark, sf))
@@ -65,35 +65,6 @@ def sql_tokens(spark, sf):
     return tokens.withColumn("kind", S.token_kind(F.col("token")))
 
 
-@query(
-    "sql_scopes",
-    """SELECT row_ord, cast(pos AS INTEGER) AS pos, token, cast(scope_open AS INTEGER) AS scope_open,
-     cast(greatest(scope_open, coalesce(max(CASE WHEN token IN ('union', 'intersect', 'except') THEN pos END) OVER
-      (PARTITION BY row_ord, scope_open ORDER BY pos), -1)) AS INTEGER) AS branch_start
-    FROM scoped WHERE token NOT IN ('(', ')')
-    QUALIFY token NOT IN ('union', 'intersect', 'except')""",
-    token_rows=TOKEN_ROWS,
-    readable="""SELECT row_ord FROM unique_pairs p JOIN (SELECT DISTINCT k FROM expected_used WHERE method = 'parser') e ON p.k = e.k""",
-    base="""SELECT row_ord, pos, CASE WHEN token LIKE '''%''' OR regexp_matches(token, '^[0-9]') THEN '?' ELSE lower(token) END AS token,
-     lead(lower(token)) OVER (PARTITION BY row_ord ORDER BY pos) AS following
-     FROM token_rows WHERE row_ord IN (SELECT row_ord FROM readable)""",
-    depths="""SELECT *, sum(CASE token WHEN '(' THEN 1 WHEN ')' THEN -1 ELSE 0 END) OVER (PARTITION BY row_ord ORDER BY pos)
-     + CASE token WHEN ')' THEN 1 ELSE 0 END AS depth FROM base""",
-    matched="""SELECT *, last_value(CASE WHEN token = '(' THEN CASE WHEN following IN ('select', 'with') THEN 1 ELSE 0 END END IGNORE NULLS)
-     OVER (PARTITION BY row_ord, depth ORDER BY pos) AS in_query FROM depths""",
-    levels="""SELECT *, sum(CASE WHEN token = '(' THEN in_query WHEN token = ')' THEN -in_query ELSE 0 END)
-     OVER (PARTITION BY row_ord ORDER BY pos) AS level FROM matched""",
-    scoped="""SELECT *, coalesce(last_value(CASE WHEN token = '(' AND in_query = 1 THEN pos END IGNORE NULLS)
-     OVER (PARTITION BY row_ord, level ORDER BY pos), -1) AS scope_open FROM levels""",
-)
-def sql_scopes(spark, sf):
-    tokens = details(spark, sf).select("row_ord", F.inline("tokens"))
-    return tokens.where(~F.col("t").isin("(", ")", "union", "intersect", "except")).select(
-        "row_ord", F.col("i").alias("pos"), F.col("t").alias("token"),
-        F.col("open").alias("scope_open"), F.col("start").alias("branch_start"),
-    )
-
-
 @query(
     "sql_sources",
     "SELECT id, split, alias, table_name FROM unique_pairs p JOIN by_template t ON p.k = t.k",
@@ -164,12 +135,12 @@ def used_columns(spark, sf):
 @query(
     "token_fallback",
     """SELECT p.row_ord AS row_ord, c.table_name AS table_name, c.column_name AS column_name FROM words p
-    JOIN catalog_columns c ON p.db_id = c.db_id
+    JOIN catalog_columns c ON p.base = c.db_id
     WHERE list_contains(words, lower(c.table_name)) AND list_contains(words, lower(c.column_name))
     UNION ALL SELECT p.row_ord, t.table_name, NULL FROM words p
-    JOIN (SELECT db_id, table_name, list(lower(column_name)) AS cols FROM catalog_columns GROUP BY db_id, table_name) t ON p.db_id = t.db_id
+    JOIN (SELECT db_id, table_name, list(lower(column_name)) AS cols FROM catalog_columns GROUP BY db_id, table_name) t ON p.base = t.db_id
     WHERE list_contains(words, lower(t.table_name)) AND NOT list_has_any(words, cols)""",
-    words="""SELECT row_ord, db_id, list_transform(string_split_regex(translate(query, '.=', '  '), '\\s+'),
+    words="""SELECT row_ord, base, list_transform(string_split_regex(translate(query, '.=', '  '), '\\s+'),
       lambda w: lower(trim(w, '`"''(),;'))) AS words FROM clean_pairs""",
 )
 def token_fallback(spark, sf):
@@ -292,11 +263,11 @@ def failure_sample(spark, sf):
 # ---- gates
 
 def spoiled_rows(found: DataFrame) -> DataFrame:
-    """Labelled rows, some made invalid by template."""
-    kept = found.where("method IS NOT NULL").withColumn("_n", U.pruned_names(F.col("pruned_schema")))
+    """Pairs of the label job, some labels made invalid by template."""
+    kept = found.withColumn("_n", U.pruned_names(F.col("pruned_schema")))
     tables, k = F.col("_n.tables"), F.col("k")
     return kept.select(
-        "id", "split", "row_ord", "source_ord", "k", "query",
+        "id", "split", "row_ord", "source_ord", "k", "query", "known", "method",
         F.when(k == 12, "gone").otherwise(F.col("db_id")).alias("db_id"),
         F.when(k == 0, " \t ").otherwise(F.col("question")).alias("question"),
         F.when(k == 3, F.slice(tables, 1, 0))
@@ -324,16 +295,13 @@ BROKEN = """SELECT split, 0 AS rule_ord, 'examples' AS rule, format('{}: only {}
 
 
 def rates(spark: SparkSession, sf: str) -> DataFrame:
-    found = labels(spark, sf)
-    validated = G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf))
-    return G.split_rates(L.label_report(found), validated)
+    return G.split_rates(G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf)))
 
 
 @query("validate_rows", "SELECT id, split, error FROM spoiled", spoiled=SPOILED)
 def validate_rows(spark, sf):
-    return G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf)).select(
-        "id", "split", "error"
-    )
+    found = labels(spark, sf).where("method IS NOT NULL")
+    return G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf)).select("id", "split", "error")
 
 
 @query("split_metrics", METRICS, report=REPORT, spoiled=SPOILED, rates=RATES)
@@ -346,15 +314,11 @@ def violations(spark, sf):
     return G.violations(rates(spark, sf), min_examples=5000)
 
 
-@query(
-    "gate_verdict",
-    """SELECT (SELECT string_agg(concat(split, '=', examples), ',' ORDER BY split) FROM metrics) AS splits,
-     (SELECT string_agg(message, chr(10) ORDER BY split, rule_ord) FROM broken) AS violations, false AS passed""",
-    report=REPORT, spoiled=SPOILED, rates=RATES, metrics=METRICS, broken=BROKEN,
-)
-def gate_verdict(spark, sf):
-    measured = rates(spark, sf)
-    verdict = G.gate_verdict(measured, G.violations(measured, min_examples=5000))
+VERDICT = """SELECT (SELECT string_agg(concat(split, '=', examples), ',' ORDER BY split) FROM metrics) AS splits,
+ (SELECT coalesce(string_agg(message, chr(10) ORDER BY split, rule_ord), '') FROM broken) AS violations, (SELECT count(*) = 0 FROM broken) AS passed"""
+
+
+def shown_verdict(verdict: DataFrame) -> DataFrame:
     shown = F.transform("splits", lambda s: F.concat(s["split"], F.lit("="), s["examples"].cast("string")))
     return verdict.select(
         F.array_join(shown, ",").alias("splits"),
@@ -362,6 +326,26 @@ def gate_verdict(spark, sf):
     )
 
 
+@query("gate_verdict", VERDICT, report=REPORT, spoiled=SPOILED, rates=RATES, metrics=METRICS, broken=BROKEN)
+def gate_verdict(spark, sf):
+    return shown_verdict(G.gate_verdict(rates(spark, sf), min_examples=5000))
+
+
+@query(
+    "gate_verdict_passed", VERDICT,
+    report=REPORT, spoiled="SELECT split, CAST(NULL AS VARCHAR) AS error FROM labeled", rates=RATES, metrics=METRICS,
+    broken=BROKEN.replace("5000", "1").replace("> 0.02", "> 0.2").replace("> 0.05", "> 0.2"),
+)
+def gate_verdict_passed(spark, sf):
+    """The labels as they are, under limits that they keep."""
+    rows = L.label_pairs(unique_pairs(spark, sf), label_catalogs(spark, sf))
+    named = rows.withColumn("_n", U.pruned_names(F.col("pruned_schema"))).withColumns(
+        {"tables": F.col("_n.tables"), "columns": F.col("_n.columns")}
+    ).drop("_n")
+    clean = G.split_rates(G.validate_rows(named, label_catalogs(spark, sf)))
+    return shown_verdict(G.gate_verdict(clean, min_examples=1, max_failure_rate=0.2, max_fallback_rate=0.2))
+
+
 @query(
     "invalid_sample",
     """SELECT split, cast(rn AS INTEGER) AS rank, concat(id, ': ', error) AS line FROM (SELECT *,
@@ -370,7 +354,8 @@ def gate_verdict(spark, sf):
     spoiled=SPOILED,
 )
 def invalid_sample(spark, sf):
-    validated = G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf))
+    found = labels(spark, sf).where("method IS NOT NULL")
+    validated = G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf))
     return G.invalid_sample(validated, ORDER)
 
 
@@ -411,7 +396,7 @@ PRUNED_TEXT = """SELECT k, string_agg(line, chr(10) ORDER BY part, ord) AS prune
     """SELECT p.id AS id, p.split AS split, p.db_id AS db_id, p.question AS question, p.query AS query,
      f.full_schema_text AS full_schema_text, s.pruned_schema_text AS pruned_schema_text, t.tables AS tables,
      t.target AS columns, p.method AS extraction_method, p.source AS source
-    FROM labeled p JOIN full_text f ON p.db_id = f.db_id JOIN pruned_text s ON p.k = s.k JOIN targets t ON p.k = t.k""",
+    FROM labeled p JOIN full_text f ON p.base = f.db_id JOIN pruned_text s ON p.k = s.k JOIN targets t ON p.k = t.k""",
     full_text=FULL_TEXT, pruned_text=PRUNED_TEXT,
 )
 def model_ready_rows(spark, sf):
@@ -433,7 +418,7 @@ def target_text(spark, sf):
     "chat_messages",
     """SELECT p.id AS id, p.split AS split, 'system,user,assistant' AS roles, concat('Database schema:', chr(10), f.full_schema_text,
      chr(10), chr(10), 'Question: ', p.question) AS user_text, t.target AS target
-    FROM labeled p JOIN full_text f ON p.db_id = f.db_id JOIN targets t ON p.k = t.k""",
+    FROM labeled p JOIN full_text f ON p.base = f.db_id JOIN targets t ON p.k = t.k""",
     full_text=FULL_TEXT,
 )
 def chat_messages(spark, sf):
