@@ -258,14 +258,14 @@ def artifact_location(spark, sf):
     """SELECT node, model, CASE WHEN NOT lookup_ok THEN CASE WHEN present THEN 'keep' ELSE 'error' END
      WHEN champion IS NULL THEN CASE WHEN present THEN 'keep' ELSE 'error' END
      WHEN present AND stamped_version = champion THEN 'keep' ELSE 'load' END AS action
-    FROM (SELECT p_partkey AS node, concat('m', p_partkey % 60) AS model, p_size % 3 <> 0 AS present, p_partkey % 13 <> 0 AS lookup_ok, p_size AS stamped_version FROM part) s
+    FROM (SELECT p_partkey AS node, concat('m', p_partkey) AS model, p_size % 3 <> 0 AS present, p_partkey % 13 <> 0 AS lookup_ok, p_size AS stamped_version FROM part) s
     LEFT JOIN aliases a USING (model)""",
     moves=MOVES, done=DONE, aliases=ALIASES,
 )
 def stale_artifacts(spark, sf):
     stamps = table(spark, sf, "part").select(
         F.col("p_partkey").alias("node"),
-        F.concat(F.lit("m"), (F.col("p_partkey") % 60).cast("string")).alias("model"),
+        F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("model"),
         (F.col("p_size") % 3 != 0).alias("present"), (F.col("p_partkey") % 13 != 0).alias("lookup_ok"),
         F.col("p_size").cast("bigint").alias("stamped_version"),
     )
@@ -279,7 +279,7 @@ def stale_artifacts(spark, sf):
      CASE WHEN NOT missing AND adapter IS NOT NULL THEN concat('models/serving/', role, '/adapter') END AS adapter,
      CASE WHEN NOT missing THEN adapter END AS registered_model, served AS version,
      CASE WHEN missing THEN concat('no local adapter and no champion for ', adapter) END AS error
-    FROM (SELECT role, adapter, coalesce(champion, stamped) AS served, adapter IS NOT NULL AND champion IS NULL AND stamped IS NULL AS missing FROM (SELECT concat('role', p_partkey) AS role, CASE WHEN p_partkey % 4 <> 0 THEN concat('m', p_partkey % 60) END AS adapter,
+    FROM (SELECT role, adapter, coalesce(champion, stamped) AS served, adapter IS NOT NULL AND champion IS NULL AND stamped IS NULL AS missing FROM (SELECT concat('role', p_partkey) AS role, CASE WHEN p_partkey % 4 <> 0 THEN concat('m', p_partkey) END AS adapter,
       CASE WHEN p_partkey % 4 <> 0 AND p_partkey % 7 = 0 THEN p_partkey END AS stamped FROM part) r
     LEFT JOIN aliases a ON r.adapter = a.model) x""",
     moves=MOVES, done=DONE, aliases=ALIASES,
@@ -288,12 +288,12 @@ def serving_manifest(spark, sf):
     roles = table(spark, sf, "part").select(
         F.concat(F.lit("role"), F.col("p_partkey").cast("string")).alias("role"),
         F.when(
-            F.col("p_partkey") % 4 != 0, F.concat(F.lit("m"), (F.col("p_partkey") % 60).cast("string"))
+            F.col("p_partkey") % 4 != 0, F.concat(F.lit("m"), F.col("p_partkey").cast("string"))
         ).alias("adapter"),
         F.when(
             (F.col("p_partkey") % 4 != 0) & (F.col("p_partkey") % 7 == 0),
             F.struct(
-                F.concat(F.lit("m"), (F.col("p_partkey") % 60).cast("string")).alias("registered_model"),
+                F.concat(F.lit("m"), F.col("p_partkey").cast("string")).alias("registered_model"),
                 F.col("p_partkey").alias("version"), F.lit("old").alias("run_id"), F.lit("s3://old").alias("source"),
             ),
         ).alias("stamp"),
