@@ -16,16 +16,19 @@ from pairforge.llm import best_fit_packing, co_training, jaccard_join, poisson_m
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
+    ship_package(spark)
     return quality_rules.keep_by_rules(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the co-trained classifier keeps."""
+    ship_package(spark)
     return co_training.keep_by_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies."""
+    ship_package(spark)
     return jaccard_join.keep_one_of_each(docs)
 
 
@@ -36,6 +39,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of the permitted lengths."""
+    ship_package(spark)
     return best_fit_packing.pack_documents(docs)
 
 
@@ -53,7 +57,6 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    ship_package(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name.replace(" ", "-"))
