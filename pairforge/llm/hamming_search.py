@@ -17,7 +17,6 @@ Rows that share an id are one row for the answer.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
