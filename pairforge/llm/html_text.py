@@ -4,9 +4,10 @@
    a block of scripts, menus, adverts and the like, or one made of links, becomes a blank line.
 2. Text lengths are summed over sliding windows of lines. The sums surge where text
    begins and dive to zero where only blank lines follow.
-3. The lines between a surge and its dive are kept whole, short ones too, if the sums
-   rise high enough between them. Where a page declares its article, lines outside of
-   it count as blank and every rise inside of it is high enough.
+3. The lines between a surge and its dive are kept whole, short ones too. Sums surge at
+   RISE. A line of a declared article weighs RISE more, so the sums dive below RISE there;
+   without one they dive at zero. This holds if no more text surges outside of the
+   article than lies in it; else its tag decides nothing (teasers beside a body).
 
 A null page gives an empty text. Broken markup never fails: unclosed elements end with
 their parents, a tag cut off at the end of a page is dropped, and so is an unclosed
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from pairforge.llm.words import small_batches
 
-#: Lines of a window, and the sum that a stretch must reach where no article is declared.
+#: Lines of a window, and the sum that a stretch must reach.
 WINDOW, RISE = 3, 86
 #: A line with more than this share of its characters in links is a menu.
 LINK_SHARE = 0.6
@@ -174,8 +175,8 @@ def _kind(name: str, values: dict[str, str], inside: bool) -> str | None:
     return None
 
 
-def page_lines(source: str) -> tuple[list[Line], bool]:
-    """The lines of a page, and whether it declares an article."""
+def page_lines(source: str) -> list[Line]:
+    """The lines of a page."""
     page, at, end = Page(), 0, len(source)
     while at < end:
         tag = MARKUP.search(source, at)
@@ -197,29 +198,39 @@ def page_lines(source: str) -> tuple[list[Line], bool]:
         else:
             page.enter(name, attributes)
     page.end_line()
-    return page.lines, page.has_article
+    return page.lines
 
 
-def between_surge_and_dive(weights: np.ndarray, rise: float, window: int = WINDOW) -> np.ndarray:
-    """Which lines lie in a stretch whose window sums are above zero throughout and reach ``rise``."""
+def _is_menu(line: Line) -> bool:
+    return not line.declared and line.linked > LINK_SHARE * len(line.text)
+
+
+def stretches(weights: np.ndarray, rise: float, dive: float, window: int = WINDOW) -> list[tuple[int, int, bool]]:
+    """First line and end of each stretch whose window sums reach ``dive`` throughout, and whether they surge to ``rise``."""
     sums = np.convolve(np.r_[np.zeros(window - 1), weights, np.zeros(window - 1)], np.ones(window), "valid")
-    keep = np.zeros(len(weights), bool)
-    edges = np.flatnonzero(np.diff(np.r_[0, (sums > 0).astype(int), 0]))
-    for surge, dive in zip(edges[::2], edges[1::2], strict=True):
-        if sums[surge:dive].max() >= rise:
-            keep[max(0, surge - window + 1) : dive] = True
-    return keep & (weights > 0)
+    edges = np.flatnonzero(np.diff(np.r_[0, (sums >= dive).astype(int), 0]))
+    return [(max(0, a - window + 1), b, bool(sums[a:b].max() >= rise)) for a, b in zip(edges[::2], edges[1::2], strict=True)]
 
 
 def main_text(source: str | None) -> str:
     """The text of the article of a page."""
-    lines, declared = page_lines(source or "")
+    lines = page_lines(source or "")
     if not lines:
         return ""
-    menu = lambda x: not declared and x.linked > LINK_SHARE * len(x.text)
-    weights = np.array([0 if x.blank or menu(x) or (declared and not x.declared) else len(x.text) for x in lines])
-    keep = between_surge_and_dive(weights, 1 if declared else min(RISE, weights.sum() or 1))
-    return " ".join(x.text for x, k in zip(lines, keep, strict=True) if k)
+    weights = np.array([0 if x.blank or _is_menu(x) else len(x.text) for x in lines])
+    inside = np.array([x.declared and not x.blank for x in lines])
+    outside = np.where(inside, 0, weights)
+    surging = sum(int(outside[a:b].sum()) for a, b, surges in stretches(outside, RISE, 1) if surges)
+    keep = np.zeros(len(lines), bool)
+    if inside.any() and surging <= weights[inside].sum():
+        for a, b, _ in stretches(weights + RISE * inside, RISE, RISE):
+            keep[a:b] = True
+    else:
+        weights = np.array([0 if x.linked > LINK_SHARE * len(x.text) else w for x, w in zip(lines, weights, strict=True)])
+        found = stretches(weights, min(RISE, weights.sum() or 1), 1)
+        for a, b, surges in found:
+            keep[a:b] |= surges
+    return " ".join(x.text for x, k, w in zip(lines, keep, weights, strict=True) if k and w)
 
 
 def extract_text(pages: DataFrame) -> DataFrame:

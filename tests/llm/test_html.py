@@ -36,6 +36,16 @@ def test_distribution_decides_without_an_article():
     assert main_text(page) == f"By me. {LONG} Short. {LONG}"
 
 
+@pytest.mark.parametrize("page,text", [
+    # The sums decide around a declared article too: its lines weigh more, and text beside it that surges is kept.
+    (f"<article><p>{LONG}</p><p>a</p></article><nav>n</nav><nav>n</nav><nav>n</nav><div>tiny</div>", f"{LONG} a"),
+    (f"<article><p>{LONG}</p><p>a</p></article><nav>n</nav><nav>n</nav><nav>n</nav><div>{LONG}</div>", f"{LONG} a {LONG}"),
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><article><p>Teaser</p></article>", f"{LONG} {LONG} Teaser"),
+])
+def test_distribution_decides_beside_an_article(page, text):
+    assert main_text(page) == text
+
+
 def test_long_pages_are_kept_whole():
     words = [f"w{i}" for i in range(200_000)]
     page = "<article>" + "".join(f"<p>{' '.join(words[i : i + 50])}</p>" for i in range(0, len(words), 50)) + "</article>"
