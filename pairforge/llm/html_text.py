@@ -8,6 +8,11 @@
    RISE. A line of a declared article weighs RISE more, so the sums dive below RISE there;
    without one they dive at zero. This holds if no more text surges outside of the
    article than lies in it; else its tag decides nothing (teasers beside a body).
+4. Without a declared article, what lies between the first surge and the last dive is
+   kept too, and so are paragraphs and sentences before and after, however short.
+
+Elements that only their class or id names as boilerplate are judged once the page is
+read: one that holds most of the text is a wrapper of the article and is kept.
 
 A null page gives an empty text. Broken markup never fails: unclosed elements end with
 their parents, a tag cut off at the end of a page is dropped, and so is an unclosed
@@ -32,14 +37,20 @@ WINDOW, RISE = 3, 86
 #: A line with more than this share of its characters in links is a menu.
 LINK_SHARE = 0.6
 
-RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noframes", "noembed", "template", "svg", "math", "object", "canvas", "audio", "video"}
+RAW = {"script", "style", "title", "textarea", "noscript", "iframe", "xmp", "noframes", "noembed", "template", "svg", "object", "canvas", "audio", "video", "annotation", "annotation-xml"}
 VOID = {"br", "hr", "img", "input", "meta", "link", "area", "base", "col", "embed", "param", "source", "track", "wbr"}
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd",
     "label", "mark", "q", "rp", "rt", "ruby", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt",
     "u", "var", "img", "wbr", "picture", "source", "nobr", "link", "meta",
+    "math", "mi", "mn", "mo", "ms", "mtext", "mrow", "msup", "msub", "msubsup", "mfrac", "msqrt", "mroot", "mover", "munder",
+    "munderover", "mmultiscripts", "mprescripts", "mstyle", "mspace", "mpadded", "mphantom", "menclose", "mfenced", "mtable", "mtr",
+    "mtd", "semantics",
 }
-BOILERPLATE_TAGS = {"head", "nav", "header", "footer", "aside", "form", "button", "select", "option", "fieldset", "dialog", "menu", "datalist"}
+#: Elements of running text.
+PROSE = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "blockquote", "pre", "li", "dt", "dd", "td", "th", "figcaption"}
+SENTENCE = re.compile(r"[.!?\u2026\u3002\uff01\uff1f][\"'\u2019\u201d\u00bb)\]]*$")
+BOILERPLATE_TAGS = {"head", "nav", "header", "footer", "aside", "button", "select", "option", "fieldset", "dialog", "menu", "datalist"}
 BOILERPLATE_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alertdialog", "alert", "menu", "menubar", "toolbar", "form"}
 #: Parts of class names and ids that name what is not the article.
 BOILERPLATE_NAMES = {
@@ -50,6 +61,10 @@ BOILERPLATE_NAMES = {
     "comment", "comments", "commentlist", "respond", "replies", "disqus", "form", "search", "copyright",
 }
 COMMENT_NAMES = {"comment", "comments", "commentlist", "reply", "replies", "respond", "disqus"}
+#: Parts that are not the article even if they hold articles.
+ASIDE_NAMES = COMMENT_NAMES | {"related", "recommended", "recommendations", "sidebar", "aside", "widget", "sponsored", "promo", "promotion"}
+#: A class that begins so says what the element has or lacks, not what it is.
+ABOUT = {"no", "not", "has", "with", "without", "hide", "show"}
 #: Elements that end an open one of the same group.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "p": {"p"}}
 LISTS = {"ul", "ol", "dl", "table", "select", "article", "main", "section", "div", "body"}
@@ -67,12 +82,24 @@ HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 @dataclass
 class Line:
-    """Text of a block: all of it, what of it lies in links, and whether it can be article text."""
+    """Text of a block: all of it, what of it lies in links, and whether and where it can be article text."""
 
     text: str
     linked: int
     blank: bool
+    named: int  # the innermost open element that its names call boilerplate, or -1
     declared: bool
+    prose: bool
+
+
+@dataclass
+class Named:
+    """An element that its class or id calls boilerplate, what it lies in, and how many declared articles it holds."""
+
+    names: set[str]
+    layout: bool  # no class begins with the name, as in "page-header"
+    parent: int = -1
+    articles: int = 0
 
 
 @dataclass
@@ -80,25 +107,29 @@ class Page:
     """The lines of a page, and the open elements while it is read."""
 
     lines: list[Line] = field(default_factory=list)
-    open: list[tuple[str, bool, bool]] = field(default_factory=list)  # name, dropped, article
+    open: list[tuple[str, bool, int, bool, bool]] = field(default_factory=list)  # name, dropped, named, article, prose
     parts: list[str] = field(default_factory=list)
     linked: int = 0
     dropped: bool = False
+    named: int = -1
     inside: bool = False
-    has_article: bool = False
+    prose: bool = False
+    elements: list[Named] = field(default_factory=list)
+    articles: int = 0
 
     def text(self, piece: str) -> None:
         if piece:
             piece = html.unescape(piece) if "&" in piece else piece
             self.parts.append(piece)
-            if any(name == "a" for name, _, _ in self.open):
+            if any(x[0] == "a" for x in self.open):
                 self.linked += len(piece.strip())
 
     def end_line(self) -> None:
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                self.lines.append(Line(text, self.linked, self.dropped, self.inside))
+                prose = self.prose or bool(SENTENCE.search(text[-9:]))
+                self.lines.append(Line(text, self.linked, self.dropped, self.named, self.inside, prose))
             self.parts, self.linked = [], 0
 
     def enter(self, name: str, attributes: str) -> None:
@@ -110,19 +141,17 @@ class Page:
             self._imply_ends(name)
         values = _attributes(attributes) if attributes.strip() else {}
         kind = _kind(name, values, self.inside)
-        if kind is None:
-            article = self.inside
-        else:
-            article = kind == "article" or self.inside
-        # A layout element with a telling class may hold the article itself.
-        if kind == "article" and not self.has_article and self.dropped and all(n not in BOILERPLATE_TAGS for n, d, _ in self.open if d):
-            self.open = [(n, False, a) for n, _, a in self.open]
-            self.dropped = False
-        dropped = self.dropped or kind == "boilerplate"
-        if dropped != self.dropped and name in INLINE:
+        dropped, named = self.dropped or kind == "boilerplate", self.named
+        if isinstance(kind, Named):
+            kind.parent, named = named, len(self.elements)
+            self.elements.append(kind)
+        if (dropped, named) != (self.dropped, self.named) and name in INLINE:
             self.end_line()
-        self.has_article |= kind == "article" and not dropped
-        self.open.append((name, dropped, article and not dropped))
+        if kind == "article" and not dropped:
+            self.articles += 1
+            if named >= 0:
+                self.elements[named].articles += 1
+        self.open.append((name, dropped, named, (kind == "article" or self.inside) and not dropped, self.prose or name in PROSE))
         self._refresh()
 
     def leave(self, name: str) -> None:
@@ -131,7 +160,7 @@ class Page:
         for k in range(len(self.open) - 1, -1, -1):
             own = self.open[k][0]
             if own == name:
-                if name in INLINE and self.open[k][1] != (self.open[k - 1][1] if k else False):
+                if name in INLINE and self.open[k][1:3] != (self.open[k - 1][1:3] if k else (False, -1)):
                     self.end_line()
                 del self.open[k:]
                 break
@@ -151,28 +180,36 @@ class Page:
         self._refresh()
 
     def _refresh(self) -> None:
-        _, self.dropped, self.inside = self.open[-1] if self.open else ("", False, False)
+        _, self.dropped, self.named, self.inside, self.prose = self.open[-1] if self.open else ("", False, -1, False, False)
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(text)}
 
 
-def _kind(name: str, values: dict[str, str], inside: bool) -> str | None:
-    """Whether an element declares the article, is not part of one, or neither."""
-    names = set(re.split(r"[^a-z0-9]+", f"{values.get('class', '')} {values.get('id', '')}".lower())) if values else set()
+def _named(values: dict[str, str]) -> tuple[set[str], bool]:
+    """Names of boilerplate in class and id, and whether no class begins with one."""
+    words = [w for w in (re.split(r"[^a-z0-9]+", c) for c in f"{values.get('class', '')} {values.get('id', '')}".lower().split()) if w[0] not in ABOUT]
+    return {x for w in words for x in w} & (BOILERPLATE_NAMES | COMMENT_NAMES), not any(w[0] in BOILERPLATE_NAMES for w in words)
+
+
+def _kind(name: str, values: dict[str, str], inside: bool) -> str | Named | None:
+    """Whether an element declares the article, is not part of one, is named so, or none of these."""
+    names, layout = _named(values) if values else (set(), True)
     role = values.get("role", "").lower()
     if "hidden" in values or values.get("aria-hidden") == "true" or HIDDEN_STYLE.search(values.get("style", "")):
         return "boilerplate"
     if name in ("html", "body"):
         return None
     if name in ("article", "main") or role in ("main", "article") or values.get("itemprop", "").lower() == "articlebody":
-        return "boilerplate" if names & COMMENT_NAMES else "article"
+        return Named(names, False) if names & COMMENT_NAMES else "article"
     if name in BOILERPLATE_TAGS and not (name == "header" and inside):
         return "boilerplate"
-    if role in BOILERPLATE_ROLES or names & BOILERPLATE_NAMES:
+    if role in BOILERPLATE_ROLES:
         return "boilerplate"
-    return None
+    if names & BOILERPLATE_NAMES:
+        return Named(names, layout)
+    return Named({"form"}, True) if name == "form" else None
 
 
 def page_lines(source: str) -> list[Line]:
@@ -198,6 +235,7 @@ def page_lines(source: str) -> list[Line]:
         else:
             page.enter(name, attributes)
     page.end_line()
+    _judge_named(page)
     return page.lines
 
 
@@ -205,6 +243,40 @@ def _is_menu(line: Line) -> bool:
     return not line.declared and line.linked > LINK_SHARE * len(line.text)
 
 
+def _judge_named(page: Page) -> None:
+    """Blank the lines of elements with names of boilerplate, except for wrappers that hold most of the text."""
+    elements = page.elements
+    own, outside = [0] * len(elements), 0
+    for x in page.lines:
+        if not x.blank and not _is_menu(x):
+            if x.named < 0:
+                outside += len(x.text)
+            else:
+                own[x.named] += len(x.text)
+    held = own.copy()
+    for k in range(len(elements) - 1, -1, -1):
+        if (parent := elements[k].parent) >= 0:
+            held[parent] += held[k]
+            elements[parent].articles += elements[k].articles
+    # What is kept by now is outside of each element that is still to be judged; parents come first.
+    kept = {-1}
+    for k in sorted(range(len(elements)), key=lambda k: (-held[k], k)):
+        e = elements[k]
+        if e.parent not in kept or held[k] <= outside:
+            continue
+        if e.articles:
+            wrapper = e.layout or not e.names & ASIDE_NAMES or outside < RISE
+        elif e.layout:
+            wrapper = held[k] >= RISE and not e.names & COMMENT_NAMES
+        else:
+            wrapper = held[k] >= RISE > outside and e.articles == page.articles and not e.names & COMMENT_NAMES
+        if wrapper:
+            kept.add(k)
+            outside += own[k]
+    for x in page.lines:
+        x.blank = x.blank or x.named not in kept
+
+
 def stretches(weights: np.ndarray, rise: float, dive: float, window: int = WINDOW) -> list[tuple[int, int, bool]]:
     """First line and end of each stretch whose window sums reach ``dive`` throughout, and whether they surge to ``rise``."""
     sums = np.convolve(np.r_[np.zeros(window - 1), weights, np.zeros(window - 1)], np.ones(window), "valid")
@@ -228,8 +300,11 @@ def main_text(source: str | None) -> str:
     else:
         weights = np.array([0 if x.linked > LINK_SHARE * len(x.text) else w for x, w in zip(lines, weights, strict=True)])
         found = stretches(weights, min(RISE, weights.sum() or 1), 1)
-        for a, b, surges in found:
-            keep[a:b] |= surges
+        body = [(a, b) for a, b, surges in found if surges]
+        if body:
+            keep[body[0][0] : body[-1][1]] = True
+        for a, b, _ in found:
+            keep[a:b] |= any(x.prose and w for x, w in zip(lines[a:b], weights[a:b], strict=True))
     return " ".join(x.text for x, k, w in zip(lines, keep, weights, strict=True) if k and w)
 
 

@@ -46,6 +46,29 @@ def test_distribution_decides_beside_an_article(page, text):
     assert main_text(page) == text
 
 
+ADVERTS = "<div class=ad>x</div>" * 3
+
+
+@pytest.mark.parametrize("page,text", [
+    # Teasers in articles, beside a body in a plain element.
+    (f"<div><p>{LONG}</p><p>{LONG}</p></div><div class=related><article><p>Teaser</p></article></div>", f"{LONG} {LONG}"),
+    (f"<div class='related sidebar'><article><p>Teaser.</p></article></div><div><p>{LONG}</p></div>", LONG),
+    # Wrappers with a telling class.
+    (f"<div class='content no-sidebar'><p>{LONG}</p></div>", LONG),
+    (f"<div class='content-sidebar'><p>{LONG}</p><div class=sidebar>Side.</div></div><p>By me.</p>", f"{LONG} By me."),
+    (f"<form><p>{LONG}</p><p>Short.</p></form>", f"{LONG} Short."),
+    (f"<p>{LONG}</p><div class=comments><p>{LONG}</p><p>{LONG}</p></div>", LONG),
+    (f"<article><p>a</p></article><div class=ad>{LONG}</div>", "a"), (f"<article></article><div class=ad>{LONG}</div>", ""),
+    # Short stretches.
+    (f"<p>{LONG}</p>{ADVERTS}<p>The end.</p>", f"{LONG} The end."),
+    (f"<h1>Title</h1>{ADVERTS}<p>{LONG}</p>{ADVERTS}<div>mid</div>{ADVERTS}<p>{LONG}</p>{ADVERTS}<div>tiny</div>", f"Title {LONG} mid {LONG}"),
+    # Formulas.
+    ("<article><p>where <math><mi>x</mi><mo>=</mo><mn>2</mn><annotation>x=2</annotation></math> holds</p></article>", "where x=2 holds"),
+])
+def test_text_is_not_lost(page, text):
+    assert main_text(page) == text
+
+
 def test_long_pages_are_kept_whole():
     words = [f"w{i}" for i in range(200_000)]
     page = "<article>" + "".join(f"<p>{' '.join(words[i : i + 50])}</p>" for i in range(0, len(words), 50)) + "</article>"
@@ -56,6 +79,7 @@ def test_broken_markup_stays_linear():
     assert main_text("<article>" + "<a href='" * 20_000) == ""
     assert main_text("<article>" + "<p>x" * 20_000).count("x") == 20_000
     assert main_text("<" * 50_000).count("<") == 50_000
+    assert main_text("<div class=ad>" * 20_000 + "x") == ""
 
 
 def test_rows(spark):
