@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.shipping import ship_package
-from pairforge.llm import best_fit_packing, co_training, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, warc
+from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -103,3 +103,12 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents in 40 shards along a curve over language, source and length."""
     axes = [hilbert_shards.category_axis("lang"), hilbert_shards.category_axis("source"), hilbert_shards.magnitude_axis("n_chars")]
     return hilbert_shards.shard_by_curve(table(spark, sf_dir, "documents"), axes)
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each order, per source."""
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op13_filter_audit"] = filter_audit.AUDIT_SQL
