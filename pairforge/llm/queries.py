@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.shipping import ship_package
-from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, warc
+from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, sentence_pieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -105,6 +105,22 @@ def op10_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert_shards.shard_by_curve(table(spark, sf_dir, "documents"), axes)
 
 
+@query
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    import public_tokenizers
+
+    model = sentence_pieces.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    encoded = sentence_pieces.encode_documents(table(spark, sf_dir, "documents"), model)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        "agrees",
+    )
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each order, per source."""
