@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.shipping import ship_package
-from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lm_scoring, poisson_mixing, quality_rules, sentence_pieces, warc
+from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lexical_search, lm_scoring, poisson_mixing, quality_rules, sentence_pieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -121,6 +121,15 @@ def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_ranked_search"] = lexical_search.SEARCH_SQL
+
+
 @query
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each order, per source."""
