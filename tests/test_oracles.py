@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.check_oracles import compare, connect, plan
 
-SF = "/root/testdata/sf0.001"
+SF, MORE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 UNWANTED = ["CartesianProduct", "BroadcastNestedLoopJoin", "ArrowEvalPython", "BatchEvalPython", "PythonRDD", "InPandas"]
 
 
@@ -23,5 +23,11 @@ def test_query(spark, con, name):
     assert compare(df, con, name) == ""
 
 
+@pytest.mark.parametrize("name", sorted(entry.QUERIES))
+def test_query_on_more_rows(spark, name):
+    """Cases that the smallest data lack."""
+    assert compare(entry.queries()[name](spark, MORE), connect(MORE), name) == ""
+
+
 def test_entry(spark):
     assert entry.entry(spark).count() == 2

@@ -12,7 +12,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) == set(entry.ORACLES)
 
 
 @pytest.mark.parametrize("name", ["failure_sample", "invalid_sample", "result_preview", "attempt_state"])

@@ -218,9 +218,9 @@ def promote_candidate(spark, sf):
     return V.promote_candidate(alias_log(spark, sf))
 
 
-ALIASES = """SELECT model, cast(CASE WHEN max_by(action, seq) = 'register' THEN max_by(version, seq) END AS BIGINT) AS candidate,
+ALIASES = """SELECT model, cast(CASE WHEN max_by(action, seq) FILTER (WHERE action <> 'rejected') = 'register' THEN max_by(version, seq) FILTER (WHERE action <> 'rejected') END AS BIGINT) AS candidate,
  (SELECT max_by(champion, d.seq) FROM done d WHERE d.model = m.model) AS champion,
- (SELECT max_by(coalesce(prev_champion, -1), d.seq) FROM done d WHERE d.model = m.model) AS prev_or_none FROM moves m GROUP BY model"""
+ (SELECT max_by(coalesce(prev_champion, -1), d.seq) FROM done d WHERE d.model = m.model) AS prev_or_none FROM alias_log m GROUP BY model"""
 
 
 @query(
