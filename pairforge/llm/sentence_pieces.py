@@ -9,8 +9,9 @@ over. What is left and is no piece becomes the pieces of its bytes.
 A space is written as ``▁``. If no piece has ``▁`` after another character, as is checked
 when a vocabulary is read, no merge crosses the border before a ``▁``: the agenda of a text
 is then the agendas of its stretches, runs of ``▁`` with what follows. Each stretch is merged
-by itself and frequent ones are remembered, which changes no result. With another
-vocabulary the whole text is one stretch.
+by itself and frequent ones are remembered, which changes no result. Short stretches of a
+chunk of text are merged together, one merge of each at a time. With another vocabulary the
+whole text is one stretch.
 
 Decoding joins the bytes of the pieces, reads them as UTF-8 and takes off the space that
 encoding put in front.
@@ -36,8 +37,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-#: Stretches that a Python worker remembers; longer ones than REMEMBERED_LENGTH are merged anew each time.
-REMEMBERED, REMEMBERED_LENGTH = 1 << 18, 48
+#: Stretches that a Python worker remembers, unless one chunk of text has more. Stretches of more
+#: code points than SHORT have a heap each and are not remembered.
+REMEMBERED, SHORT = 1 << 18, 48
 #: Bytes of text that are encoded and compared at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
 ENCODED = "doc_id bigint, ids array<int>, decoded string, agrees boolean"
@@ -47,6 +49,9 @@ PIECES, TRAINER, NORMALIZER = 1, 2, 3
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 MERGE_MODEL = 2
 
+#: No score; symbols that occur in no piece, and places without a symbol.
+NONE, UNHEARD, ABSENT = np.float32(-np.inf), -1, -2
+
 
 def read_model(path: str) -> bytes:
     """The bytes of a model file on the driver; tasks get them from there."""
@@ -79,7 +84,11 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class MergeVocabulary:
-    """Pieces, scores and rules of a model file."""
+    """Pieces, scores and rules of a model file.
+
+    A *symbol* is a piece, or a code point that occurs in pieces but is none; its number is
+    the piece's id or one above all ids.
+    """
 
     def __init__(self, model: bytes) -> None:
         parts: dict[int, list] = {PIECES: [], TRAINER: [b""], NORMALIZER: [b""]}
@@ -93,7 +102,6 @@ class MergeVocabulary:
         self.scores: dict[str, float] = {}
         self.bytes_of: list[bytes] = []
         self.byte_ids: dict[int, int] = {}
-        self.unknown = 0
         for i, piece in enumerate(parts[PIECES]):
             field = dict(_fields(piece))
             text, kind = field[1].decode(), field.get(3, NORMAL)
@@ -105,7 +113,6 @@ class MergeVocabulary:
                 self.byte_ids[int(text[3:5], 16)] = i
                 self.bytes_of.append(bytes([int(text[3:5], 16)]))
             elif kind in (UNKNOWN, CONTROL):
-                self.unknown = i if kind == UNKNOWN else self.unknown
                 self.bytes_of.append(" ⁇ ".encode() if kind == UNKNOWN else b"")
             else:
                 raise ValueError(f"piece {text!r} is of a kind that is not supported")
@@ -113,10 +120,40 @@ class MergeVocabulary:
             raise ValueError("the vocabulary has no piece for every byte")
         crossing = any(SPACE in text.lstrip(SPACE) for text in self.ids)
         self.stretch = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.remembered = lru_cache(REMEMBERED)(self.merge)
+        self.known: dict[str, tuple[int, ...]] = {}
+        self._number_symbols()
+
+    def _number_symbols(self) -> None:
+        """Tables by symbol number: of code points, and of pairs that make a piece."""
+        size = len(self.bytes_of)
+        number = dict(self.ids)
+        for c in sorted(set("".join(self.ids)) - set(self.ids)):
+            number[c] = size + len(number) - len(self.ids)
+        self.base = size + len(number) - len(self.ids)
+        self.symbol_of = np.full(0x110000, UNHEARD, np.int64)
+        for text, i in number.items():
+            if len(text) == 1:
+                self.symbol_of[ord(text)] = i
+        pairs = [
+            (number[text[:k]] * self.base + number[text[k:]], i, self.scores[text])
+            for text, i in self.ids.items()
+            for k in range(1, len(text))
+            if text[:k] in number and text[k:] in number
+        ]
+        pairs.sort()
+        self.pair_keys = np.array([key for key, _, _ in pairs], np.int64)
+        self.pair_pieces = np.array([i for _, i, _ in pairs], np.int64)
+        self.pair_scores = np.array([score for _, _, score in pairs], np.float32)
+
+    def _bytes_where_unknown(self, symbols: list[str]) -> tuple[int, ...]:
+        out: list[int] = []
+        for symbol in symbols:
+            i = self.ids.get(symbol)
+            out += [i] if i is not None else [self.byte_ids[b] for b in symbol.encode()]
+        return tuple(out)
 
     def merge(self, stretch: str) -> tuple[int, ...]:
-        """Ids of a stretch, by the agenda of its symbol pairs."""
+        """Ids of one stretch, by a heap of its symbol pairs."""
         symbols, scores = list(stretch), self.scores
         n = len(symbols)
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
@@ -141,22 +178,89 @@ class MergeVocabulary:
                     score = scores.get(piece)
                     if score is not None:
                         heappush(agenda, (-score, i, j, len(piece)))
-        out: list[int] = []
-        for symbol in filter(None, symbols):
-            known = self.ids.get(symbol)
-            out += [known] if known is not None else [self.byte_ids[b] for b in symbol.encode()]
-        return tuple(out)
+        return self._bytes_where_unknown([s for s in symbols if s])
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and piece of each pair of symbols; minus infinity where they make none."""
+        key = left * self.base + right
+        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
+        fits = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
+        return np.where(fits, self.pair_scores[at], NONE), self.pair_pieces[at]
+
+    def merge_all(self, stretches: list[str]) -> list[tuple[int, ...]]:
+        """Ids of many short stretches: those of like length are merged together."""
+        sizes = np.array([len(s) for s in stretches], np.int64)
+        order = np.argsort(sizes, kind="stable")
+        out: list[tuple[int, ...]] = [()] * len(stretches)
+        cuts = np.searchsorted(sizes[order], [0, 6, 9, 13, 20, 32, 1 << 62])
+        for a, b in zip(cuts, cuts[1:]):
+            some = order[a:b].tolist()
+            for i, ids in zip(some, self._merge_rows([stretches[i] for i in some], sizes[some]) if some else []):
+                out[i] = ids
+        return out
+
+    def _merge_rows(self, stretches: list[str], sizes: np.ndarray) -> list[tuple[int, ...]]:
+        """One stretch a row; in each round every row merges the head of its agenda.
+
+        ``score`` has the agenda of a row: at a symbol's column, the score of it and its right
+        neighbour. The first of the largest is the head. The last column stands for the place
+        before the first symbol and after the last one.
+        """
+        n, width = len(stretches), int(sizes.max())
+        used = np.arange(width + 1) < sizes[:, None]
+        points = np.zeros((n, width + 1), np.int64)
+        points[used] = np.frombuffer("".join(stretches).encode("utf-32-le"), np.uint32)
+        symbol = np.where(used, self.symbol_of[points], ABSENT)
+        after = np.where(np.arange(1, width + 2) < sizes[:, None], np.arange(1, width + 2), width)
+        before = np.tile(np.append(width, np.arange(width)), (n, 1))
+        score, piece = np.full((n, width + 1), NONE), np.zeros((n, width + 1), np.int64)
+        score[:, :-1], piece[:, :-1] = self._pairs(symbol[:, :-1], symbol[:, 1:])
+        rows = np.arange(n)
+        while True:
+            head = score[rows].argmax(1)
+            going = score[rows, head] > NONE
+            rows, head = rows[going], head[going]
+            if not len(rows):
+                break
+            gone = after[rows, head]
+            symbol[rows, head] = piece[rows, head]
+            symbol[rows, gone], score[rows, gone] = ABSENT, NONE
+            right = after[rows, gone]
+            after[rows, head], before[rows, right] = right, head
+            left = before[rows, head]
+            score[rows, head], piece[rows, head] = self._pairs(symbol[rows, head], symbol[rows, right])
+            score[rows, left], piece[rows, left] = self._pairs(symbol[rows, left], symbol[rows, head])
+            score[rows, width] = NONE
+        present = symbol > ABSENT
+        cut = np.cumsum(np.append(0, present.sum(1))).tolist()
+        flat = symbol[present].tolist()
+        out = [tuple(flat[a:b]) for a, b in zip(cut, cut[1:])]
+        for i in np.flatnonzero((present & ((symbol < 0) | (symbol >= len(self.bytes_of)))).any(1)).tolist():
+            ids: list[int] = []
+            for s, point in zip(symbol[i][present[i]].tolist(), points[i][present[i]].tolist()):
+                ids += [s] if 0 <= s < len(self.bytes_of) else [self.byte_ids[b] for b in chr(point).encode()]
+            out[i] = tuple(ids)
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """Ids of each text, without begin and end."""
+        front = SPACE if self.prefix else ""
+        parts = [self.stretch.findall(front + text.replace(" ", SPACE)) if text else [] for text in texts]
+        asked = set(chain.from_iterable(parts))
+        if len(self.known) + len(asked) > REMEMBERED:
+            self.known.clear()
+        new = asked.difference(self.known)
+        short = [s for s in new if len(s) <= SHORT]
+        self.known.update(zip(short, self.merge_all(short)))
+        self.known.update((s, self.merge(s)) for s in new if len(s) > SHORT)
+        out = [list(chain.from_iterable(map(self.known.__getitem__, part))) for part in parts]
+        for s in new:
+            if len(s) > SHORT:
+                del self.known[s]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        """Ids of a text, without begin and end."""
-        if not text:
-            return []
-        marked = (SPACE if self.prefix else "") + text.replace(" ", SPACE)
-        return list(
-            chain.from_iterable(
-                self.remembered(s) if len(s) <= REMEMBERED_LENGTH else self.merge(s) for s in self.stretch.findall(marked)
-            )
-        )
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids; bytes that are no UTF-8 become U+FFFD."""
@@ -192,7 +296,7 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             for rows in row_chunks(batch, 1):
                 texts = rows.column(1).fill_null("").to_pylist()
-                ids = [vocabulary.encode(text) for text in texts]
+                ids = vocabulary.encode_all(texts)
                 decoded = [vocabulary.decode(own) for own in ids]
                 same_ids = [a == b for a, b in zip(ids, library.encode(texts, num_threads=1))]
                 same_text = [a == b for a, b in zip(decoded, library.decode(ids, num_threads=1))]
