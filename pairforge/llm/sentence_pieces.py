@@ -28,7 +28,7 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import chain, repeat
 from pathlib import Path
 
 import numpy as np
@@ -37,8 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 SPACE = "▁"
-#: Stretches that a Python worker remembers, unless one chunk of text has more. Stretches of more
-#: code points than SHORT have a heap each and are not remembered.
+#: Stretches that a Python worker remembers before it forgets all. Stretches of more code points than
+#: SHORT have a heap each.
 REMEMBERED, SHORT = 1 << 18, 48
 #: Bytes of text that are encoded and compared at once; a longer text is handled alone.
 CHUNK_BYTES = 1 << 20
@@ -60,6 +60,12 @@ def read_model(path: str) -> bytes:
     return Path(path).read_bytes()
 
 
+def gathered(flat: np.ndarray, begin: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Stretches of an array, one after the other."""
+    ends = np.cumsum(sizes)
+    return flat[np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin - (ends - sizes), sizes)]
+
+
 def _varint(data: bytes, at: int) -> tuple[int, int]:
     value = shift = 0
     while True:
@@ -120,7 +126,10 @@ class MergeVocabulary:
             raise ValueError("the vocabulary has no piece for every byte")
         crossing = any(SPACE in text.lstrip(SPACE) for text in self.ids)
         self.stretch = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.byte_sizes = np.array([len(b) for b in self.bytes_of], np.int64)
+        self.byte_begin = np.cumsum(self.byte_sizes) - self.byte_sizes
+        self.piece_bytes = np.frombuffer(b"".join(self.bytes_of), np.uint8)
+        self._forget()
         self._number_symbols()
 
     def _number_symbols(self) -> None:
@@ -140,10 +149,35 @@ class MergeVocabulary:
             for k in range(1, len(text))
             if text[:k] in number and text[k:] in number
         ]
-        pairs.sort()
-        self.pair_keys = np.array([key for key, _, _ in pairs], np.int64)
-        self.pair_pieces = np.array([i for _, i, _ in pairs], np.int64)
-        self.pair_scores = np.array([score for _, _, score in pairs], np.float32)
+        # An open-addressed table: a pair lies in its slot or in the next free one after it.
+        bits = max(4, (4 * len(pairs)).bit_length())
+        self.shift, self.slots = np.uint64(64 - bits), 1 << bits
+        self.pair_keys = np.full(self.slots, -1, np.int64)
+        self.pair_pieces = np.zeros(self.slots, np.int64)
+        self.pair_scores = np.full(self.slots, NONE)
+        slots = self._slot(np.array([key for key, _, _ in pairs], np.int64)).tolist()
+        for at, (key, piece, score) in zip(slots, pairs):
+            while self.pair_keys[at] >= 0:
+                at = (at + 1) % self.slots
+            self.pair_keys[at], self.pair_pieces[at], self.pair_scores[at] = key, piece, score
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return ((key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Score and piece of each pair of symbols; minus infinity where they make none."""
+        key = left * self.base + right
+        key[(left < 0) | (right < 0)] = -2
+        at = self._slot(key)
+        found = self.pair_keys[at]
+        other = np.flatnonzero((found != key) & (found >= 0))
+        while len(other):
+            at.flat[other] = (at.flat[other] + 1) % self.slots
+            there = self.pair_keys[at.flat[other]]
+            other = other[(there != key.flat[other]) & (there >= 0)]
+        fits = self.pair_keys[at] == key
+        return np.where(fits, self.pair_scores[at], NONE), self.pair_pieces[at]
 
     def _bytes_where_unknown(self, symbols: list[str]) -> tuple[int, ...]:
         out: list[int] = []
@@ -180,26 +214,22 @@ class MergeVocabulary:
                         heappush(agenda, (-score, i, j, len(piece)))
         return self._bytes_where_unknown([s for s in symbols if s])
 
-    def _pairs(self, left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Score and piece of each pair of symbols; minus infinity where they make none."""
-        key = left * self.base + right
-        at = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-        fits = (self.pair_keys[at] == key) & (left >= 0) & (right >= 0)
-        return np.where(fits, self.pair_scores[at], NONE), self.pair_pieces[at]
-
-    def merge_all(self, stretches: list[str]) -> list[tuple[int, ...]]:
-        """Ids of many short stretches: those of like length are merged together."""
-        sizes = np.array([len(s) for s in stretches], np.int64)
-        order = np.argsort(sizes, kind="stable")
-        out: list[tuple[int, ...]] = [()] * len(stretches)
-        cuts = np.searchsorted(sizes[order], [0, 6, 9, 13, 20, 32, 1 << 62])
+    def merge_all(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of many short stretches in a row, and how many each has; those of like length are merged together."""
+        lengths = np.array([len(s) for s in stretches], np.int64)
+        order = np.argsort(lengths, kind="stable")
+        sizes, ids = np.zeros(len(stretches), np.int64), [np.zeros(0, np.int64)]
+        cuts = np.searchsorted(lengths[order], [0, 6, 9, 13, 20, 32, 1 << 62])
         for a, b in zip(cuts, cuts[1:]):
-            some = order[a:b].tolist()
-            for i, ids in zip(some, self._merge_rows([stretches[i] for i in some], sizes[some]) if some else []):
-                out[i] = ids
-        return out
-
-    def _merge_rows(self, stretches: list[str], sizes: np.ndarray) -> list[tuple[int, ...]]:
+            if a < b:
+                own, sizes[order[a:b]] = self._merge_rows([stretches[i] for i in order[a:b].tolist()], lengths[order[a:b]])
+                ids.append(own)
+        sorted_sizes = sizes[order]
+        begin = np.empty(len(stretches), np.int64)
+        begin[order] = np.cumsum(sorted_sizes) - sorted_sizes
+        return gathered(np.concatenate(ids), begin, sizes), sizes
+
+    def _merge_rows(self, stretches: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """One stretch a row; in each round every row merges the head of its agenda.
 
         ``score`` has the agenda of a row: at a symbol's column, the score of it and its right
@@ -232,40 +262,66 @@ class MergeVocabulary:
             score[rows, left], piece[rows, left] = self._pairs(symbol[rows, left], symbol[rows, head])
             score[rows, width] = NONE
         present = symbol > ABSENT
-        cut = np.cumsum(np.append(0, present.sum(1))).tolist()
-        flat = symbol[present].tolist()
-        out = [tuple(flat[a:b]) for a, b in zip(cut, cut[1:])]
-        for i in np.flatnonzero((present & ((symbol < 0) | (symbol >= len(self.bytes_of)))).any(1)).tolist():
-            ids: list[int] = []
-            for s, point in zip(symbol[i][present[i]].tolist(), points[i][present[i]].tolist()):
-                ids += [s] if 0 <= s < len(self.bytes_of) else [self.byte_ids[b] for b in chr(point).encode()]
-            out[i] = tuple(ids)
-        return out
-
-    def encode_all(self, texts: list[str]) -> list[list[int]]:
-        """Ids of each text, without begin and end."""
+        ids, counts, spelt = symbol[present], present.sum(1), points[present]
+        odd = np.flatnonzero((ids < 0) | (ids >= len(self.bytes_of)))
+        if len(odd):
+            each = {i: [self.byte_ids[b] for b in chr(spelt[i]).encode()] for i in odd.tolist()}
+            times = np.ones(len(ids), np.int64)
+            times[odd] = [len(x) for x in each.values()]
+            row = np.repeat(np.arange(n), counts)
+            counts = np.bincount(row, times, n).astype(np.int64)
+            put = np.repeat(times > 1, times)
+            put[(np.cumsum(times) - times)[odd]] = True
+            ids = np.repeat(ids, times)
+            ids[put] = list(chain.from_iterable(each.values()))
+        return ids, counts
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, without begin and end, and how many each text has."""
         front = SPACE if self.prefix else ""
         parts = [self.stretch.findall(front + text.replace(" ", SPACE)) if text else [] for text in texts]
-        asked = set(chain.from_iterable(parts))
-        if len(self.known) + len(asked) > REMEMBERED:
-            self.known.clear()
-        new = asked.difference(self.known)
-        short = [s for s in new if len(s) <= SHORT]
-        self.known.update(zip(short, self.merge_all(short)))
-        self.known.update((s, self.merge(s)) for s in new if len(s) > SHORT)
-        out = [list(chain.from_iterable(map(self.known.__getitem__, part))) for part in parts]
-        for s in new:
-            if len(s) > SHORT:
-                del self.known[s]
-        return out
+        words = list(chain.from_iterable(parts))
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        missing = np.flatnonzero(number < 0).tolist()
+        if missing:
+            self._remember(list(dict.fromkeys(map(words.__getitem__, missing))))
+            number[missing] = list(map(self.known.__getitem__, map(words.__getitem__, missing)))
+        sizes = self.sizes[number]
+        ends = np.append(0, np.cumsum(sizes))
+        ids = gathered(self.flat, self.begin[number], sizes)
+        return ids, np.diff(ends[np.cumsum([0, *map(len, parts)])])
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.flat, self.begin, self.sizes = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _remember(self, stretches: list[str]) -> None:
+        """Merge stretches and keep their ids by number."""
+        short = [s for s in stretches if len(s) <= SHORT]
+        long = [s for s in stretches if len(s) > SHORT]
+        ids, sizes = self.merge_all(short)
+        merged = [self.merge(s) for s in long]
+        sizes = np.append(sizes, [len(m) for m in merged]).astype(np.int64)
+        self.known.update(zip(short + long, range(len(self.sizes), len(self.sizes) + len(sizes))))
+        self.begin = np.append(self.begin, len(self.flat) + np.cumsum(sizes) - sizes)
+        self.flat = np.concatenate([self.flat, ids, *map(np.array, merged)]).astype(np.int64)
+        self.sizes = np.append(self.sizes, sizes)
 
     def encode(self, text: str) -> list[int]:
-        return self.encode_all([text])[0]
+        return self.encode_all([text])[0].tolist()
+
+    def decode_all(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The texts of ids in a row; bytes that are no UTF-8 become U+FFFD."""
+        sizes = self.byte_sizes[ids]
+        data = gathered(self.piece_bytes, self.byte_begin[ids], sizes).tobytes()
+        cut = np.append(0, np.cumsum(sizes))[np.cumsum(np.append(0, counts))].tolist()
+        skip = 1 if self.prefix else 0
+        return [data[a + (skip and data[a : min(b, a + 1)] == b" ") : b].decode("utf-8", "replace") for a, b in zip(cut, cut[1:])]
 
     def decode(self, ids: list[int]) -> str:
-        """The text of ids; bytes that are no UTF-8 become U+FFFD."""
-        data = b"".join(map(self.bytes_of.__getitem__, ids))
-        return (data[1:] if self.prefix and data[:1] == b" " else data).decode("utf-8", "replace")
+        return self.decode_all(np.array(ids, np.int64), np.array([len(ids)]))[0]
 
 
 @lru_cache(maxsize=2)
@@ -296,16 +352,17 @@ def encode_documents(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             for rows in row_chunks(batch, 1):
                 texts = rows.column(1).fill_null("").to_pylist()
-                ids = vocabulary.encode_all(texts)
-                decoded = [vocabulary.decode(own) for own in ids]
+                flat, counts = vocabulary.encode_all(texts)
+                decoded = vocabulary.decode_all(flat, counts)
+                ends = np.cumsum(np.append(0, counts))
+                numbers, cut = flat.tolist(), ends.tolist()
+                ids = [numbers[a:b] for a, b in zip(cut, cut[1:])]
                 same_ids = [a == b for a, b in zip(ids, library.encode(texts, num_threads=1))]
                 same_text = [a == b for a, b in zip(decoded, library.decode(ids, num_threads=1))]
-                ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
                 yield pa.record_batch(
                     [
                         rows.column(0),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
+                        pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(flat.astype(np.int32))),
                         pa.array(decoded, pa.string()),
                         pa.array([a and b for a, b in zip(same_ids, same_text)], pa.bool_()),
                     ],
