@@ -21,3 +21,16 @@ def first_by_hash(df: DataFrame, n: int, seed: int, columns: list[str]) -> DataF
 def keep_threshold(good: np.ndarray, keep: float, most: float = 0.5) -> float:
     """A threshold at or below ``most`` which keeps at least the share ``keep`` of good scores."""
     return float(min(most, np.quantile(good, 1 - keep, method="lower"))) if len(good) else 0.0
+
+
+def cost_threshold(good: np.ndarray, bad: np.ndarray, good_cost: float, most: float = 0.5) -> float:
+    """The threshold, at most ``most``, of least cost: the share of bad scores kept and ``good_cost`` times that of good ones rejected.
+
+    One mislabelled row moves it little, as both kinds count.
+    """
+    if not len(good) or not len(bad):
+        return 0.0
+    tried = np.append(np.unique(np.concatenate([good, bad])), most)
+    tried = tried[tried <= most]
+    cost = [(bad >= t).mean() + good_cost * (good < t).mean() for t in tried]
+    return float(tried[int(np.argmin(cost))])

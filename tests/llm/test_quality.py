@@ -48,10 +48,11 @@ def test_rules_on_odd_rows(spark, documents):
 def test_empty_tables(spark, documents):
     labels = spark.createDataFrame([], LABELS)
     docs = cases(documents).where("false")
-    for keep in (quality_rules.keep_by_rules, co_training.keep_by_quality):
-        assert keep(docs, labels).collect() == []
+    assert quality_rules.keep_by_rules(docs, labels).collect() == []
     assert quality_rules.quality_rules(docs, labels).collect() == []
-    assert co_training.quality_scores(docs, labels).collect() == []
+    with pytest.warns(UserWarning, match="every document is kept"):
+        assert co_training.keep_by_quality(docs, labels).collect() == []
+        assert co_training.quality_scores(docs, labels).collect() == []
 
 
 def test_classifier_is_right_on_held_out_labels(spark, tables):
@@ -67,7 +68,8 @@ def test_classifier_is_right_on_held_out_labels(spark, tables):
 
 def test_classifier_on_odd_rows(spark, documents):
     docs = cases(documents)
-    none = co_training.quality_scores(docs, spark.createDataFrame([], LABELS)).collect()
+    with pytest.warns(UserWarning, match="every document is kept"):
+        none = co_training.quality_scores(docs, spark.createDataFrame([], LABELS)).collect()
     assert len(none) == 7 and all(r.kept and r.score == 1 for r in none)
     labels = spark.createDataFrame([(i, int(i % 2), 0) for i in range(60)], LABELS)
     more = docs.union(documents(*[(i, ("good clean text here. " if i % 2 else "### $$$ ") * (3 + i % 5)) for i in range(10, 60)], clash=True))
@@ -87,7 +89,8 @@ def test_views_exchange_labels():
     weak = np.stack([truth + rng.normal(0, 1, n), rng.normal(size=n)], axis=1)
     few = 60
     alone = co_training.Logistic.fit(weak[:few], truth[:few])
-    pair = co_training.co_train((strong[:few], weak[:few]), truth[:few], (strong[few:], weak[few:]))
+    pool = strong[few:], weak[few:]
+    pair = co_training.co_train((strong[:few], weak[:few]), truth[:few], lambda views: co_training.pool_sums(views, pool))
     accuracy = lambda m, x: ((m.margin(x) > 0) == truth).mean()
     assert accuracy(pair.views[1], weak) >= accuracy(alone, weak)
     assert ((pair.scores((strong, weak))[:, 2] > 0.5) == truth).mean() > 0.95
@@ -95,3 +98,27 @@ def test_views_exchange_labels():
 
 def test_counts_are_registered_in_order():
     assert COUNTS[:5] == ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def test_sums_over_parts_equal_sums_over_the_whole(spark, tables, monkeypatch):
+    """Rounds in Spark against the same rounds over one matrix on the driver, and every score by hand."""
+    docs, labels = tables
+    table = co_training.features(docs).toPandas()
+    pool = co_training._matrices(table["text_view"].tolist(), table["page_view"].tolist())
+    known = {r.doc_id: r.quality for r in labels.collect()}
+    at = [i for i in np.argsort(table["doc_id"], kind="stable") if table["doc_id"][i] in known]
+    y = np.array([known[table["doc_id"][i]] for i in at], float)
+    pair = co_training.co_train(tuple(x[at] for x in pool), y, lambda views: co_training.pool_sums(views, pool))
+    expected = dict(zip(table["doc_id"].tolist(), pair.scores(pool).tolist()))
+    rows = co_training.quality_scores(docs, labels).collect()
+    assert len(rows) == len(table)
+    for r in rows:
+        assert np.allclose((r.text_score, r.page_score, r.score), expected[r.doc_id], atol=2e-3)
+        assert r.kept == (r.score >= pair.threshold) or abs(r.score - pair.threshold) < 2e-3
+
+
+def test_threshold_counts_both_kinds():
+    good, bad = np.append(np.full(999, 0.9), 0.01), np.linspace(0.0, 0.4, 100)
+    assert 0.4 < co_training.cost_threshold(good, bad, 20.0) <= 0.5
+    assert co_training.cost_threshold(good, bad[:0], 20.0) == 0.0
+    assert co_training.cost_threshold(np.array([0.1, 0.9]), np.array([0.2]), 20.0) <= 0.1
