@@ -21,9 +21,13 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the co-trained classifier keeps."""
+    """Documents that the co-trained classifier keeps.
+
+    It is fitted on the raw documents, as the rules leave few of the labelled bad ones.
+    """
     ship_package(spark)
-    return co_training.keep_by_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    raw, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    return co_training.keep_by_quality(docs, labels, fit_on=raw)
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
