@@ -24,8 +24,8 @@ def part_of(n: int, total: np.ndarray) -> pa.RecordBatch:
 def summed(stages: Stages, parts: DataFrame, fan_in: int = FAN_IN) -> tuple[int, np.ndarray | None]:
     """Sums of ``n`` and of ``total`` over rows numbered by ``part``.
 
-    Rows are added up ``fan_in`` at a time, level after level, so that the driver receives as
-    many at most, however many tasks there were.
+    Rows are added up ``fan_in`` at a time, level after level, so that the driver receives one,
+    however many tasks there were.
     """
 
     def add(group: pa.Table) -> pa.Table:
@@ -37,8 +37,8 @@ def summed(stages: Stages, parts: DataFrame, fan_in: int = FAN_IN) -> tuple[int,
 
     parts = stages.write(parts, "sums")
     many = (parts.agg(F.max("part")).first()[0] or 0) + 1
-    while many > fan_in:
+    while many > 1:
         by = parts.groupBy(F.expr(f"part div {fan_in}").alias("_by"))
         parts, many = by.applyInArrow(add, PARTS), -(-many // fan_in)
-    rows = parts.collect()
-    return sum(r["n"] for r in rows), sum(np.frombuffer(r["total"], np.float64) for r in rows) if rows else None
+    row = parts.first()
+    return (row["n"], np.frombuffer(row["total"], np.float64)) if row else (0, None)
