@@ -28,6 +28,11 @@ def file_system(spark: SparkSession, path: str):
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), place
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, place = file_system(spark, path)
+    return fs.exists(place)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a stage table; nothing may read it any more."""
     fs, place = file_system(spark, path)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pairforge.fixed_values import DEFAULT_SQL_TYPE, SQL_TYPES
+from pairforge.functions.scratch import stage
 from pairforge.functions.text import bind
 
 RAW_ENTRY = """db_id STRING, table_names_original ARRAY<STRING>,
@@ -76,14 +79,34 @@ def duplicate_databases(entries: DataFrame) -> DataFrame:
 
 
 def require_unique_databases(entries: DataFrame) -> DataFrame:
-    """The entries; the job fails when a ``db_id`` comes twice."""
-    checked = entries.groupBy("db_id").agg(
-        F.count("*").alias("_n"), F.any_value(F.struct(*[c for c in entries.columns if c != "db_id"])).alias("_e")
-    )
-    error = F.raise_error(F.concat(F.lit("duplicate db_id "), F.col("db_id")))
-    return checked.where(F.when(F.col("_n") > 1, error.cast("boolean")).otherwise(F.lit(True))).select(
-        "db_id", "_e.*"
-    ).select(*entries.columns)
+    """The entries; the job fails when a ``db_id`` comes twice. Only ids are counted."""
+    twice = duplicate_databases(entries).first()
+    if twice is not None:
+        raise ValueError(f"duplicate db_id {twice['db_id']}")
+    return entries
+
+
+def lower_tables(tables: Column) -> Column:
+    """Catalog tables in the lower-case form names are compared in."""
+    return F.transform(
+        tables,
+        lambda t: F.struct(
+            F.lower(t["name"]).alias("name"),
+            F.transform(t["columns"], lambda c: F.lower(c["name"])).alias("columns"),
+        ),
+    )
+
+
+def staged_catalogs(catalogs: DataFrame, write: Callable[[DataFrame, str], DataFrame] = stage) -> DataFrame:
+    """Catalogs with their lower-case ``names``, written once for all steps of a job and checked to be unique.
+
+    A staged table is returned as it is, so a job may hand one table to each of its steps.
+    """
+    if getattr(catalogs, "catalogs_staged", False):
+        return catalogs
+    table = require_unique_databases(write(catalogs.withColumn("names", lower_tables(F.col("tables"))), "catalogs"))
+    table.catalogs_staged = True
+    return table
 
 
 def sql_type(column_type: Column) -> Column:

@@ -13,10 +13,9 @@ from pairforge.fixed_values import (
     MIN_EXAMPLES_PER_SPLIT,
     MIN_TABLE_RECALL,
 )
-from pairforge.functions.joins import lookup_join
+from pairforge.functions.joins import fits_broadcast, lookup_join
 from pairforge.functions.text import bind, strip
-from pairforge.operators.catalog import require_unique_databases
-from pairforge.operators.usage import lower_tables
+from pairforge.operators.catalog import staged_catalogs
 
 
 def _label_error(names: Column) -> Column:
@@ -46,8 +45,9 @@ def _label_error(names: Column) -> Column:
 
 def validate_rows(rows: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Labelled rows with their first error (null when valid)."""
-    lookup = require_unique_databases(catalogs).select("db_id", lower_tables(F.col("tables")).alias("_names"))
-    attached = lookup_join(rows, lookup, ["db_id"], "left", salt_on=["id"])
+    table = staged_catalogs(catalogs)
+    lookup = table.select("db_id", F.col("names").alias("_names"))
+    attached = lookup_join(rows, lookup, ["db_id"], "left", salt_on=["id"], small=fits_broadcast(table))
     return attached.withColumn("error", _label_error(F.col("_names"))).drop("_names")
 
 

@@ -15,6 +15,7 @@ from pairforge.fixed_values import (
     PRUNER_USER,
 )
 from pairforge.functions.joins import lookup_join
+from pairforge.functions.scratch import stage
 from pairforge.functions.text import fill, message, short_sha256
 from pairforge.operators.catalog import CATALOG, schema_text
 
@@ -35,7 +36,8 @@ def model_ready_rows(
             F.col("tables"), F.col("foreign_keys"), style=style, include_types=include_types
         ).alias("full_schema_text"),
     )
-    attached = lookup_join(rows, lookup, ["db_id"], "left", salt_on=["id"])
+    # Written once: the size of its files decides how it is joined.
+    attached = lookup_join(rows, stage(lookup, "schema-texts"), ["db_id"], "left", salt_on=["id"])
     missing = F.raise_error(F.concat(F.lit("no catalog for "), F.col("db_id"))).cast("string")
     pruned = schema_text(
         F.col("pruned_schema.tables"), F.col("pruned_schema.foreign_keys"),

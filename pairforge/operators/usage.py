@@ -10,17 +10,6 @@ from pairforge.operators.catalog import CATALOG
 USE = "struct<table_name:string,column_name:string>"
 
 
-def lower_tables(tables: Column) -> Column:
-    """Catalog tables in the lower-case form names are compared in."""
-    return F.transform(
-        tables,
-        lambda t: F.struct(
-            F.lower(t["name"]).alias("name"),
-            F.transform(t["columns"], lambda c: F.lower(c["name"])).alias("columns"),
-        ),
-    )
-
-
 def fallback_tokens(sql: Column) -> Column:
     """Words of a statement that no resolver could read."""
     words = F.split(F.translate(sql, ".=", "  "), r"(?U)[\s\x1c-\x1f]+")

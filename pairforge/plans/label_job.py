@@ -13,12 +13,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairforge.fixed_values import FAILURE_SAMPLE_SIZE
-from pairforge.functions.joins import lookup_join, weighted_join
+from pairforge.functions.joins import fits_broadcast, lookup_join, weighted_join
 from pairforge.functions.scratch import stage
 from pairforge.functions.text import built_once
-from pairforge.operators.catalog import require_unique_databases
+from pairforge.operators.catalog import staged_catalogs
 from pairforge.operators.statements import resolve_statement, shape_text, shape_tokens
-from pairforge.operators.usage import lower_tables, prune_catalog, pruned_names, token_fallback
+from pairforge.operators.usage import prune_catalog, pruned_names, token_fallback
 
 PAIRS_PER_TASK = 500
 
@@ -47,7 +47,8 @@ def pair_schema_lookup(pairs: DataFrame, catalogs: DataFrame) -> DataFrame:
 
     A database that is described twice fails the job.
     """
-    joined = lookup_join(pairs, require_unique_databases(catalogs), ["db_id"], "left", salt_on=["id"])
+    table = staged_catalogs(catalogs)
+    joined = lookup_join(pairs, table.drop("names"), ["db_id"], "left", salt_on=["id"], small=fits_broadcast(table))
     return joined.withColumn("known", F.col("tables").isNotNull())
 
 
@@ -76,9 +77,8 @@ def distinct_shapes(keyed: DataFrame) -> DataFrame:
 
 def resolve_shapes(shapes: DataFrame, catalogs: DataFrame) -> DataFrame:
     """Attach each shape's catalog and resolve its names; ``found`` is null without one."""
-    lookup = require_unique_databases(catalogs).withColumn("names", lower_tables(F.col("tables")))
     split = shapes.withColumn("shape", shape_tokens(F.col("shape_text"))).drop("shape_text")
-    attached = lookup_join(split, lookup, ["db_id"], "left", salt_on=["shape_key"])
+    attached = lookup_join(split, staged_catalogs(catalogs), ["db_id"], "left", salt_on=["shape_key"])
     return attached.withColumn(
         "found", F.when(F.col("tables").isNotNull(), _resolved())
     )
@@ -120,6 +120,7 @@ def label_pairs(
     def label(used: str) -> Column:
         return _pruned(used, options.include_primary_keys, options.include_foreign_keys)
 
+    catalogs = staged_catalogs(catalogs, write)
     keyed = write(keyed_pairs(pairs), "pairs")
     shapes = resolve_shapes(distinct_shapes(keyed), catalogs).select(
         "shape_key", "n", "db_id", "tables", "foreign_keys", "names",

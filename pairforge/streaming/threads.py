@@ -1,21 +1,52 @@
-"""Live request state, keyed by thread and request."""
+"""Live state of requests and threads: open requests, their frames, and the history of each thread.
+
+The state is a table of open requests that each micro-batch replaces by its next version, in
+Spark's own operators: new attempts are ranked, joined to the state by request, and what has
+become certain is written as output. A busy thread is spread over its requests, and its
+positions are counted in segments, so no task holds a thread.
+
+An attempt is *certain* when no attempt before it can still arrive: all numbers from
+``first_ord`` (no request has a smaller one) up to it are there, or the request is closed. A request is closed by a timer, when
+the watermark is ``keep`` seconds past its last attempt, or at the end of the input. Outputs
+are append-only, in whatever order attempts arrive:
+
+* ``frames``: an event frame for each certain attempt up to the final one, then one end frame,
+  after the final attempt or at closing;
+* ``turns``: when a request is closed, the turn it adds to the history of its thread;
+* ``requests``: when a request is closed, its last state.
+
+Each micro-batch writes folders named by its number and reads older ones only, so a batch
+that is repeated after a failure replaces what it wrote before. The state holds open
+requests, each with the first ``max_retries`` attempts by number, as no later one can
+matter, and one row per thread, until its last turn is ``keep_threads`` seconds old.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from dataclasses import dataclass
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from pairforge.fixed_values import FAILURE_ANSWER, MAX_RETRIES
-from pairforge.operators.attempts import with_outcome
+from pairforge.fixed_values import FAILURE_ANSWER, MAX_RETRIES, STREAM_DONE
+from pairforge.functions.joins import lookup_join, with_position
+from pairforge.functions.scratch import discard, file_system
+from pairforge.functions.text import json_text
+from pairforge.operators.attempts import REQUEST, with_outcome
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-UPDATE = """thread_id bigint, request_ord bigint, seen bigint, attempts bigint, status string,
-    sql_text string, error string, error_history array<string>, answer string"""
 ATTEMPT = """thread_id bigint, request_ord bigint, attempt_ord bigint, sql_text string,
     generator_error string, http_status int, body string, ts timestamp"""
-FIELDS = ("result", "sql_text", "error")
+LOG = "array<struct<attempt_ord: bigint, result: string, sql_text: string, error: string>>"
+STATE = f"""thread_id bigint, request_ord bigint, log {LOG}, last bigint, sent int, done boolean,
+    was_sent int, was_done boolean, closing boolean, clock bigint"""
+STATE_COLUMNS = [part.split()[0] for part in STATE.replace(LOG, "log").split(",")]
+FRAME = "thread_id bigint, request_ord bigint, seq bigint, frame string"
+TURN = "thread_id bigint, request_ord bigint, position bigint, sql_text string, answer string, last bigint"
+THREAD = "thread_id bigint, turns bigint, last bigint"
+RESULT = """thread_id bigint, request_ord bigint, seen bigint, attempts bigint, status string,
+    sql_text string, error string, error_history array<string>, answer string"""
+#: The end of the input counts as a batch after all others.
+END = 1 << 40
+FINAL = ["success", "failed"]
 
 
 def _summary(log: Column, max_retries: int) -> Column:
@@ -57,105 +88,177 @@ def _summary(log: Column, max_retries: int) -> Column:
     return F.aggregate(log, start, step)
 
 
-def merged_log(kept: list[tuple], new: list[tuple], most: int) -> list[tuple]:
+def merged_log(kept: Column, new: Column, most: int) -> Column:
     """The first ``most`` attempts by number; of one that was sent twice the smaller record stays."""
-    best: dict[int, tuple] = {}
-    for row in [*kept, *new]:
-        own = best.get(row[0])
-        # A null sorts before every text.
-        if own is None or [(x is not None, x) for x in row] < [(x is not None, x) for x in own]:
-            best[row[0]] = row
-    return [best[k] for k in sorted(best)[:most]]
-
-
-def request_updates(
-    attempts: DataFrame, max_retries: int = MAX_RETRIES, *, delay: str = "1 day", keep_ms: int = 86_400_000
-) -> DataFrame:
-    """State of each request after each micro-batch, whatever order attempts arrive in.
-
-    The kept state is the first ``max_retries`` attempts of a request, as no later one can
-    matter, so it is bounded; it leaves when the watermark is ``keep_ms`` past the last
-    attempt. A busy thread is spread over its requests.
-    """
-    most = max(max_retries, 1)
-    timed = with_outcome(attempts.withWatermark("ts", delay), "generator_error")
-    rows = timed.select("thread_id", "request_ord", "attempt_ord", "result", "sql_text", "error", "ts")
+    empty = F.array().cast(LOG)
+    ordered = F.sort_array(F.concat(F.coalesce(kept, empty), F.coalesce(new, empty)))
 
-    def update(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        kept, last = ([], 0)
-        if state.exists:
-            *columns, last = state.get
-            kept = list(zip(*columns, strict=True))
-        for frame in frames:
-            plain = frame.astype(object).where(frame.notna(), None)
-            new = [(int(a), *rest) for a, *rest in plain[["attempt_ord", *FIELDS]].itertuples(index=False)]
-            kept = merged_log(kept, new, most)
-            last = max(last, int(frame["ts"].max().timestamp() * 1000))
-        columns = [list(c) for c in zip(*kept, strict=True)]
-        state.update((*columns, last))
-        state.setTimeoutTimestamp(max(last, state.getCurrentWatermarkMs()) + keep_ms)
-        yield pd.DataFrame({"thread_id": [key[0]], "request_ord": [key[1]], **{c: [v] for c, v in zip(("attempt_ord", *FIELDS), columns, strict=True)}})
-
-    arrays = "attempt_ord array<bigint>, result array<string>, sql_text array<string>, error array<string>"
-    logs = rows.groupBy("thread_id", "request_ord").applyInPandasWithState(
-        update, f"thread_id bigint, request_ord bigint, {arrays}", f"{arrays}, last bigint", "update", "EventTimeTimeout"
-    )
-    log = F.arrays_zip("attempt_ord", "result", "sql_text", "error")
-    return logs.select(
-        "thread_id", "request_ord", F.size("attempt_ord").cast("bigint").alias("seen"),
-        _summary(log, max_retries).alias("s"),
-    ).select(
-        "thread_id", "request_ord", "seen", "s.attempts", "s.status", "s.sql_text", "s.error",
-        "s.error_history", F.when(F.col("s.status") == "failed", FAILURE_ANSWER).alias("answer"),
+    def first_of_number(x: Column) -> Column:
+        return F.filter(x, lambda a, i: (i == 0) | (a["attempt_ord"] != F.get(x, i - 1)["attempt_ord"]))
+
+    # The ordered log is bound to one lambda variable, so that it is sorted once.
+    return F.slice(F.element_at(F.transform(F.array(ordered), first_of_number), 1), 1, most)
+
+
+def new_logs(attempts: DataFrame, most: int) -> DataFrame:
+    """Arrived attempts per request: ``log`` of the first ``most`` and the time of the last one (``last``)."""
+    rows = with_outcome(attempts, "generator_error").select(
+        *REQUEST, "attempt_ord", F.struct("result", "sql_text", "error").alias("_r"), F.unix_timestamp("ts").alias("ts")
     )
+    # A flood of one attempt is met before the shuffle.
+    once = rows.groupBy(*REQUEST, "attempt_ord").agg(F.min("_r").alias("_r"), F.max("ts").alias("ts"))
+    rank = F.row_number().over(Window.partitionBy(*REQUEST).orderBy("attempt_ord"))
+    first = once.withColumn("_rank", rank).where(F.col("_rank") <= most)
+    logs = first.groupBy(*REQUEST).agg(F.sort_array(F.collect_list(F.struct("attempt_ord", "_r.*"))).cast(LOG).alias("log"))
+    return logs.join(rows.groupBy(*REQUEST).agg(F.max("ts").alias("last")), REQUEST)
 
 
-def run_thread_state(
-    spark: SparkSession,
-    source: str,
-    target: str,
-    checkpoint: str,
-    *,
-    files_per_trigger: int = 1000,
-    delay: str = "1 day",
-    keep_ms: int = 86_400_000,
-) -> DataFrame:
-    """Read attempts that arrived as JSON files, keep request state, append updates.
+@dataclass
+class Live:
+    """Where the state and the outputs lie, and the rules of the state. Times are in seconds."""
 
-    Each micro-batch replaces its own folder, so a repeated batch adds nothing.
-    """
-    provider = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(provider, None)
-    spark.conf.set(provider, ROCKSDB)
-    stream = spark.readStream.schema(ATTEMPT).option("maxFilesPerTrigger", files_per_trigger).json(source)
-
-    def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
-
-    try:
-        query = (
-            request_updates(stream, delay=delay, keep_ms=keep_ms)
-            .writeStream.outputMode("update")
-            .option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True)
-            .foreachBatch(append)
-            .start()
-        )
-        query.awaitTermination()
-    finally:
-        if before is None:
-            spark.conf.unset(provider)
+    spark: SparkSession
+    target: str
+    max_retries: int = MAX_RETRIES
+    delay: int = 86_400
+    keep: int = 86_400
+    keep_threads: int = 30 * 86_400
+    first_ord: int = 1
+
+    @property
+    def most(self) -> int:
+        return max(self.max_retries, 1)
+
+    def versions(self, table: str) -> list[int]:
+        """Numbers of the finished versions of a state table."""
+        fs, folder = file_system(self.spark, f"{self.target}/{table}")
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        path = lambda n: file_system(self.spark, f"{self.target}/{table}/{n}/_SUCCESS")[1]
+        return sorted(int(n.removeprefix("batch=")) for n in names if n.startswith("batch=") and fs.exists(path(n)))
+
+    def before(self, table: str, schema: str, batch_id: int) -> DataFrame:
+        """The version of a state table that a batch starts from."""
+        older = [n for n in self.versions(table) if n < batch_id]
+        if not older:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.target}/{table}/batch={older[-1]}")
+
+    def write(self, table: str, df: DataFrame, batch_id: int) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{self.target}/{table}/batch={batch_id}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.target}/{table}/batch={batch_id}")
+
+    def forget(self, table: str, batch_id: int) -> None:
+        """Drop state versions that no repeated batch can ask for."""
+        for n in [n for n in self.versions(table) if n < batch_id][:-1]:
+            discard(self.spark, f"{self.target}/{table}/batch={n}")
+
+    def output(self, table: str, schema: str) -> DataFrame:
+        """All rows of an append-only output."""
+        fs, folder = file_system(self.spark, f"{self.target}/{table}")
+        if not fs.exists(folder):
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(f"{self.target}/{table}/batch=*")
+
+    def advance(self, attempts: DataFrame | None, batch_id: int) -> None:
+        """Take in a micro-batch of attempts; none means the end of the input."""
+        old = self.before("state", STATE, batch_id)
+        clock = old.agg(F.greatest(F.max("clock"), F.max("last"))).first()[0]
+        late = -(1 << 62) if clock is None else clock - self.delay
+        if attempts is None:
+            new = old.select(*REQUEST, F.col("log"), "last").limit(0)
         else:
-            spark.conf.set(provider, before)
-    return latest_state(spark.read.schema(f"{UPDATE}, batch int").parquet(target))
+            new = new_logs(attempts.where((F.unix_timestamp("ts") >= late) | F.col("ts").isNull()), self.most)
+        kept = old.where("not closing").select(*REQUEST, F.col("log").alias("_kept"), F.col("last").alias("_last"), "sent", "done")
+        log = merged_log(F.col("_kept"), F.col("log"), self.most)
+        met = kept.join(new, REQUEST, "full_outer").select(
+            *REQUEST, log.alias("log"), F.greatest("_last", "last").alias("last"),
+            F.coalesce("sent", F.lit(0)).alias("was_sent"), F.coalesce("done", F.lit(False)).alias("was_done"),
+        )
+        closing = F.lit(True) if attempts is None else F.coalesce(F.col("last") + self.keep < late, F.lit(False))
+        in_order = F.size(F.filter("log", lambda a, i: a["attempt_ord"] == self.first_ord + i))
+        certain = F.when(F.col("closing"), F.size("log")).otherwise(in_order).cast("int")
+        ended = _summary(F.slice("log", 1, F.col("sent")), self.max_retries)["status"].isin(*FINAL)
+        step = (
+            met.withColumn("closing", closing)
+            .withColumn("sent", F.greatest("was_sent", certain))
+            .withColumn("done", F.col("closing") | F.col("was_done") | ended)
+            .withColumn("clock", F.lit(clock).cast("bigint"))
+        )
+        state = self.write("state", step.select(*STATE_COLUMNS), batch_id)
+        self.write("frames", self.new_frames(state), batch_id)
+        closed = state.where("closing").withColumn("s", _summary(F.col("log"), self.max_retries))
+        self.write("requests", closed.select(
+            *REQUEST, F.size("log").cast("bigint").alias("seen"), "s.attempts", "s.status", "s.sql_text", "s.error", "s.error_history",
+            F.when(F.col("s.status") == "failed", FAILURE_ANSWER).alias("answer"),
+        ), batch_id)
+        self.append_turns(closed, batch_id, late)
+        self.forget("state", batch_id)
 
+    def new_frames(self, state: DataFrame) -> DataFrame:
+        """Frames of attempts that have become certain, and end frames of requests that have become done."""
+        upto = lambda n: _summary(F.slice("log", 1, n), self.max_retries)
+        news = state.where("sent > was_sent").select(*REQUEST, "log", F.explode(F.sequence(F.col("was_sent") + 1, F.col("sent"))).alias("_n"))
+        told = news.where(~upto(F.col("_n") - 1)["status"].isin(*FINAL)).select(
+            *REQUEST, F.element_at("log", F.col("_n"))["attempt_ord"].alias("seq"),
+            F.element_at("log", F.col("_n"))["result"].alias("_result"), F.inline(F.array(upto(F.col("_n")))),
+        )
+        body = F.when(F.col("_result") == "fatal", json_text(F.col("error").alias("error"))).otherwise(
+            json_text("attempts", "status", "sql_text")
+        )
+        data = told.select(*REQUEST, "seq", F.concat(F.lit("data: "), body, F.lit("\n\n")).alias("frame"))
+        # The end frame follows the last attempt that was told.
+        counted = F.filter("log", lambda a, i: (i == 0) | ~upto(i)["status"].isin(*FINAL))
+        ends = state.where("done and not was_done").select(
+            *REQUEST, (F.element_at(counted, -1)["attempt_ord"] + 1).alias("seq"), F.lit(f"data: {STREAM_DONE}\n\n").alias("frame")
+        )
+        return data.unionByName(ends)
 
-def latest_state(updates: DataFrame) -> DataFrame:
-    """Last update per request: the one that has seen most attempts."""
-    rest = [c for c in updates.columns if c not in ("thread_id", "request_ord", "batch")]
-    return updates.groupBy("thread_id", "request_ord").agg(
-        F.max_by(F.struct(*rest), F.struct("seen", "batch")).alias("_s")
-    ).select("thread_id", "request_ord", "_s.*")
+    def append_turns(self, closed: DataFrame, batch_id: int, late: int) -> None:
+        """Turns of closed requests, after those that their threads have; requests closed together in their order."""
+        threads = self.before("threads", THREAD, batch_id)
+        finished = closed.where(F.col("s.status").isin(*FINAL))
+        if finished.isEmpty():
+            return
+        placed = with_position(finished.select(*REQUEST, "s.sql_text", "s.status", "last"), ["thread_id"], "request_ord")
+        numbered = lookup_join(placed, threads.select("thread_id", "turns"), ["thread_id"], "left", salt_on=["request_ord"])
+        turns = self.write("turns", numbered.select(
+            *REQUEST, (F.col("position") + F.coalesce("turns", F.lit(0))).cast("bigint").alias("position"), "sql_text",
+            F.when(F.col("status") == "failed", FAILURE_ANSWER).alias("answer"), "last",
+        ), batch_id)
+        latest = turns.groupBy("thread_id").agg((F.max("position") + 1).alias("turns"), F.max("last").alias("last"))
+        merged = threads.unionByName(latest).groupBy("thread_id").agg(F.max("turns").alias("turns"), F.max("last").alias("last"))
+        self.write("threads", merged.where((F.col("last") + self.keep_threads >= late) | F.col("last").isNull()), batch_id)
+        self.forget("threads", batch_id)
+
+
+def run_live(
+    live: Live, source: str, checkpoint: str, *, files_per_trigger: int = 1000, end_of_input: bool = False
+) -> Live:
+    """Read attempts that arrived as JSON files and bring the state up to date.
+
+    With ``end_of_input`` no more attempts are awaited and all requests are closed.
+    """
+    stream = live.spark.readStream.schema(ATTEMPT).option("maxFilesPerTrigger", files_per_trigger).json(source)
+    query = (
+        stream.writeStream.option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .foreachBatch(live.advance)
+        .start()
+    )
+    query.awaitTermination()
+    if end_of_input:
+        live.advance(None, END)
+    return live
+
+
+def live_requests(live: Live) -> DataFrame:
+    """The last known state of every request, closed or open."""
+    versions = live.versions("state")
+    state = live.before("state", STATE, END + 1) if versions else live.spark.createDataFrame([], STATE)
+    open_ones = state.where("not closing").withColumn("s", _summary(F.col("log"), live.max_retries)).select(
+        *REQUEST, F.size("log").cast("bigint").alias("seen"), "s.attempts", "s.status", "s.sql_text", "s.error", "s.error_history",
+        F.when(F.col("s.status") == "failed", FAILURE_ANSWER).alias("answer"),
+    )
+    return live.output("requests", RESULT).unionByName(open_ones)

@@ -3,7 +3,6 @@ from __future__ import annotations
 import json
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairforge.operators import catalog as C
@@ -63,7 +62,7 @@ def test_schema_text(entries):
 def test_unique_databases(entries):
     assert C.require_unique_databases(entries).count() == 1
     assert C.duplicate_databases(entries.union(entries)).first()["entries"] == 2
-    with pytest.raises(PySparkException, match="duplicate db_id geo"):
+    with pytest.raises(ValueError, match="duplicate db_id geo"):
         C.require_unique_databases(entries.union(entries)).collect()
 
 

@@ -3,7 +3,6 @@ from __future__ import annotations
 import hashlib
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairforge.functions import joins
@@ -107,7 +106,7 @@ def test_same_result_without_broadcast(spark, unique, monkeypatch):
 def test_duplicate_database_fails(spark, unique):
     twice = label_catalogs(spark, "")
     twice = twice.union(twice.where("db_id = 'geo'"))
-    with pytest.raises(PySparkException, match="duplicate db_id geo"):
+    with pytest.raises(ValueError, match="duplicate db_id geo"):
         L.label_pairs(unique, twice).collect()
 
 

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pairforge.operators.statements import raw_tokens, resolve_statement, statement_shape
-from pairforge.operators.usage import lower_tables
+from pairforge.operators.catalog import lower_tables
 from workload.corpus import label_catalogs
 
 CUSTOMER = "c_custkey c_name c_nationkey c_mktsegment c_acctbal"

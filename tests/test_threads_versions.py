@@ -8,7 +8,7 @@ from pairforge.functions.joins import previous_value, with_position
 from pairforge.operators import attempts as A, versions as V
 from pairforge.operators.gates import model_gates
 from pairforge.sources import json_files as J
-from pairforge.streaming.threads import merged_log, run_thread_state
+from pairforge.streaming.threads import END, FRAME, STATE, TURN, Live, live_requests, merged_log, new_logs, run_live
 
 
 @pytest.mark.parametrize("status,body,outcome,error", [
@@ -72,9 +72,11 @@ def test_stream_equals_batch(spark, log, tmp_path, parts):
     for i, rows in enumerate([late[::-1][j::parts] for j in range(parts)]):
         arrived = spark.createDataFrame(rows, LOG).withColumn("ts", F.timestamp_seconds(F.lit(1_700_000_000)))
         J.jsonl_sink(arrived.coalesce(1), f"{tmp_path}/in/{i}")
-    live = run_thread_state(
-        spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/check", files_per_trigger=1
-    )
+    live = run_live(Live(spark, f"{tmp_path}/out", first_ord=0), f"{tmp_path}/in/*", f"{tmp_path}/check", files_per_trigger=1)
+    before = live_requests(live)
+    assert live.output("turns", TURN).count() == 0 and before.count() == 6
+    run_live(live, f"{tmp_path}/in/*", f"{tmp_path}/check", end_of_input=True)
+    assert live.before("state", STATE, END + 1).where("not closing").count() == 0
     log = log.union(spark.createDataFrame(LOST_FIRST, LOG))
     states = A.error_history(A.attempt_state(A.with_outcome(log)))
     last = states.groupBy("thread_id", "request_ord").agg(
@@ -83,9 +85,44 @@ def test_stream_equals_batch(spark, log, tmp_path, parts):
     expected = {(r.thread_id, r.request_ord): tuple(r.s) for r in last.collect()}
     got = {
         (r.thread_id, r.request_ord): (r.attempts, r.status, r.error_history, r.error)
-        for r in live.collect()
+        for r in live_requests(live).collect()
     }
-    assert got == expected
+    assert got == expected and live_requests(live).count() == len(expected)
+    updates = states.withColumn("failure", F.when(F.col("result") == "fatal", F.col("error")))
+    frames = A.event_frames(updates, A.REQUEST, "attempt_ord", ["attempts", "status", "sql_text"])
+    assert sorted(map(tuple, live.output("frames", FRAME).collect())) == sorted(map(tuple, frames.collect()))
+    turns = A.history_append(A.turn_record(states, F.lit(None)), ["thread_id"], "request_ord").select(*A.REQUEST, "position", "sql_text", "answer")
+    assert sorted(map(tuple, live.output("turns", TURN).drop("last").collect()), key=str) == sorted(map(tuple, turns.collect()), key=str)
+
+
+def test_frames_are_live_and_repeated_batches_add_nothing(spark, log, tmp_path):
+    """Frames come as soon as no earlier attempt is missing; one end frame per request."""
+    live = Live(spark, f"{tmp_path}/out")
+    timed = log.selectExpr("*", "cast(null as string) AS generator_error", "timestamp_seconds(1700000000) AS ts")
+    first = timed.where("thread_id = 1 and request_ord = 0")
+    live.advance(first.where("attempt_ord = 2"), 0)
+    assert live.output("frames", FRAME).count() == 0
+    for _ in range(2):
+        live.advance(first.where("attempt_ord = 1"), 1)
+        told = sorted((r.seq, r.frame[:8]) for r in live.output("frames", FRAME).collect())
+        assert told == [(1, 'data: {"'), (2, 'data: {"'), (3, "data: [D")]
+    live.advance(first, 2)
+    live.advance(None, END)
+    assert live.output("frames", FRAME).count() == 3
+    assert [r.position for r in live.output("turns", TURN).collect()] == [0]
+
+
+def test_history_goes_on_over_closings(spark, tmp_path):
+    """Requests are closed by the watermark; positions of a thread go on where they were."""
+    live = Live(spark, f"{tmp_path}/out", delay=10, keep=10)
+    for n in range(5):
+        rows = spark.createDataFrame([(1, n, 1, f"s{n}", 200, ""), (2 + n, 0, 1, "x", 200, "")], LOG)
+        live.advance(rows.selectExpr("*", "cast(null as string) AS generator_error", f"timestamp_seconds({1_700_000_000 + n * 100}) AS ts"), n)
+    assert live.before("state", STATE, END).where("not closing").count() <= 4
+    live.advance(None, END)
+    turns = live.output("turns", TURN).where("thread_id = 1").collect()
+    assert sorted((r.position, r.request_ord) for r in turns) == [(n, n) for n in range(5)]
+    assert live_requests(live).count() == 10
 
 
 def test_history_window_over_segments(spark):
@@ -122,14 +159,16 @@ def test_state_of_old_requests_leaves(spark, tmp_path):
     for i, (when, thread) in enumerate(zip(times, (1, 2, 3, 1), strict=True)):
         rows = spark.createDataFrame([(thread, 0, i + 1, "a", 422, "e")], LOG).withColumn("ts", F.timestamp_seconds(F.lit(when)))
         J.jsonl_sink(rows.coalesce(1), f"{tmp_path}/in/{i}")
-    live = run_thread_state(spark, f"{tmp_path}/in/*", f"{tmp_path}/out", f"{tmp_path}/check", files_per_trigger=1)
-    assert {r.thread_id: r.seen for r in live.collect()} == {1: 1, 2: 1, 3: 1}
+    live = run_live(Live(spark, f"{tmp_path}/out"), f"{tmp_path}/in/*", f"{tmp_path}/check", files_per_trigger=1)
+    assert sorted((r.thread_id, r.seen) for r in live_requests(live).collect()) == [(1, 1), (1, 1), (2, 1), (3, 1)]
+    assert live.before("state", STATE, END).where("not closing").count() <= 2
 
 
-def test_repeated_attempts_are_bounded():
-    sent = [(n, "retryable", None if n % 2 else f"s{i}", "e") for i in range(50) for n in (3, 1, 2, 7)]
-    assert [a for a, *_ in merged_log([], sent, 2)] == [1, 2]
-    assert merged_log(merged_log([], sent[::-1], 2), sent, 2) == merged_log([], sent, 2)
+def test_repeated_attempts_are_bounded(spark):
+    sent = [(1, 0, n, None if n % 2 else f"s{i}", 422, "e") for i in range(50) for n in (3, 1, 2, 7)]
+    rows = spark.createDataFrame(sent, LOG).selectExpr("*", "cast(null as string) AS generator_error", "timestamp_seconds(0) AS ts")
+    logs = new_logs(rows, 2).withColumn("twice", merged_log(F.col("log"), F.reverse("log"), 2)).first()
+    assert [a.attempt_ord for a in logs.log] == [1, 2] and logs.twice == logs.log and logs.log[1].sql_text == "s0"
 
 
 def test_previous_value_over_segments(spark):

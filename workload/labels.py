@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.joins import lookup_join
-from pairforge.operators import gates as G, statements as S, training as T, usage as U
+from pairforge.operators import catalog as C, gates as G, statements as S, training as T, usage as U
 from pairforge.plans import label_job as L
 from workload.corpus import clean_pairs, label_catalogs, unique_pairs
 from workload.inputs import table
@@ -14,8 +14,8 @@ from workload.registry import query
 ORDER = ["source_ord", "row_ord"]
 
 
-def labels(spark: SparkSession, sf: str) -> DataFrame:
-    return L.label_pairs(unique_pairs(spark, sf), label_catalogs(spark, sf))
+def labels(spark: SparkSession, sf: str, catalogs: DataFrame | None = None) -> DataFrame:
+    return L.label_pairs(unique_pairs(spark, sf), label_catalogs(spark, sf) if catalogs is None else catalogs)
 
 
 def details(spark: SparkSession, sf: str, *parts: str) -> DataFrame:
@@ -147,7 +147,7 @@ def token_fallback(spark, sf):
     catalogs = label_catalogs(spark, sf)
     pairs = lookup_join(clean_pairs(spark, sf), catalogs, ["db_id"], "inner", salt_on=["id"])
     matched = pairs.select(
-        "row_ord", U.token_fallback(F.col("query"), U.lower_tables(F.col("tables"))).alias("used")
+        "row_ord", U.token_fallback(F.col("query"), C.lower_tables(F.col("tables"))).alias("used")
     )
     return U.used_rows(matched, "used", ["row_ord"])
 
@@ -295,13 +295,15 @@ BROKEN = """SELECT split, 0 AS rule_ord, 'examples' AS rule, format('{}: only {}
 
 
 def rates(spark: SparkSession, sf: str) -> DataFrame:
-    return G.split_rates(G.validate_rows(spoiled_rows(labels(spark, sf)), label_catalogs(spark, sf)))
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    return G.split_rates(G.validate_rows(spoiled_rows(labels(spark, sf, catalogs)), catalogs))
 
 
 @query("validate_rows", "SELECT id, split, error FROM spoiled", spoiled=SPOILED)
 def validate_rows(spark, sf):
-    found = labels(spark, sf).where("method IS NOT NULL")
-    return G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf)).select("id", "split", "error")
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    found = labels(spark, sf, catalogs).where("method IS NOT NULL")
+    return G.validate_rows(spoiled_rows(found), catalogs).select("id", "split", "error")
 
 
 @query("split_metrics", METRICS, report=REPORT, spoiled=SPOILED, rates=RATES)
@@ -338,11 +340,12 @@ def gate_verdict(spark, sf):
 )
 def gate_verdict_passed(spark, sf):
     """The labels as they are, under limits that they keep."""
-    rows = L.label_pairs(unique_pairs(spark, sf), label_catalogs(spark, sf))
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    rows = labels(spark, sf, catalogs)
     named = rows.withColumn("_n", U.pruned_names(F.col("pruned_schema"))).withColumns(
         {"tables": F.col("_n.tables"), "columns": F.col("_n.columns")}
     ).drop("_n")
-    clean = G.split_rates(G.validate_rows(named, label_catalogs(spark, sf)))
+    clean = G.split_rates(G.validate_rows(named, catalogs))
     return shown_verdict(G.gate_verdict(clean, min_examples=1, max_failure_rate=0.2, max_fallback_rate=0.2))
 
 
@@ -354,8 +357,9 @@ def gate_verdict_passed(spark, sf):
     spoiled=SPOILED,
 )
 def invalid_sample(spark, sf):
-    found = labels(spark, sf).where("method IS NOT NULL")
-    validated = G.validate_rows(spoiled_rows(found), label_catalogs(spark, sf))
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    found = labels(spark, sf, catalogs).where("method IS NOT NULL")
+    validated = G.validate_rows(spoiled_rows(found), catalogs)
     return G.invalid_sample(validated, ORDER)
 
 
@@ -376,7 +380,8 @@ def model_gates(spark, sf):
 # ---- training rows
 
 def ready_rows(spark: SparkSession, sf: str) -> DataFrame:
-    return T.model_ready_rows(L.label_rows(labels(spark, sf)), label_catalogs(spark, sf))
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    return T.model_ready_rows(L.label_rows(labels(spark, sf, catalogs)), catalogs)
 
 
 FULL_TEXT = """SELECT db_id, string_agg(line, chr(10) ORDER BY part, ord) AS full_schema_text FROM (

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairforge.functions.scratch import scratch_path
-from pairforge.operators import attempts as A, replies as R, versions as V
+from pairforge.functions.scratch import file_system, scratch_path, stage
+from pairforge.operators import attempts as A, catalog as C, replies as R, versions as V
 from pairforge.sources import json_files as J
-from pairforge.streaming.feedback import run_feedback
-from pairforge.streaming.threads import run_thread_state
-from workload.corpus import label_catalogs
+from pairforge.plans.label_job import label_pairs, label_rows
+from pairforge.streaming.feedback import run_feedback, training_corpus
+from pairforge.streaming.threads import FRAME, TURN, Live, live_requests, run_live
+from workload.corpus import label_catalogs, unique_pairs
 from workload.inputs import table
 from workload.replies import MERGED
 from workload.registry import query
@@ -134,14 +135,13 @@ def turn_record(spark, sf):
     )
 
 
-@query(
-    "event_frames",
-    """SELECT thread_id, request_ord, attempt_ord AS seq, CASE result WHEN 'fatal' THEN concat('data: {"error":"', error, '"}', chr(10), chr(10))
+FRAMES = """SELECT thread_id, request_ord, attempt_ord AS seq, CASE result WHEN 'fatal' THEN concat('data: {"error":"', error, '"}', chr(10), chr(10))
      ELSE concat('data: {"attempts":', attempts_made, ',"status":"', status, '","sql_text":', coalesce('"' || sql_text || '"', 'null'), '}', chr(10), chr(10)) END AS frame
      FROM states
-    UNION ALL SELECT thread_id, request_ord, max(attempt_ord) + 1, concat('data: [DONE]', chr(10), chr(10)) FROM states GROUP BY thread_id, request_ord""",
-    **CHAIN,
-)
+    UNION ALL SELECT thread_id, request_ord, max(attempt_ord) + 1, concat('data: [DONE]', chr(10), chr(10)) FROM states GROUP BY thread_id, request_ord"""
+
+
+@query("event_frames", FRAMES, **CHAIN)
 def event_frames(spark, sf):
     updates = states(spark, sf).withColumn("failure", F.when(F.col("result") == "fatal", F.col("error")))
     return A.event_frames(
@@ -149,6 +149,18 @@ def event_frames(spark, sf):
     )
 
 
+def run_stream(spark: SparkSession, sf: str, *, files_per_trigger: int | None = None, batches: int = 1) -> Live:
+    """All attempts as a stream of JSON files to its end. Arrival order is not attempt order: a hash deals rows to files."""
+    base = scratch_path(spark, "threads")
+    columns = ["thread_id", "request_ord", "attempt_ord", "sql_text", "generator_error", "http_status", "body"]
+    attempts = table(spark, sf, "attempts").select(*columns, F.col("ts").cast("timestamp").alias("ts"))
+    J.jsonl_sink(attempts.repartition(F.xxhash64(*columns[:3])), f"{base}/in")
+    fs, place = file_system(spark, f"{base}/in")
+    files = sum(s.getPath().getName().endswith(".json") for s in fs.listStatus(place))
+    live = Live(spark, f"{base}/out", delay=60 * 86_400)
+    return run_live(live, f"{base}/in", f"{base}/checkpoint", files_per_trigger=files_per_trigger or max(1, -(-files // batches)), end_of_input=True)
+
+
 @query(
     "stream_thread_state",
     """SELECT thread_id, request_ord, attempts_made AS attempts, status, sql_text, error, error_history
@@ -156,22 +168,41 @@ def event_frames(spark, sf):
     **CHAIN, histories=HISTORY,
 )
 def stream_thread_state(spark, sf):
-    base = scratch_path(spark, "threads")
-    columns = ["thread_id", "request_ord", "attempt_ord", "sql_text", "generator_error", "http_status", "body"]
-    # Arrival order is not attempt order: rows are spread over files by a hash.
-    attempts = table(spark, sf, "attempts").select(*columns, F.col("ts").cast("timestamp").alias("ts"))
-    arriving = attempts.repartition(F.xxhash64(*columns[:3]))
-    J.jsonl_sink(arriving, f"{base}/in")
-    latest = run_thread_state(
-        spark, f"{base}/in", f"{base}/out", f"{base}/checkpoint", files_per_trigger=3,
-        delay="60 days",
-    )
-    return latest.select(
+    rows = live_requests(run_stream(spark, sf, files_per_trigger=1000))
+    return rows.select(
         "thread_id", "request_ord", "attempts", "status", "sql_text", "error",
         F.array_join("error_history", "\n").alias("error_history"),
     )
 
 
+@query(
+    "stream_event_frames",
+    FRAMES,
+    **CHAIN,
+)
+def stream_event_frames(spark, sf):
+    return run_stream(spark, sf, batches=3).output("frames", FRAME)
+
+
+@query(
+    "stream_thread_history",
+    """SELECT thread_id, request_ord, row_number() OVER (PARTITION BY thread_id ORDER BY request_ord) - 1 AS position, sql_text,
+     CASE status WHEN 'failed' THEN 'Sorry, I am potato.' END AS answer FROM states WHERE status <> 'retry'""",
+    **CHAIN,
+)
+def stream_thread_history(spark, sf):
+    return run_stream(spark, sf, batches=2).output("turns", TURN).drop("last")
+
+
+def arriving_pairs(spark: SparkSession, sf: str, base: str) -> None:
+    """All pairs as JSON files of a stream."""
+    arriving = table(spark, sf, "pairs").select(
+        "split", "source", "row_ord", "db_id", "question", "query",
+        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("row_ord")).alias("ts"),
+    )
+    J.jsonl_sink(arriving.repartition(F.col("row_ord")), f"{base}/in")
+
+
 @query(
     "stream_feedback_pairs",
     """SELECT p.id AS id, p.db_id AS db_id, p.question AS question, p.query AS query, t.tables AS tables, m.method AS extraction_method
@@ -180,11 +211,7 @@ def stream_thread_state(spark, sf):
 )
 def stream_feedback_pairs(spark, sf):
     base = scratch_path(spark, "feedback")
-    arriving = table(spark, sf, "pairs").select(
-        "split", "source", "row_ord", "db_id", "question", "query",
-        F.timestamp_seconds(F.lit(1_700_000_000) + F.col("row_ord")).alias("ts"),
-    )
-    J.jsonl_sink(arriving.repartition(F.col("row_ord")), f"{base}/in")
+    arriving_pairs(spark, sf, base)
     rows = run_feedback(
         spark, f"{base}/in", label_catalogs(spark, sf), f"{base}/out", f"{base}/checkpoint",
         delay="30 days",
@@ -195,6 +222,28 @@ def stream_feedback_pairs(spark, sf):
     )
 
 
+@query(
+    "feedback_training_rows",
+    """SELECT p.id AS id, p.query AS query, t.tables AS tables,
+     CASE WHEN p.id IN (SELECT id FROM clean_pairs WHERE split = 'val') THEN 'corpus' ELSE 'stream' END AS origin
+    FROM (SELECT DISTINCT id, k, query FROM clean_pairs WHERE k <> 17) p
+    JOIN targets t ON p.k = t.k JOIN (SELECT DISTINCT k FROM expected_used) m ON p.k = m.k""",
+)
+def feedback_training_rows(spark, sf):
+    """The val split is the stored corpus; all pairs, its own ones among them, arrive in three micro-batches."""
+    base = scratch_path(spark, "feedback")
+    arriving_pairs(spark, sf, base)
+    catalogs = C.staged_catalogs(label_catalogs(spark, sf))
+    stored = stage(label_rows(label_pairs(unique_pairs(spark, sf).where("split = 'val'"), catalogs)), "corpus")
+    fs, place = file_system(spark, f"{base}/in")
+    files = sum(s.getPath().getName().endswith(".json") for s in fs.listStatus(place))
+    added = run_feedback(
+        spark, f"{base}/in", catalogs, f"{base}/out", f"{base}/checkpoint", delay="30 days",
+        files_per_trigger=max(1, -(-files // 3)), corpus=stored,
+    )
+    return training_corpus(stored, added).select("id", "query", F.array_join("tables", ",").alias("tables"), "origin")
+
+
 # ---- model versions
 
 MOVES = """SELECT *, lag(action) OVER (PARTITION BY model ORDER BY seq) AS last_action, lag(version) OVER (PARTITION BY model ORDER BY seq) AS last_version
