@@ -32,21 +32,21 @@ def qualified_columns(entries: Column) -> Column:
     )
 
 
-def _prf(gold: Column, pred: Column, prefix: str) -> Column:
-    def compute(hits: Column) -> Column:
-        precision = F.when((F.size(gold) == 0) & (F.size(pred) == 0), 1.0).when(
-            F.size(pred) == 0, 0.0
-        ).otherwise(F.try_divide(hits, F.size(pred)))
-        recall = F.when(F.size(gold) == 0, 1.0).otherwise(F.try_divide(hits, F.size(gold)))
-        f1 = F.when((F.size(gold) == 0) & (F.size(pred) == 0), 1.0).otherwise(
-            F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
-        )
-        return F.struct(
-            precision.alias(f"{prefix}_precision"), recall.alias(f"{prefix}_recall"),
-            f1.alias(f"{prefix}_f1"), hits.alias("hits"),
-        )
+def _prf_of(gold: Column, pred: Column, hits: Column, prefix: str) -> Column:
+    """Precision, recall and F1 from the sizes of both sets and of what they share."""
+    precision = F.when((gold == 0) & (pred == 0), 1.0).when(pred == 0, 0.0).otherwise(F.try_divide(hits, pred))
+    recall = F.when(gold == 0, 1.0).otherwise(F.try_divide(hits, gold))
+    f1 = F.when((gold == 0) & (pred == 0), 1.0).otherwise(
+        F.coalesce(F.try_divide(2 * precision * recall, precision + recall), F.lit(0.0))
+    )
+    return F.struct(
+        precision.alias(f"{prefix}_precision"), recall.alias(f"{prefix}_recall"),
+        f1.alias(f"{prefix}_f1"), hits.alias("hits"),
+    )
+
 
-    return bind(F.size(F.array_intersect(gold, pred)), compute)
+def _prf(gold: Column, pred: Column, prefix: str) -> Column:
+    return bind(F.size(F.array_intersect(gold, pred)), lambda hits: _prf_of(F.size(gold), F.size(pred), hits, prefix))
 
 
 def set_scores(rows: DataFrame, gold: Column, pred: Column, parsed: Column) -> DataFrame:
@@ -79,6 +79,55 @@ def set_scores(rows: DataFrame, gold: Column, pred: Column, parsed: Column) -> D
     )
 
 
+def set_scores_of_tables(gold: DataFrame, replies: DataFrame, key: str = "id") -> DataFrame:
+    """Scores of replies against gold entries that come in a table of their own.
+
+    ``gold`` has the key and ``entries``; ``replies`` has the key, ``entries`` and ``parsed``.
+    Both sides meet item by item: one aggregation by (key, item) is a full outer join of the
+    two, needs one shuffle, merges duplicates before it and spreads a key with many items.
+    Every key of either side gets a row. Without gold, all that a reply names is wrong; gold
+    without a reply, or with one that was not parsed, has null scores and ``parsed_ok`` false.
+    Rows of one key on one side are one set. Null keys are one key.
+    """
+    def items(side: DataFrame, mark: str, parsed: Column) -> DataFrame:
+        of = lambda kind, names: F.transform(names, lambda n: F.struct(F.lit(kind).alias("kind"), n.alias("item")))
+        entries = F.coalesce("entries", F.array())
+        itself = F.array(F.struct(F.lit("row").alias("kind"), F.lit("").alias("item")))
+        every = F.concat(itself, of("table", table_names(entries)), of("column", qualified_columns(entries)))
+        flags = {c: F.lit(c == mark) for c in ("in_gold", "in_replies")}
+        return side.select(key, F.inline(every), *[v.alias(c) for c, v in flags.items()], parsed.alias("parsed_ok"))
+
+    both = items(gold, "in_gold", F.lit(False)).unionByName(items(replies, "in_replies", F.coalesce("parsed", F.lit(False))))
+    met = both.groupBy(key, "kind", "item").agg(*[F.bool_or(c).alias(c) for c in ("in_gold", "in_replies", "parsed_ok")])
+
+    def count(kind: str, *sides: str) -> Column:
+        there = F.col("kind") == kind
+        for side in sides:
+            there = there & F.col(side)
+        return F.count_if(there)
+
+    row = F.col("kind") == "row"
+    sizes = met.groupBy(key).agg(
+        *[F.bool_or(row & F.col(c)).alias(c) for c in ("in_gold", "in_replies", "parsed_ok")],
+        *[
+            count(kind, *sides).alias(f"{name}_{kind}")
+            for kind in ("table", "column")
+            for name, sides in {"gold": ["in_gold"], "pred": ["in_replies"], "hits": ["in_gold", "in_replies"]}.items()
+        ],
+    )
+    scored = sizes.withColumns({
+        f"_{kind[0]}": F.when(F.col("parsed_ok"), _prf_of(*[F.col(f"{name}_{kind}") for name in ("gold", "pred", "hits")], kind))
+        for kind in ("table", "column")
+    })
+    same = F.lit(True)
+    for kind in ("table", "column"):
+        same = same & (F.col(f"gold_{kind}") == F.col(f"pred_{kind}")) & (F.col(f"hits_{kind}") == F.col(f"gold_{kind}"))
+    return scored.select(
+        key, *[F.col(f"_{m[0]}.{m}") for m in METRICS],
+        F.when(F.col("parsed_ok"), same).alias("exact_match"), "parsed_ok", "in_gold", "in_replies",
+    )
+
+
 def score_summary(scores: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Means over all examples, an unparseable one counting as zero.
 

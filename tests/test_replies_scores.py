@@ -209,3 +209,25 @@ def test_last_of_repeated_keys(one):
     reply = '{"answer": "a", "chart": null, "answer": "b"}'
     assert one(R.json_object_extract(F.col("r")), r=reply).error is None
     assert one(R.parse_presentation(F.col("r"), F.array().cast("array<string>")), r=reply).answer == "b"
+
+
+def test_scores_of_two_tables(spark):
+    entry = "array<struct<table_name:string,columns:array<string>>>"
+    gold = spark.createDataFrame(
+        [(1, [("A", ["x", "Y"])]), (2, [("a", ["x"])]), (3, []), (5, None), (6, [("a", ["x"])]), (6, [("b", [])]), (None, [("a", [])])], f"id int, entries {entry}"
+    )
+    replies = spark.createDataFrame(
+        [(1, [("a", ["y", "x", "X"])], True), (3, [], True), (4, [("a", ["x"])], True), (5, None, False), (6, [("b", []), ("a", ["z"])], True), (None, [("A", [])], True)],
+        f"id int, entries {entry}, parsed boolean",
+    )
+    got = {r["id"]: r for r in S.set_scores_of_tables(gold, replies).collect()}
+    assert set(got) == {1, 2, 3, 4, 5, 6, None}
+    assert got[1].exact_match and got[1].column_f1 == 1 and got[None].exact_match
+    assert (got[2].parsed_ok, got[2].in_replies, got[2].table_f1) == (False, False, None)
+    assert got[3].exact_match and got[3].table_precision == 1
+    assert (got[4].in_gold, got[4].table_precision, got[4].table_recall, got[4].exact_match) == (False, 0, 1, False)
+    assert got[5].exact_match is None and not got[5].parsed_ok and got[5].in_replies
+    assert (got[6].table_recall, got[6].column_precision, got[6].column_recall) == (1, 0, 0)
+    paired = gold.where("id < 2").join(replies.withColumnRenamed("entries", "pred"), "id")
+    row = S.set_scores(paired, F.col("entries"), F.col("pred"), F.col("parsed")).first()
+    assert [row[m] for m in S.METRICS] == [got[1][m] for m in S.METRICS]
