@@ -1,130 +1,102 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector becomes a 64-bit code of its signs. Codes are cut into segments; each block
-of codes has one table per segment. A query probes all segment values within radius
-0, 1, 2 .. of its own. Once every segment has been probed up to radius r, every code
-within distance ``segments * (r + 1) - 1`` has been met, so the search ends as soon as
-the k-th verified distance is no larger.
-
-Queries are the rows whose id is divisible by ``every``, against all rows. Blocks of
-codes meet blocks of queries, so neither side of a task grows with the input. Ranks
-go by distance, then by id; a row is not its own neighbour. Of rows with equal codes
-only the ``k + 1`` with the smallest ids can be in an answer, and only these are
-indexed. Null vectors and rows without id have no code and are left out; missing or
-null components count as zero, and further ones than 64 are not part of the code.
-Rows that share an id are one row for the answer.
+A vector becomes a 64-bit code of its signs. Codes are cut into segments and indexed by
+(segment, value). In round r every query that is not finished probes all segment values at
+distance r of its own; what it meets is verified by the distance of the whole codes. Once
+every segment has been probed up to radius r, every code within distance
+``segments * (r + 1) - 1`` has been met, so a query is finished as soon as its k-th verified
+distance is no larger. Index and probes meet in a shuffle by (segment, value); finished
+queries leave the rounds, and only the k best of each query are carried on.
+
+Queries are the rows whose id is divisible by ``every``, against all rows. Ranks go by
+distance, then by id; a row is not its own neighbour. Of rows with equal codes only the
+``k + 1`` with the smallest ids can be in an answer, and only these are indexed, so copies
+make no long lists. An id with several vectors has each of them indexed and asked, and
+counts with its smallest distance. Missing or null components count as zero; a vector of
+more components than a code has bits fails the job. Rows without id are left out. A query id
+without a vector, or without any neighbour, has one row with null rank, neighbour and distance.
+An empty table gives no rows. Only the id and the vector are read.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pairforge.functions.scratch import stage
-from pairforge.llm.words import small_batches
+from pairforge.functions.scratch import Stages, stage
 
 BITS, SEGMENTS = 64, 4
 SEGMENT_BITS = BITS // SEGMENTS
-#: Codes and queries that meet in one task.
-CODES_PER_BLOCK, QUERIES_PER_BLOCK = 25_000, 2_000
 K, EVERY = 10, 100
 
 
 def sign_codes(vectors: DataFrame, id_column: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """``id`` and ``code``: bit i is set where component i is above zero."""
+    """``id`` and ``code``: bit i is set where component i is above zero; null for a null vector."""
     bit = lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("bigint"), i)).otherwise(F.lit(0).cast("bigint"))
-    bits = F.transform(F.slice(vector, 1, BITS), bit)
-    code = F.aggregate(bits, F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
-    rows = vectors.where(F.col(id_column).isNotNull() & F.col(vector).isNotNull())
-    return rows.select(F.col(id_column).cast("bigint").alias("id"), code.alias("code"))
-
-
-def radius_masks() -> list[np.ndarray]:
-    """Per radius, all segment masks with so many bits."""
-    return [
-        np.array([sum(1 << b for b in c) for c in combinations(range(SEGMENT_BITS), r)], np.int64)
-        for r in range(SEGMENT_BITS + 1)
-    ]
-
-
-class Block:
-    """Segment tables of a block of codes."""
-
-    def __init__(self, ids: np.ndarray, codes: np.ndarray) -> None:
-        order = np.lexsort((ids, codes))
-        self.ids, self.codes = ids[order], codes[order]
-        self.tables = []
-        for s in range(SEGMENTS):
-            own = self.segment(self.codes, s)
-            rows = np.argsort(own, kind="stable")
-            start = np.searchsorted(own[rows], np.arange((1 << SEGMENT_BITS) + 1))
-            self.tables.append((rows, start))
-        self.masks = radius_masks()
-
-    @staticmethod
-    def segment(codes: np.ndarray, s: int) -> np.ndarray:
-        return ((codes >> np.uint64(s * SEGMENT_BITS)) & np.uint64((1 << SEGMENT_BITS) - 1)).astype(np.int64)
-
-    def probe(self, query: np.uint64, radius: int) -> np.ndarray:
-        """Rows that match a segment of the query at exactly this radius."""
-        found = []
-        for s, (rows, start) in enumerate(self.tables):
-            own = int(self.segment(np.array([query]), s)[0])
-            values = self.masks[radius] ^ own
-            a, b = start[values], start[values + 1]
-            full = np.flatnonzero(b > a)
-            if len(full):
-                a, n = a[full], b[full] - a[full]
-                found.append(rows[np.repeat(a - np.r_[0, np.cumsum(n)[:-1]], n) + np.arange(n.sum())])
-        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-
-    def search(self, query_id: int, query: np.uint64, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and distances of the k nearest rows but the query itself."""
-        met = np.zeros(0, np.int64)
-        for radius in range(SEGMENT_BITS + 1):
-            met = np.union1d(met, self.probe(query, radius))
-            near = met[self.ids[met] != query_id]
-            distance = np.bitwise_count(self.codes[near] ^ query).astype(np.int64)
-            order = np.lexsort((self.ids[near], distance))[:k]
-            covered = SEGMENTS * (radius + 1) - 1
-            if len(order) == k and distance[order[-1]] <= covered:
-                break
-        return self.ids[near][order], distance[order]
+    code = F.aggregate(F.transform(vector, bit), F.lit(0).cast("bigint"), lambda a, x: a.bitwiseOR(x))
+    too_long = F.raise_error(F.lit(f"a vector has more than {BITS} components")).cast("bigint")
+    return vectors.where(F.col(id_column).isNotNull()).select(
+        F.col(id_column).cast("bigint").alias("id"), F.when(F.size(vector) > BITS, too_long).otherwise(code).alias("code")
+    )
+
+
+def segment_values(code: Column) -> Column:
+    """A number per segment: its place above its bits."""
+    low = (1 << SEGMENT_BITS) - 1
+    own = lambda s: F.shiftright(code, s * SEGMENT_BITS).bitwiseAND(low) + (s << SEGMENT_BITS)
+    return F.array(*[own(s) for s in range(SEGMENTS)])
+
 
+def masks_of(radius: int) -> list[int]:
+    """All segment masks with so many bits."""
+    return [sum(1 << b for b in c) for c in combinations(range(SEGMENT_BITS), radius)]
 
-def search_block(rows: pa.Table, queries: pa.Table, k: int) -> pa.Table:
-    """The answers of a block of codes to a block of queries."""
-    block = Block(rows["id"].to_numpy(), rows["code"].to_numpy().view(np.uint64))
-    ids, codes = queries["id"].to_numpy(), queries["code"].to_numpy().view(np.uint64)
-    found = [block.search(int(i), c, k) for i, c in zip(ids, codes, strict=True)] if len(block.ids) else []
-    counts = [len(n) for n, _ in found]
-    flat = lambda part: np.concatenate([f[part] for f in found]) if found else np.zeros(0, np.int64)
-    return pa.table({"query_id": np.repeat(ids[: len(counts)], counts).astype(np.int64), "neighbor_id": flat(0), "distance": flat(1)})
+
+def _best(met: DataFrame, k: int) -> DataFrame:
+    """The ``k`` nearest neighbours of each query; what was met several times counts once."""
+    once = met.groupBy("query_id", "neighbor_id").agg(F.min("distance").alias("distance"))
+    order = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def nearest_codes(codes: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:
-    """``query_id, rank, neighbor_id, distance`` for every query row of ``id, code``."""
-    small_batches(codes.sparkSession, 10_000)
-    codes = stage(codes.groupBy("id").agg(F.min("code").alias("code")), "codes")
-    same = Window.partitionBy("code").orderBy("id")
-    index = stage(codes.withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1).drop("_n"), "index")
-    queries = codes.where(F.col("id") % every == 0)
-    size = lambda df, most: max(1, -(-df.count() // most))
-    row_blocks, query_blocks = size(index, CODES_PER_BLOCK), size(queries, QUERIES_PER_BLOCK)
-    deal = lambda n: F.pmod(F.xxhash64("id"), F.lit(n)).cast("int")
-    copy = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    left = index.withColumn("r", deal(row_blocks)).withColumn("q", copy(query_blocks))
-    right = queries.withColumn("q", deal(query_blocks)).withColumn("r", copy(row_blocks))
-    met = left.groupBy("r", "q").cogroup(right.groupBy("r", "q")).applyInArrow(
-        lambda rows, own: search_block(rows, own, k), "query_id bigint, neighbor_id bigint, distance bigint"
-    )
-    best = Window.partitionBy("query_id").orderBy("distance", "neighbor_id")
-    return met.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select(
-        "query_id", F.col("rank").cast("int"), "neighbor_id", "distance"
-    )
+    """``query_id, rank, neighbor_id, distance`` for every query id of ``id, code``."""
+    spark = codes.sparkSession
+    with Stages() as stages:
+        codes = stages.write(codes.distinct(), "codes")
+        same = Window.partitionBy("code").orderBy("id")
+        indexed = codes.where("code is not null").withColumn("_n", F.row_number().over(same)).where(F.col("_n") <= k + 1)
+        index = stages.write(indexed.select("id", "code", F.explode(segment_values(F.col("code"))).alias("value")), "segments")
+        asked = codes.where(F.col("id") % every == 0).select(F.col("id").alias("query_id"), F.col("code").alias("query_code"))
+        open_queries = stages.write(asked.where("query_code is not null"), "queries")
+        best = spark.createDataFrame([], "query_id bigint, neighbor_id bigint, distance int, rank int")
+        answers = []
+        for radius in range(SEGMENT_BITS + 1):
+            probe = F.explode(F.lit(masks_of(radius)))
+            probes = (
+                open_queries.withColumn("own", F.explode(segment_values(F.col("query_code"))))
+                .withColumn("mask", probe)
+                .select("query_id", "query_code", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
+            )
+            met = probes.join(index, "value").where("id <> query_id").select(
+                "query_id", F.col("id").alias("neighbor_id"), F.bit_count(F.col("code").bitwiseXOR(F.col("query_code"))).alias("distance")
+            )
+            best = stages.write(_best(best.drop("rank").unionByName(met), k), "best")
+            covered = SEGMENTS * (radius + 1) - 1
+            finished = best.where((F.col("rank") == k) & (F.col("distance") <= covered)).select("query_id")
+            if radius == SEGMENT_BITS:
+                finished = open_queries.select("query_id").distinct()
+            answers.append(stage(best.join(finished, "query_id", "left_semi"), "answers"))
+            open_queries = stages.write(open_queries.join(finished, "query_id", "left_anti"), "queries")
+            best = best.join(finished, "query_id", "left_anti")
+            if open_queries.isEmpty():
+                break
+        found = answers[0]
+        for more in answers[1:]:
+            found = found.unionByName(more)
+        ids = stage(asked.select("query_id").distinct(), "asked")
+    return ids.join(found, "query_id", "left").select("query_id", F.col("rank").cast("int").alias("rank"), "neighbor_id", F.col("distance").cast("bigint").alias("distance"))
 
 
 def top_k(vectors: DataFrame, k: int = K, every: int = EVERY) -> DataFrame:

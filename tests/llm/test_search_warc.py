@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from pairforge.functions.scratch import scratch_path
@@ -22,9 +23,7 @@ def brute_top(rows, k, every):
 
 
 @pytest.mark.parametrize("kind", ["random", "close", "equal", "few"])
-def test_search_equals_brute_force(spark, monkeypatch, kind):
-    monkeypatch.setattr(S, "CODES_PER_BLOCK", 120)
-    monkeypatch.setattr(S, "QUERIES_PER_BLOCK", 7)
+def test_search_equals_brute_force(spark, kind):
     rng = random.Random(kind)
     center = rng.getrandbits(64)
     make = {
@@ -40,11 +39,18 @@ def test_search_equals_brute_force(spark, monkeypatch, kind):
 
 def test_vectors_of_all_kinds(spark):
     schema = "vec_id bigint, embedding array<float>, label int, code string"
-    rows = [(0, [1.0, -1.0, 0.5], 1, "own"), (1, [1.0, 1.0, None], 1, ""), (2, None, 1, ""), (None, [1.0], 1, ""), (3, [], 0, ""), (4, [0.0] * 63 + [2.0, 3.0], 0, "")]
+    rows = [(0, [1.0, -1.0, 0.5], 1, "own"), (1, [1.0, 1.0, None], 1, ""), (2, None, 1, ""), (None, [1.0], 1, ""), (3, [], 0, ""), (4, [0.0] * 63 + [2.0], 0, "")]
     codes = {r.id: r.code for r in S.sign_codes(spark.createDataFrame(rows, schema)).collect()}
-    assert codes == {0: 0b101, 1: 0b11, 3: 0, 4: -(1 << 63)}
+    assert codes == {0: 0b101, 1: 0b11, 2: None, 3: 0, 4: -(1 << 63)}
     found = sorted(tuple(r) for r in S.top_k(spark.createDataFrame(rows, schema), 2, 100).collect())
     assert found == [(0, 1, 1, 2), (0, 2, 3, 2)]
+    # Every vector of an id is indexed and asked; a query without vector or neighbour is told.
+    several = [*rows, (1, [1.0, -1.0, 0.5, -1.0], 2, ""), (100, None, 1, ""), (3, [1.0], 0, "")]
+    found = sorted((tuple(r) for r in S.top_k(spark.createDataFrame(several, schema), 2, 100).collect()), key=str)
+    assert found == [(0, 1, 1, 0), (0, 2, 3, 1), (100, None, None, None)]
+    assert [tuple(r) for r in S.top_k(spark.createDataFrame([(0, [1.0], 1, "")], schema)).collect()] == [(0, None, None, None)]
+    with pytest.raises(PySparkException, match="more than 64 components"):
+        S.top_k(spark.createDataFrame([(1, [1.0] * 65, 1, "")], schema)).collect()
     assert S.top_k(spark.createDataFrame([], schema)).collect() == []
 
 
