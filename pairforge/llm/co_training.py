@@ -49,8 +49,8 @@ POOL_WEIGHT = 1.0
 GOOD_COST = 20.0
 #: Features are cut at what 2 bytes can hold.
 HIGHEST = 60_000.0
-#: Rows whose features are multiplied at once.
-CHUNK_ROWS = 4_096
+#: Rows whose features are read, and multiplied, at once.
+CHUNK_ROWS, STEP_ROWS = 4_096, 1_024
 BYTE_PAIRS, CATEGORIES, SIZES = 512, 256, 32
 CATEGORICAL, NUMERIC = ["source", "lang"], ["n_chars"]
 PAIR_CODE = (((np.arange(1 << 16, dtype=np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(55)).astype(np.int64)
@@ -103,18 +103,26 @@ class Logistic:
     @classmethod
     def fit(cls, x: np.ndarray, y: np.ndarray, l2: float = 3.0, steps: int = 8) -> Logistic:
         """Newton steps on the penalised loss."""
-        out = cls(x.mean(0), x.std(0) + 1e-3, np.zeros(x.shape[1]), 0.0)
+        mean = x.mean(0, dtype=np.float64)
+        scale = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0)) + 1e-3
+        out = cls(mean.astype(np.float32), scale.astype(np.float32), np.zeros(x.shape[1]), 0.0)
         for _ in range(steps):
             if np.abs(out.step(*out.sums(x, y), l2)).max() < 1e-3:
                 break
         return out
 
     def sums(self, x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Gradient and Hessian of the loss over rows."""
-        z = np.hstack([(x - self.mean) / self.scale, np.ones((len(x), 1))]).astype(np.float32)
-        p = sigmoid(z @ np.append(self.weights, self.bias))
-        weighted = z * np.maximum(p * (1 - p), 1e-4)[:, None].astype(np.float32)
-        return (z.T @ (p - y)).astype(np.float64), (weighted.T @ z).astype(np.float64)
+        """Gradient and Hessian of the loss over rows, some rows at a time."""
+        size = x.shape[1] + 1
+        gradient, hessian, w = np.zeros(size), np.zeros((size, size)), np.append(self.weights, self.bias)
+        for at in range(0, len(x), STEP_ROWS):
+            part = x[at : at + STEP_ROWS]
+            z = np.ones((len(part), size), np.float32)
+            np.divide(part - self.mean, self.scale, out=z[:, :-1])
+            p = sigmoid(z @ w)
+            gradient += z.T @ (p - y[at : at + STEP_ROWS])
+            hessian += (z * np.maximum(p * (1 - p), 1e-4)[:, None].astype(np.float32)).T @ z
+        return gradient, hessian
 
     def step(self, gradient: np.ndarray, hessian: np.ndarray, l2: float = 3.0) -> np.ndarray:
         """One Newton step on these sums and the penalty; the step itself is returned."""
@@ -152,13 +160,13 @@ def handed_over(views: tuple[Logistic, Logistic], pool: tuple[np.ndarray, np.nda
 
 
 def pool_sums(views: tuple[Logistic, Logistic], pool: tuple[np.ndarray, np.ndarray]) -> list[np.ndarray]:
-    """Per view and class: number of rows handed over, gradient and Hessian, in one vector each."""
+    """Per view and class: number of rows handed over, gradient and upper half of the Hessian, in one vector each."""
     out = []
     for own, rows, said in handed_over(views, pool):
         for kind in (0.0, 1.0):
             mine = rows[said == kind]
             gradient, hessian = views[own].sums(pool[own][mine], np.full(len(mine), kind))
-            out.append(np.concatenate([[len(mine)], gradient, hessian.ravel()]))
+            out.append(np.concatenate([[len(mine)], gradient, hessian[np.triu_indices(len(gradient))]]))
     return out
 
 
@@ -183,7 +191,9 @@ def co_train(
                 # What is handed over of a class weighs as much as its labelled documents at most.
                 weight = min(1.0, POOL_WEIGHT * (y[~held] == kind).sum() / max(1.0, given[0]))
                 gradient = gradient + weight * given[1 : size + 1]
-                hessian = hessian + weight * given[size + 1 :].reshape(size, size)
+                upper = np.zeros((size, size))
+                upper[np.triu_indices(size)] = weight * given[size + 1 :]
+                hessian = hessian + upper + np.triu(upper, 1).T
             view.step(gradient, hessian)
     calibrations = tuple(Logistic.fit(v.margin(x[held])[:, None], y[held], 1.0) for v, x in zip(views, labelled, strict=True))
     share = y[held].mean()
@@ -238,7 +248,7 @@ def fit_pair(stages: Stages, table: DataFrame, labels: DataFrame, *, target: str
     # The chosen ids are bounded by the parameter, whatever the input.
     found = table.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text_view", "page_view").toPandas()
     found = found.drop_duplicates("doc_id").sort_values("doc_id")
-    sizes = [1 + w + 1 + (w + 1) ** 2 for w in WIDTHS for _ in (0, 1)]
+    sizes = [1 + w + 1 + (w + 1) * (w + 2) // 2 for w in WIDTHS for _ in (0, 1)]
 
     def total_sums(views: tuple[Logistic, Logistic]) -> list[np.ndarray]:
         def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -252,7 +262,9 @@ def fit_pair(stages: Stages, table: DataFrame, labels: DataFrame, *, target: str
         _, total = summed(stages, table.select("text_view", "page_view").mapInArrow(sums, PARTS))
         return np.split(total, np.cumsum(sizes)[:-1])
 
-    pair = co_train(_matrices(found["text_view"].tolist(), found["page_view"].tolist()), found["label"].to_numpy(float), total_sums)
+    labelled, y = _matrices(found["text_view"].tolist(), found["page_view"].tolist()), found["label"].to_numpy(float)
+    del found
+    pair = co_train(labelled, y, total_sums)
     if pair is None:
         warnings.warn("too few labels of both kinds to fit a classifier: every document is kept", stacklevel=2)
     return pair
