@@ -8,7 +8,8 @@ it does not depend on partitions or retries. Copies are then ordered by another
 Documents without a source form a source of their own. A text counts one byte more
 than it has, so null and empty texts take part. Repeated rows of one ``doc_id`` get
 the same number of copies each; rows without ``doc_id`` are hashed as ``null``. An
-empty table gives no rows. Only the columns ``copy`` and ``order_key`` are added.
+empty table gives no rows. Columns ``copy`` and ``order_key`` are added; where the input has
+columns of these names, they come back as ``copy_in`` and ``order_key_in``.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pairforge.functions.joins import lookup_join
+from pairforge.functions.scratch import stage
 
 SEED = "mix-1"
 #: Exponent that flattens the shares of the sources to target weights.
@@ -71,20 +73,20 @@ def mix_sources(docs: DataFrame, weights: DataFrame | None = None, *, epochs: fl
     ``weights`` has ``_source`` (a struct with the field ``source``) and ``weight``;
     a source that is not in it gets no copy. By default shares are flattened.
     """
-    sizes = source_sizes(docs)
+    # Written once, one row per source: the texts are read to size them, and to repeat them.
+    sizes = stage(source_sizes(docs), "source-sizes")
     rates = repetition_rates(sizes, weights if weights is not None else flattened_weights(sizes), epochs)
-    steps = rates.select("_source", poisson_steps(F.col("rate")).alias("_steps"))
-    keyed = docs.withColumn("_source", F.struct("source")).withColumn("_u", uniform(F.lit(seed), "doc_id"))
-    drawn = lookup_join(keyed, steps, ["_source"], "inner", salt_on=["doc_id"])
+    steps = stage(rates.select("_source", poisson_steps(F.col("rate")).alias("_steps")), "source-steps")
+    # The row travels as one value, so that no name of its columns can clash.
+    keyed = docs.select(F.struct("*").alias("_row"), F.struct("source").alias("_source"), uniform(F.lit(seed), "doc_id").alias("_u"))
+    drawn = lookup_join(keyed, steps, ["_source"], "inner", salt_on=["_u"])
     copies = F.expr("size(filter(_steps, s -> s <= _u))")
-    repeated = (
-        drawn.withColumn("_n", copies)
-        .where("_n > 0")
-        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("_n"))))
-        .drop("_source", "_u", "_steps", "_n")
-    )
-    key = F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(F.col("doc_id").cast("string"), F.lit("null")), F.col("copy").cast("string")))
-    return repeated.withColumn("order_key", key).orderBy("order_key", "doc_id", "copy")
+    repeated = drawn.select("_row", copies.alias("_n")).where("_n > 0").select("_row", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("copy"))
+    doc_id = F.coalesce(F.col("_row.doc_id").cast("string"), F.lit("null"))
+    key = F.md5(F.concat_ws(":", F.lit(seed), doc_id, F.col("copy").cast("string")))
+    own = [F.col("_row")[c].alias(f"{c}_in" if c in ("copy", "order_key") else c) for c in docs.columns]
+    ordered = repeated.withColumn("order_key", key).orderBy("order_key", F.col("_row.doc_id"), "copy")
+    return ordered.select(*own, "copy", "order_key")
 
 
 MIX_SQL = f"""
@@ -98,7 +100,8 @@ WITH sized AS (
   SELECT source, weight / sum(weight) OVER () * sum(own) OVER () / own AS rate FROM sources
 ), steps AS (
   SELECT source, k, sum(exp(k * ln(rate) - rate - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS step
-  FROM rates, (SELECT unnest(range(0, 400)) AS k) WHERE k <= ceil(rate + 12 * sqrt(rate) + 30)
+  FROM rates, (SELECT unnest(range(0, (SELECT 1 + max(ceil(rate + 12 * sqrt(rate) + 30))::BIGINT FROM rates))) AS k)
+  WHERE k <= ceil(rate + 12 * sqrt(rate) + 30)
 ), drawn AS (
   SELECT s.doc_id, s.text, s.lang, s.source, s.n_chars, t.k + 1 AS copy
   FROM sized s JOIN steps t ON s.source IS NOT DISTINCT FROM t.source AND t.step <= s.u

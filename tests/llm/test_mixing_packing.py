@@ -153,3 +153,14 @@ def test_shards(spark, documents):
     assert [r.curve for r in order] == sorted(r.curve for r in found)
     assert H.shard_by_curve(docs.where("false"), axes).collect() == []
     assert {len([r for r in H.shard_by_curve(docs.limit(7), axes).collect() if r.shard == s]) for s in range(40)} == {0, 1}
+
+
+def test_mixing_returns_clashing_columns_and_large_rates(spark, documents):
+    """A tiny source beside a hot one is repeated several hundred times; columns of any names come back."""
+    rows = [(i, "x" * 40_000) for i in range(60)]
+    docs = documents(*rows).selectExpr("*", "doc_id AS copy", "'k' AS order_key", "1 AS _source", "2 AS _n", "3 AS _steps", "4 AS _u", "5 AS _row")
+    docs = docs.union(documents((99, "y")).selectExpr("doc_id", "text", "lang", "'tiny' AS source", "n_chars", "doc_id AS copy", "'k' AS order_key", "1", "2", "3", "4", "5"))
+    found = M.mix_sources(docs).where("source = 'tiny' or doc_id < 3").collect()
+    assert {(r.copy_in, r.order_key_in, r._source, r._n, r._steps, r._u, r._row) for r in found} == {(r.doc_id, "k", 1, 2, 3, 4, 5) for r in found}
+    tiny = sorted(r.copy for r in found if r.source == "tiny")
+    assert len(tiny) > 400 and tiny == list(range(1, len(tiny) + 1))
