@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from pairforge.functions.joins import lookup_join
 from pairforge.functions.scratch import scratch_path, stage
-from pairforge.llm.words import small_batches
+from pairforge.llm.words import batches_of
 
 MIN_REVISIT = 100
 #: Records of an archive, and index rows that one task merges.
@@ -64,6 +64,16 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     return joined.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id"))).drop("first_id")
 
 
+def utc_text(when: Column) -> Column:
+    """A timestamp as ISO 8601 text in UTC, whatever the session's time zone is; fractions are cut."""
+    seconds = F.unix_seconds(when)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
+    of_day = F.pmod(seconds, F.lit(86_400))
+    two = lambda n: F.lpad(F.floor(n).cast("string"), 2, "0")
+    clock = F.concat_ws(":", two(of_day / 3600), two(F.pmod(of_day, F.lit(3600)) / 60), two(F.pmod(of_day, F.lit(60))))
+    return F.when(when.isNotNull(), F.concat(day.cast("string"), F.lit("T"), clock, F.lit("Z")))
+
+
 def record_text() -> Column:
     """A WARC record without its final line breaks."""
     line = lambda name, value: F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit(BREAK))).otherwise("")
@@ -79,7 +89,7 @@ def record_text() -> Column:
         F.lit(f"WARC/1.1{BREAK}"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
         line("WARC-Record-ID", F.coalesce(name(F.col("page_id")), F.lit("<urn:page:none>"))),
-        line("WARC-Date", F.date_format("captured", "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        line("WARC-Date", utc_text(F.col("captured"))),
         line("WARC-Target-URI", url),
         line("WARC-Payload-Digest", F.concat(F.lit("sha256:"), F.col("payload_digest"))),
         line("WARC-Profile", F.when(revisit, "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
@@ -124,7 +134,6 @@ def read_archives(spark, path: str) -> DataFrame:
 
     Payloads of responses are hashed again and must match their header.
     """
-    small_batches(spark, 1)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,9 +160,9 @@ def read_archives(spark, path: str) -> DataFrame:
     parsed = files.mapInArrow(parse, schema).select(
         url_key(F.col("url")).alias("url_key"), F.to_timestamp("date").alias("captured"), *names[2:]
     )
-    runs = stage(parsed.sortWithinPartitions("archive", "url_key", "captured", "page_id"), "runs")
-    small_batches(spark)
-    return runs
+    # An archive is a row of several megabytes, so few of them may share a batch while the runs are written.
+    with batches_of(spark, 1):
+        return stage(parsed.sortWithinPartitions("archive", "url_key", "captured", "page_id"), "runs")
 
 
 class LoserTree:
@@ -220,8 +229,12 @@ def merge_index(runs: DataFrame, *, rows_per_range: int = ROWS_PER_RANGE) -> Dat
 
 
 def capture_histories(pages: DataFrame) -> DataFrame:
-    """Write archives of ``page_id, url, captured, html``, read them back and merge their index."""
+    """Write archives of ``page_id, url, captured, html``, read them back and merge their index.
+
+    The merged index is written as files whose row groups follow the global order, so a look-up
+    of one URL key reads a few of them.
+    """
     spark = pages.sparkSession
     path = scratch_path(spark, "archives")
     write_archives(pages, path)
-    return merge_index(read_archives(spark, path))
+    return stage(merge_index(read_archives(spark, path)), "capture-index")

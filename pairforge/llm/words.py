@@ -9,6 +9,7 @@ which are shifted back to position zero by the inverse powers of the odd base.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from functools import lru_cache
 
@@ -129,6 +130,18 @@ def windows(hashes: np.ndarray, width: int) -> np.ndarray:
         return mix(total)
 
 
+@contextmanager
+def batches_of(spark, rows: int) -> Iterator[None]:
+    """Arrow batches of so many rows while a table is written; the session's own setting comes back."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def small_batches(spark, rows: int = 1000, size: int = 16 << 20) -> None:
     """Bound what one Arrow batch holds, as texts differ in length by orders of magnitude."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

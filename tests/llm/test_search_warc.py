@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pairforge.functions.scratch import scratch_path
 from pairforge.llm import hamming_search as S, warc as W
+from pairforge.llm.queries import QUERIES
 
 
 def brute_top(rows, k, every):
@@ -117,3 +118,34 @@ def test_damaged_archives_are_refused():
     with pytest.raises(ValueError):
         list(W.parse_records(good.replace(b": 2", b": 1")))
     assert np.array_equal([o for o, *_ in W.parse_records(good * 2)], [0, len(good)])
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York", "Asia/Kolkata"])
+def test_captures_do_not_depend_on_the_time_zone(spark, zone):
+    times = [0, 1_700_000_000, 1_699_164_000, -1, 951_782_400]
+    before = spark.conf.get("spark.sql.session.timeZone")
+    pages = spark.createDataFrame([(i, "http://a.example/", t) for i, t in enumerate(times)], "page_id bigint, url string, t bigint")
+    pages = pages.select("page_id", "url", F.timestamp_seconds("t").alias("captured"), F.lit("x").alias("html"), F.lit("own").alias("payload_digest"))
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        found = {r.page_id: r.t for r in W.capture_histories(pages).select("page_id", F.unix_seconds("captured").alias("t")).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert found == dict(enumerate(times))
+
+
+def test_query_equals_brute_force_on_all_pages(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").collect()
+    payloads = {r.page_id: (r.html or "").encode() for r in pages}
+    first = {}
+    for i in sorted(payloads):
+        first.setdefault(payloads[i], i)
+    expected = set()
+    for i, payload in payloads.items():
+        revisit = len(payload) >= 100 and first[payload] != i
+        expected.add((i, len(payload), hashlib.sha256(payload).hexdigest(), "revisit" if revisit else "response", first[payload] if revisit else None))
+    rows = QUERIES["op9_warc_index_merge"](spark, sf_dir).collect()
+    assert {tuple(r)[:5] for r in rows} == expected and len(rows) == len(pages)
+    ordered = sorted(rows, key=lambda r: r.history_order)
+    assert [(r.url_key, r.captured, r.page_id) for r in ordered] == sorted((r.url_key, r.captured, r.page_id) for r in rows)
