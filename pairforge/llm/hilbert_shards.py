@@ -15,7 +15,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pairforge.functions.numbering import with_global_position
+from pairforge.llm.numbering import with_global_position
 
 BITS = 8
 SHARDS = 40

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from pairforge.functions.joins import lookup_join
-from pairforge.functions.numbering import with_global_position
+from pairforge.llm.numbering import with_global_position
 from pairforge.functions.scratch import Stages, stage
 from pairforge.llm.words import BASE, CHUNK_BYTES, LOWER, Words, bytes_of, mix
 

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pairforge.functions.shipping import ship_package
+from pairforge.llm.shipping import ship_package
 from pairforge.llm import best_fit_packing, co_training, filter_audit, hamming_search, hilbert_shards, html_text, jaccard_join, lexical_search, lm_scoring, poisson_mixing, quality_rules, sentence_pieces, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}

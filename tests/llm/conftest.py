@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from pairforge.functions.shipping import ship_package
+from pairforge.llm.shipping import ship_package
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
