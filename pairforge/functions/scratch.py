@@ -10,9 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the cluster's warehouse."""
+    """The folder of ``spark.checkpoint.dir``; where that is unset, one in the warehouse.
+
+    A warehouse on the driver's own disk is no shared folder, so a cluster must name one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages").rstrip("/")
+    if named:
+        return named.rstrip("/")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_stages"
+    on_disk = file_system(spark, folder)[0].getUri().getScheme() == "file"
+    if on_disk and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
