@@ -42,6 +42,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(place)
 
 
+def replace_file(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file to a name in one step; parents are made, and a file of that name is replaced."""
+    java = spark._jvm.org.apache.hadoop.fs
+    fs, place = file_system(spark, target)
+    fs.mkdirs(place.getParent())
+    overwrite = spark.sparkContext._gateway.new_array(java.Options.Rename, 1)
+    overwrite[0] = java.Options.Rename.OVERWRITE
+    context = java.FileContext.getFileContext(fs.getUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    context.rename(fs.makeQualified(java.Path(source)), fs.makeQualified(place), overwrite)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a stage table; nothing may read it any more."""
     fs, place = file_system(spark, path)

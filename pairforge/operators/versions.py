@@ -74,13 +74,17 @@ def alias_state(log: DataFrame) -> DataFrame:
 
 
 def registration_row(
-    runs: DataFrame, keys: list[str], order: str, **limits: float
+    runs: DataFrame, keys: list[str], order: str, *, lineage: dict[str, Column] | None = None, **limits: float
 ) -> DataFrame:
-    """Runs that break no limit, as numbered versions with the candidate alias."""
+    """Runs that break no limit, as numbered versions with the candidate alias.
+
+    A version keeps the columns of its run, its metrics among them, and what it was made from:
+    ``lineage`` names columns such as the fingerprint of its data and the hash of its prompt.
+    """
     passing = runs.where(F.size(broken_limits(**limits)) == 0)
     numbered = with_position(passing, keys, order)
-    return numbered.withColumn("version", F.col("position") + 1).withColumn(
-        "alias", F.lit(CANDIDATE)
+    return numbered.withColumn("version", F.col("position") + 1).withColumns(
+        {"alias": F.lit(CANDIDATE), **(lineage or {})}
     ).drop("position")
 
 

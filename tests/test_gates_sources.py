@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import json
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -101,6 +103,17 @@ def test_report_of_several_rows_is_refused(spark, tmp_path):
     assert J.jsonl_scan(spark, f"{tmp_path}/r", "id bigint").count() == 1
 
 
+def test_report_is_one_file_and_survives_a_failed_write(spark, tmp_path):
+    path = tmp_path / "deep" / "er" / "report.json"
+    for n in (1, 2):
+        J.json_report_sink(spark.range(1).selectExpr(f"{n} AS n", "cast(null as string) AS note"), str(path))
+        assert json.loads(path.read_text()) == {"n": n, "note": None}
+    with pytest.raises(PySparkException):
+        J.json_report_sink(spark.range(1).selectExpr("raise_error('no') AS n"), str(path))
+    assert json.loads(path.read_text())["n"] == 2
+    assert [p.name for p in path.parent.iterdir() if not p.name.endswith(".crc")] == ["report.json"]
+
+
 def test_all_missing_files_are_named(spark):
     wanted = [f"f{i:02}.json" for i in range(30)]
     listing = spark.createDataFrame([("a/f00.json",)], "path string")

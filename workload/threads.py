@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pairforge.functions.scratch import file_system, scratch_path, stage
-from pairforge.operators import attempts as A, catalog as C, replies as R, versions as V
+from pairforge.operators import attempts as A, catalog as C, replies as R, training as T, versions as V
 from pairforge.sources import json_files as J
 from pairforge.plans.label_job import label_pairs, label_rows
 from pairforge.streaming.feedback import run_feedback, training_corpus
@@ -283,12 +283,22 @@ def alias_state(spark, sf):
 
 @query(
     "registration_row",
-    """SELECT run_id, row_number() OVER (ORDER BY run_id) AS version, 'candidate' AS alias FROM runs
-    WHERE table_recall >= 0.9 AND column_recall >= 0.8 AND unparseable_rate <= 0.01""",
+    """SELECT run_id, row_number() OVER (ORDER BY run_id) AS version, 'candidate' AS alias, table_recall, column_recall, unparseable_rate,
+     substr(sha256(concat('v1', chr(10), 'prompt of run ', run_id)), 1, 16) AS prompt_hash,
+     (SELECT cast(sum(cast(concat('0x', substr(md5(concat_ws(chr(1), id, db_id, question, query)), 1, 15)) AS BIGINT)) AS VARCHAR)
+      FROM unique_pairs WHERE split = 'train') AS dataset_fingerprint
+    FROM runs WHERE table_recall >= 0.9 AND column_recall >= 0.8 AND unparseable_rate <= 0.01""",
 )
 def registration_row(spark, sf):
     runs = table(spark, sf, "runs").withColumn("model", F.lit("pruner"))
-    return V.registration_row(runs, ["model"], "run_id").select("run_id", "version", "alias")
+    train = unique_pairs(spark, sf).where("split = 'train'")
+    made_from = T.dataset_fingerprint(train, ["id", "db_id", "question", "query"], ["split"]).first()
+    prompt = F.concat(F.lit("prompt of run "), F.col("run_id").cast("string"))
+    lineage = {
+        "prompt_hash": T.prompt_fingerprint(F.lit("v1"), prompt),
+        "dataset_fingerprint": F.lit(str(made_from["hash_sum"])),
+    }
+    return V.registration_row(runs, ["model"], "run_id", lineage=lineage).drop("model")
 
 
 @query(
