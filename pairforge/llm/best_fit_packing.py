@@ -8,7 +8,8 @@ length is tried as the preferred size of new bins, the cheapest packing after
 downsizing wins, and each bin shrinks to the smallest length that holds its contents.
 
 Null and empty texts are one end token long. Repeated rows are pieces of their own.
-Rows without ``doc_id`` are packed like others. An empty table gives no rows.
+Rows without ``doc_id`` are packed like others. An empty table gives no rows. Only
+``doc_id`` and ``text`` are read, so further columns may have any names.
 """
 
 from __future__ import annotations

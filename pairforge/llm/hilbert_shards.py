@@ -6,7 +6,8 @@ dimensions. Runs are cut by row count: shards differ by one row at most (law ``r
 
 Null metadata lie at coordinate 0 and a null text has no bytes. Rows with equal
 coordinates are ordered by ``doc_id`` (nulls first), then by size and checksum; rows
-that are equal in all of these may change places. An empty table gives no rows.
+that are equal in all of these may change places. An empty table gives no rows. Only
+``doc_id``, ``text`` and the columns of the axes are read, so further ones may have any names.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@ read: one that holds most of the text is a wrapper of the article and is kept.
 
 A null page gives an empty text. Broken markup never fails: unclosed elements end with
 their parents, a tag cut off at the end of a page is dropped, and so is an unclosed
-comment. Repeated rows each give their text; nothing is cut, however long.
+comment. Repeated rows each give their text; nothing is cut, however long. An empty table
+gives no rows. Only ``page_id``, ``url`` and ``html`` are read, so further columns may have any names.
 """
 
 from __future__ import annotations

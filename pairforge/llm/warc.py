@@ -14,7 +14,9 @@ A URL with very many captures is split, as timestamp and ``page_id`` are part of
 A null payload is empty. A row without URL has the empty key, a row without timestamp
 the epoch. Rows that share the smallest ``page_id`` of their payload are all responses;
 rows without ``page_id`` refer to one that has it, and are responses where none has.
-Line breaks in a URL are written percent-encoded. An empty table gives no rows.
+Line breaks in a URL are written percent-encoded. Dates are written in UTC, in whole seconds.
+An empty table gives no rows. Only ``page_id``, ``url``, ``captured`` and ``html`` are read, so
+further columns may have any names.
 """
 
 from __future__ import annotations
