@@ -104,7 +104,8 @@ class Logistic:
     def fit(cls, x: np.ndarray, y: np.ndarray, l2: float = 3.0, steps: int = 8) -> Logistic:
         """Newton steps on the penalised loss."""
         mean = x.mean(0, dtype=np.float64)
-        scale = np.sqrt(np.maximum(np.einsum("ij,ij->j", x, x, dtype=np.float64) / len(x) - mean**2, 0)) + 1e-3
+        squares = sum((x[at : at + STEP_ROWS].astype(np.float64) ** 2).sum(0) for at in range(0, len(x), STEP_ROWS))
+        scale = np.sqrt(np.maximum(squares / len(x) - mean**2, 0)) + 1e-3
         out = cls(mean.astype(np.float32), scale.astype(np.float32), np.zeros(x.shape[1]), 0.0)
         for _ in range(steps):
             if np.abs(out.step(*out.sums(x, y), l2)).max() < 1e-3:
@@ -133,7 +134,8 @@ class Logistic:
         return step
 
     def margin(self, x: np.ndarray) -> np.ndarray:
-        return ((x - self.mean) / self.scale) @ self.weights + self.bias
+        parts = [((x[at : at + STEP_ROWS] - self.mean) / self.scale) @ self.weights for at in range(0, len(x), STEP_ROWS)]
+        return np.concatenate(parts) + self.bias if parts else np.zeros(0)
 
 
 @dataclass
@@ -228,11 +230,12 @@ def features(docs: DataFrame) -> DataFrame:
 
 
 def _matrices(text: list[bytes], page: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    wide = np.zeros((len(page), WIDTHS[1]), np.float32)
+    """Both views of some rows, as narrow as they come; sums widen a few rows at a time."""
+    wide = np.zeros((len(page), WIDTHS[1]), np.uint8)
     if page:
         ones = np.frombuffer(b"".join(page), np.uint16).reshape(len(page), -1)
         wide[np.arange(len(page))[:, None], ones] = 1
-    return np.frombuffer(b"".join(text), np.float16).reshape(-1, WIDTHS[0]).astype(np.float32), wide
+    return np.frombuffer(b"".join(text), np.float16).reshape(-1, WIDTHS[0]), wide
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, tuple[np.ndarray, np.ndarray]]]:
