@@ -79,7 +79,8 @@ def nearest_codes(codes: DataFrame, k: int = K, every: int = EVERY) -> DataFrame
                 .withColumn("mask", probe)
                 .select("query_id", "query_code", F.col("own").bitwiseXOR(F.col("mask")).alias("value"))
             )
-            met = probes.join(index, "value").where("id <> query_id").select(
+            # Sizes before an explode would mislead the planner to broadcast one side.
+            met = probes.join(index.hint("merge"), "value").where("id <> query_id").select(
                 "query_id", F.col("id").alias("neighbor_id"), F.bit_count(F.col("code").bitwiseXOR(F.col("query_code"))).alias("distance")
             )
             best = stages.write(_best(best.drop("rank").unionByName(met), k), "best")
