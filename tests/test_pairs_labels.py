@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import hashlib
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from pairforge.functions import joins
+from pairforge.functions import joins, scratch
+from pairforge.functions.scratch import stage
 from pairforge.operators import pairs as P
 from pairforge.plans import label_job as L
 from workload.corpus import label_catalogs
@@ -127,3 +130,24 @@ def test_hot_key_is_spread_by_its_count(spark, monkeypatch):
             spark.conf.unset("spark.sql.adaptive.enabled")
             spark.conf.set("spark.sql.shuffle.partitions", "8")
         assert most <= 5 * 500
+
+
+def test_small_file_with_large_rows_is_not_broadcast(spark):
+    """Catalogs that repeat take few bytes as files, and hundreds of times as many as rows."""
+    columns = F.expr("transform(sequence(1, 400), i -> named_struct('name', concat('a_long_column_name_', i)))")
+    lookup = stage(spark.range(4_000).coalesce(1).select(F.col("id").alias("k"), columns.alias("columns")), "repeated")
+    assert lookup.stage_bytes * joins.FILE_TO_MEMORY < joins.BROADCAST_BYTES
+    assert not joins.fits_broadcast(lookup)
+    assert joins.fits_broadcast(stage(lookup.limit(50), "few"))
+    many = stage(spark.range(600_000).select(F.lit("a").alias("text")), "many")
+    assert not joins.fits_broadcast(many)
+
+
+def test_stage_table_has_bounded_row_groups(spark):
+    """A writer holds one row group in memory; eight tasks with the usual 128 MB fill a heap of 1 GB."""
+    text = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(8)])
+    table = stage(spark.range(60_000).coalesce(1).select("id", text.alias("text")), "wide")
+    (path,) = Path(table.stage_path.removeprefix("file:")).glob("*.parquet")
+    meta = pq.ParquetFile(path).metadata
+    sizes = [meta.row_group(i).total_byte_size for i in range(meta.num_row_groups)]
+    assert table.count() == 60_000 and len(sizes) > 1 and max(sizes) < 2 * scratch.ROW_GROUP_BYTES
