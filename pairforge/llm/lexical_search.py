@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pairforge.functions.joins import lookup_join
 from pairforge.llm.numbering import with_global_position
 from pairforge.functions.scratch import Stages, stage
-from pairforge.llm.words import BASE, CHUNK_BYTES, LOWER, Words, bytes_of, mix
+from pairforge.llm.words import BASE, CHUNK_BYTES, LOWER, Words, bytes_of, mix, small_batches
 
 K = 10
 ITEM_BLOCK = 1_000
@@ -115,7 +115,7 @@ def index_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             ends = np.searchsorted(row[of], np.arange(len(words.counts) + 1))
             own_keys = keys[words.rows]
             for r in np.flatnonzero(words.counts):
-                own = entries[ends[r] : ends[r + 1]]
+                own = entries[ends[r] : ends[r + 1]].copy()  # a view would hold the entries of the whole run
                 width = 1 << min(MAX_WIDTH_BITS, max(6, int(BITS_PER_ENTRY * len(own) - 1).bit_length()))
                 block = waiting.setdefault(width, [])
                 block.append((int(own_keys[r]), int(words.counts[r]), own))
@@ -327,6 +327,7 @@ def _numbered(items: DataFrame) -> DataFrame:
 def search(docs: DataFrame, items: DataFrame, k: int = K, item_block: int = ITEM_BLOCK) -> DataFrame:
     """The ``k`` best documents of each item: ``item_id, rank, doc_id, score``."""
     spark = docs.sparkSession
+    small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     keyed = rows.withColumn("key", F.xxhash64("doc_id", "text"))
     numbered = _numbered(items)

@@ -113,3 +113,13 @@ def test_only_near_winners_are_scored(spark, documents):
 def test_query_equals_its_sql(spark):
     sf_dir = "/root/testdata/sf0.001"
     assert compare(QUERIES["op12_ranked_search"](spark, sf_dir), connect(sf_dir), "op12_ranked_search") == ""
+
+
+def test_search_bounds_its_batches(spark):
+    """A batch holds as few texts as in the other operators, whatever the session had before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    spark.conf.set(name, "10000")
+    docs = spark.createDataFrame([(i, f"common word{i}") for i in range(20)], "doc_id bigint, text string")
+    found = L.search(docs, spark.createDataFrame([(1, "word3 common")], ITEMS))
+    assert found.count() == 10 and found.where("rank = 1 and doc_id = 3").count() == 1
+    assert int(spark.conf.get(name)) <= 1000
