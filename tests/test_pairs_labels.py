@@ -143,6 +143,26 @@ def test_small_file_with_large_rows_is_not_broadcast(spark):
     assert not joins.fits_broadcast(many)
 
 
+def test_lookup_with_small_file_and_large_rows_meets_in_a_shuffle(spark):
+    """Spark takes a table for its files, so once no key proves heavy it would broadcast one measured as too large."""
+    columns = F.expr("transform(sequence(1, 400), i -> concat('a_long_column_name_', i))")
+    lookup = stage(spark.range(4_000).coalesce(1).select(F.col("id").alias("k"), columns.alias("columns")), "repeated")
+    assert lookup.stage_bytes < 10 * 1024 * 1024 and not joins.fits_broadcast(lookup)
+    facts = stage(spark.range(10_000).select("id", (F.col("id") % 5_000).alias("k")), "facts")
+    counted = stage(lookup.withColumn("n", F.lit(2)), "counted")
+    for joined, rows in (
+        (joins.lookup_join(facts, lookup, ["k"], "left", salt_on=["id"]), 10_000),
+        (joins.lookup_join(facts, lookup, ["k"], "inner", salt_on=["id"]), 8_000),
+        (joins.weighted_join(facts, counted, "k", weight="n", salt_on="id"), 8_000),
+    ):
+        sizes = joined.select("id", F.size("columns").alias("n"))
+        found = sizes.collect()
+        assert len({r["id"] for r in found}) == len(found) == rows
+        assert sum(r["n"] == 400 for r in found) == 8_000
+        final = sizes._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "isFinalPlan=true" in final and "SortMergeJoin" in final and "BroadcastHashJoin" not in final
+
+
 def test_stage_table_has_bounded_row_groups(spark):
     """A writer holds one row group in memory; eight tasks with the usual 128 MB fill a heap of 1 GB."""
     text = F.concat_ws("", *[F.sha2(F.concat(F.col("id").cast("string"), F.lit(str(i))), 512) for i in range(8)])
