@@ -2,9 +2,11 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from pairforge.llm import co_training, quality_rules
-from pairforge.llm.text_stats import COUNTS
+from pairforge.llm import boosting, co_training, quality_rules
+from pairforge.llm.boosted_trees import fit
+from pairforge.llm.text_stats import COUNTS, RATES, rates
 
 SF = "/root/testdata/sf0.01"
 LABELS = "doc_id bigint, quality int, toxic int"
@@ -45,6 +47,44 @@ def test_rules_on_odd_rows(spark, documents):
     assert {r.kept for r in kept.collect()} == {"own"}
 
 
+def labelled_counts(spark, n, bad):
+    """Counts of ``n`` documents; only the last ones by the hash of their id, ``bad`` of them, are bad and hold symbols."""
+    by_hash = [r.id for r in spark.range(n).orderBy(F.xxhash64(F.lit(7), "id")).collect()]
+    last = spark.createDataFrame([(i,) for i in by_hash[n - bad :]], "doc_id bigint").withColumn("bad", F.lit(True))
+    rows = spark.range(n).select(F.col("id").alias("doc_id"), *[(40 + F.pmod(F.xxhash64(F.lit(c), "id"), F.lit(50))).alias(c) for c in COUNTS])
+    rows = rows.join(F.broadcast(last), "doc_id", "left").withColumns({
+        "n_words": F.lit(100).cast("bigint"), "n_repeat_words": F.col("n_repeat_words") % 20, "n_symbols": F.when(F.col("bad"), F.col("n_symbols")).otherwise(0),
+    })
+    labels = rows.select("doc_id", F.when(F.col("bad"), 0).otherwise(1).alias("quality"), F.lit(0).alias("toxic"))
+    return rows.select("doc_id", *COUNTS), labels, by_hash
+
+
+def test_rules_learn_from_every_labelled_row(spark):
+    """The only bad documents come after 20,000 others in the order of the hash."""
+    counts, labels, _ = labelled_counts(spark, 20_500, 400)
+    rules = quality_rules.fit_rules(counts, labels)
+    rows = counts.toPandas()
+    kept = rules.verdict(rows[COUNTS].to_numpy())
+    assert rules.trees is not None and not kept[rows["n_symbols"] > 0].any() and kept[rows["n_symbols"] == 0].all()
+
+
+def test_rules_of_many_rows_equal_those_fitted_in_memory(spark, monkeypatch):
+    """In chunks, with margins written anew, as by one matrix in the order of the hash."""
+    counts, labels, by_hash = labelled_counts(spark, 900, 200)
+    labels = labels.withColumn("quality", F.when(F.xxhash64("doc_id") % 9 == 0, 1).otherwise(F.col("quality")))
+    monkeypatch.setattr(quality_rules, "ON_DRIVER", 100)
+    monkeypatch.setattr(boosting, "CHUNK_ROWS", 64)
+    many = quality_rules.fit_rules(counts, labels)
+    table = counts.join(labels, "doc_id").toPandas().set_index("doc_id").loc[by_hash]
+    x, y = rates(table[COUNTS].to_numpy()), table["quality"].to_numpy(float)
+    held = np.arange(len(y)) % 5 == 4
+    trees = fit(x[~held], y[~held], np.array([quality_rules.MONOTONE.get(c, 0) for c in RATES]))
+    for name in ("roots", "feature", "threshold", "left", "right", "value"):
+        assert np.array_equal(getattr(many.trees, name), getattr(trees, name)), name
+    good = trees.margin(x[held & (y == 1)])
+    assert many.threshold == min(0.0, np.quantile(good, 1 - quality_rules.KEEP_GOOD, method="lower"))
+
+
 def test_empty_tables(spark, documents):
     labels = spark.createDataFrame([], LABELS)
     docs = cases(documents).where("false")
