@@ -8,7 +8,9 @@ from pairforge.functions.joins import previous_value, with_position
 from pairforge.operators import attempts as A, versions as V
 from pairforge.operators.gates import model_gates
 from pairforge.sources import json_files as J
+from pairforge.streaming import feedback
 from pairforge.streaming.threads import END, FRAME, STATE, TURN, Live, live_requests, merged_log, new_logs, run_live
+from workload import labels
 
 
 @pytest.mark.parametrize("status,body,outcome,error", [
@@ -171,6 +173,21 @@ def test_repeated_attempts_are_bounded(spark):
     assert [a.attempt_ord for a in logs.log] == [1, 2] and logs.twice == logs.log and logs.log[1].sql_text == "s0"
 
 
+def test_feedback_labels_only_batches_that_bring_pairs(spark, tmp_path, monkeypatch):
+    """The batch that only moves the watermark is not labelled, and what arrives is read from the state once."""
+    catalogs = labels.label_catalogs(spark, "/root/testdata/sf0.001")
+    db = catalogs.where("db_id like 'sales%'").first()["db_id"]
+    pairs = [(i, db, f"name of customer {i % 3}", f"SELECT c_name FROM customer WHERE c_custkey = {i % 3}") for i in range(9)]
+    rows = spark.createDataFrame(pairs, "row_ord bigint, db_id string, question string, query string")
+    rows.selectExpr("'train' AS split", "'a.json' AS source", "*", "timestamp_seconds(1700000000 + row_ord) AS ts").write.json(f"{tmp_path}/in")
+    seen, label_pairs = [], feedback.label_pairs
+    monkeypatch.setattr(feedback, "label_pairs", lambda batch, *args, **more: seen.append(batch.count()) or label_pairs(batch, *args, **more))
+    run = lambda: feedback.run_feedback(spark, f"{tmp_path}/in", catalogs, f"{tmp_path}/out", f"{tmp_path}/checkpoint")
+    assert run().count() == 3 and seen == [3]
+    rows.limit(1).selectExpr("'val' AS split", "'b.json' AS source", "*", "timestamp_seconds(1700000020 + row_ord) AS ts").write.mode("append").json(f"{tmp_path}/in")
+    assert run().count() == 3 and seen == [3]
+
+
 def test_previous_value_over_segments(spark):
     rows = spark.range(0, 200).select(F.lit(1).alias("k"), "id")
     value = F.when(F.col("id") % 37 == 0, F.col("id"))
